@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_report
+from .fingerprints import fingerprint_report
 from .packing import pack
 from .pii import pii_report
+from .quality import judge
 from .secrets import secrets_report
 from .sharding import sharding_report
 from .simhash import near_duplicate_report
@@ -21,8 +23,10 @@ def _documents(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": _documents(secrets_report),
+        "op2_quality_divergence": _documents(judge),
         "op3_packing": _documents(pack),
         "op4_pii": _documents(pii_report),
+        "op5_chunk_fingerprint": _documents(fingerprint_report),
         "op6_simhash": _documents(near_duplicate_report),
         "op7_sharding": _documents(sharding_report),
         "op10_bpe_trie": _documents(bpe_report),
