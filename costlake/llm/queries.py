@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_report
 from .fingerprints import fingerprint_report
+from .langid import language_report
+from .lattice import score
 from .packing import pack
 from .pii import pii_report
 from .quality import judge
@@ -29,6 +31,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chunk_fingerprint": _documents(fingerprint_report),
         "op6_simhash": _documents(near_duplicate_report),
         "op7_sharding": _documents(sharding_report),
+        "op8_language_compression": _documents(language_report),
+        "op9_lattice_score": _documents(score),
         "op10_bpe_trie": _documents(bpe_report),
     }
 
