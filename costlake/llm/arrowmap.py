@@ -45,3 +45,18 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: s
                 yield pa.RecordBatch.from_pydict(out)
 
     return df.mapInArrow(run, schema)
+
+
+def filter_slices(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], column: str) -> DataFrame:
+    """Rows of df, all columns as they are, for which make()(values of column) is true; make runs once a task."""
+    place = df.columns.index(column)
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                yield part.filter(pa.array(keep(part.column(place).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .arrowmap import map_slices
+from .arrowmap import filter_slices, map_slices
 
 #: Bounds of the training sample: texts a language, bytes of each that enter its dictionary, bytes of a dictionary.
 SAMPLE_TEXTS, EXCERPT_BYTES, DICTIONARY_BYTES = 256, 4096, 131_072
@@ -112,3 +112,16 @@ def language_report(docs: DataFrame) -> DataFrame:
     apart = held_out(F.col("doc_id"), 3, 1)
     trained = train(docs.where(~apart & F.col("doc_id").isNotNull()))
     return classify(docs, trained).select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score", "lead", "accepted")
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose language is told with a sufficient lead; all rows if there is no language to learn."""
+    trained = train(docs)
+    if not trained:
+        return docs
+
+    def make():
+        predict = Classifier(trained).predict
+        return lambda texts: [predict(t)[3] for t in texts]
+
+    return filter_slices(docs, make, "text")

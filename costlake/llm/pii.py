@@ -91,28 +91,33 @@ def _scored(kind: str, spans: Column) -> Column:
     )
 
 
-def detect(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with _pii: array of struct<kind, start, end, score> by kind as in PATTERNS, then start."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def found_in(text: Column) -> Column:
+    """Array of struct<kind, start, end, score> by kind as in PATTERNS, then start."""
     kept = []
     for kind, pattern in PATTERNS.items():
-        spans = _scored(kind, _confirmed(kind, find_spans(body, pattern)))
+        spans = _scored(kind, _confirmed(kind, find_spans(text, pattern)))
         kept.append(spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= MIN_SCORE))
-    return docs.withColumn("_pii", F.concat(*kept))
+    return F.concat(*kept)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with each span in the text replaced by its kind in angle brackets; same columns in the same order."""
-    by_start = F.array_sort(
-        F.transform("_pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    """docs with each span in the text replaced by its kind in angle brackets; same columns in the same order.
+
+    A column n_chars of whole numbers follows the new text's length.
+    """
+    spans = F.transform(
+        found_in(F.coalesce(F.col(text), F.lit(""))), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
     )
-    found = detect(docs, text).withColumn(text, replace_spans(F.col(text), by_start))
+    found = docs.withColumn(text, replace_spans(F.col(text), F.array_sort(spans)))
+    kinds = dict(docs.dtypes)
+    if kinds.get("n_chars") in ("int", "bigint"):
+        found = found.withColumn("n_chars", F.length(text).cast(kinds["n_chars"]))
     return found.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pii_report(docs: DataFrame) -> DataFrame:
     """One row per document: counts of the base kinds, digest of the base spans, all spans and their scores."""
-    found = detect(docs.select("doc_id", "text"))
+    found = docs.select("doc_id", found_in(F.coalesce(F.col("text"), F.lit(""))).alias("_pii"))
     base = F.filter("_pii", lambda s: s["kind"].isin(*BASE_KINDS))
     count = lambda kind: F.size(F.filter("_pii", lambda s: s["kind"] == kind)).cast("long")
     return found.select(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .arrowmap import SLICE, map_slices, ship
+from .arrowmap import SLICE, filter_slices, map_slices, ship
 
 COMMON = 200
 MIN_CHARS, MIN_WORDS, MIN_REFERENCE_WORDS = 250, 100, 1000
@@ -221,3 +221,14 @@ def judge(docs: DataFrame) -> DataFrame:
         return lambda ids, texts: {"doc_id": ids} | judged(texts)
 
     return map_slices(docs.select("doc_id", "text"), make, SCHEMA)
+
+
+def keep_clean(docs: DataFrame) -> DataFrame:
+    """The rows of docs that judge() keeps, all columns as they are."""
+    known = references(docs)
+
+    def make():
+        judged = Judge(known)
+        return lambda texts: judged(texts)["kept"]
+
+    return filter_slices(docs, make, "text")

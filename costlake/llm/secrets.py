@@ -133,7 +133,7 @@ def scan(docs: DataFrame, weights: list[float], text: str = "text") -> DataFrame
     """docs with base (array of base spans by start, then kind) and secrets (base and model's spans, same order).
 
     A model's span is a token of 20 or more characters, apart from base spans, whose ratio
-    passes both thresholds. Two new columns, _base and _secrets: struct<start, rank, end, kind, match>.
+    passes both thresholds. _base and _secrets, struct<start, rank, end, kind, match>, replace columns of these names.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     found = base_spans(body)

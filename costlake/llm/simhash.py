@@ -141,3 +141,10 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SH
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs whose key is the smallest of their component; one row a key. Rows without a key stay."""
+    found = near_duplicates(docs, max_bits, shingle, key, text)
+    kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    return docs.join(kept, key, "left_semi").dropDuplicates([key]).union(docs.where(F.col(key).isNull()))

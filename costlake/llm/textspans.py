@@ -84,5 +84,4 @@ def replace_spans(text: Column, spans: Column) -> Column:
         )
         return F.when(gap >= 0, fresh).when(width > 0, longer).otherwise(acc)
 
-    rebuilt = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["done"], acc["rest"]))
-    return F.when(F.size(spans) > 0, rebuilt).otherwise(text)
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["done"], acc["rest"]))
