@@ -89,6 +89,13 @@ def rules(contract: list[Field] | None = None, currency: str = "EUR", provider:
     }
 
 
+def rule_names(contract: list[Field] | None = None) -> list[str]:
+    """Names of rules() in its order; needs no session."""
+    contract = contract or fields()
+    found = [f"not_null_{f.name}" for f in contract if not f.nullable] + [f"allowed_values_{f.name}" for f in contract if f.allowed]
+    return [*found, "expected_BillingCurrency", "expected_ProviderName", "ordered_ChargePeriod", "ordered_BillingPeriod"]
+
+
 def count_violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """One row with the violations of each rule, in one scan."""
     return df.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()))
