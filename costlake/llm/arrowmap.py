@@ -31,9 +31,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+
+
+def arrow_schema(schema: str) -> pa.Schema:
+    """The fields of "name type, ..." as an Arrow schema, so that a slice with nothing but nulls in a column keeps its type."""
+    return pa.schema([(name, ARROW[kind]) for name, kind in (field.split() for field in schema.split(","))])
+
+
 def map_slices(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: str) -> DataFrame:
     """Apply make()(*columns as lists) -> dict of columns to slices of df; make runs once a task."""
-    width = len(df.columns)
+    width, target = len(df.columns), arrow_schema(schema)
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,7 +50,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: s
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 out = work(*(part.column(i).to_pylist() for i in range(width)))
-                yield pa.RecordBatch.from_pydict(out)
+                yield pa.RecordBatch.from_pydict({n: out[n] for n in target.names}, schema=target)
 
     return df.mapInArrow(run, schema)
 
