@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# States of a month that refuse daily loads.
 CLOSED = ("CLOSED_DATA_LOADED", "CLOSED_ARCHIVE_PENDING", "CLOSED")
 
 
