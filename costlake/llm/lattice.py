@@ -42,6 +42,15 @@ WORDS_A_BATCH = 4096
 PRIOR = 1000.0
 ROUNDS = 1
 START, LN10 = "▁", math.log(10)
+#: Polynomial hash of a string's code points modulo 2 ** 64; its upper 22 bits are a slot.
+HASH_FACTOR, SLOT_SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(42)
+
+
+def hash_of(text: str) -> int:
+    h = 0
+    for c in text:
+        h = (h * int(HASH_FACTOR) + ord(c)) % (1 << 64)
+    return h
 
 
 class Vocabulary:
@@ -66,6 +75,13 @@ class Vocabulary:
         self.end = len(ranks)
         ranks.append(100)
         self.longest = max(map(len, self.pieces))
+        hashed = sorted((hash_of(p), i) for p, i in self.pieces.items())
+        self.hashes = np.array([h for h, _ in hashed], dtype=np.uint64)
+        self.hashed_ids = np.array([i for _, i in hashed], dtype=np.int32)
+        if len(np.unique(self.hashes)) < len(self.hashes):
+            raise ValueError("two pieces share a hash")
+        self.slots = np.zeros(1 << 22, dtype=bool)
+        self.slots[self.hashes >> SLOT_SHIFT] = True
         start = 1.0 / (np.array(ranks, dtype=np.float64) + 2.0)
         self.start_values = start / start.sum()
 
@@ -87,18 +103,25 @@ class Lattice:
         self.log = np.log(shares)
 
     def _edges(self, words: list[str]) -> tuple[np.ndarray, list[tuple[int, int, list[int]]]]:
-        """ids[word, start, length - 1] of pieces or -1; single characters without a piece as (word, start, byte ids)."""
-        n, longest, get = len(words[0]), self.v.longest, self.v.pieces.get
-        width = min(n, longest)
-        flat: list[int] = []
-        spelled = []
-        for w, word in enumerate(words):
-            for s in range(n):
-                own = [get(word[s:e], -1) for e in range(s + 1, min(n, s + width) + 1)]
-                if own[0] < 0:
-                    spelled.append((w, s, [self.v.bytes[b] for b in word[s].encode()]))
-                flat += own + [-1] * (width - len(own))
-        return np.array(flat, dtype=np.int32).reshape(len(words), n, width), spelled
+        """ids[word, start, length - 1] of pieces or -1; single characters without a piece as (word, start, byte ids).
+
+        All substrings of one length are hashed at once, each from the one shorter by a character.
+        """
+        count, n = len(words), len(words[0])
+        width = min(n, self.v.longest)
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(count, n).astype(np.uint64)
+        ids = np.full((count, n, width), -1, dtype=np.int32)
+        hashes = np.zeros((count, n), dtype=np.uint64)
+        for length in range(1, width + 1):
+            hashes = hashes[:, : n - length + 1] * HASH_FACTOR + codes[:, length - 1 :]
+            w, s = np.nonzero(self.v.slots[hashes >> SLOT_SHIFT])
+            if len(w):
+                found = hashes[w, s]
+                at = np.minimum(np.searchsorted(self.v.hashes, found), len(self.v.hashes) - 1)
+                same = self.v.hashes[at] == found
+                ids[w[same], s[same], length - 1] = self.v.hashed_ids[at[same]]
+        spelled = [(w, s, [self.v.bytes[b] for b in words[w][s].encode()]) for w, s in np.argwhere(ids[:, :, 0] < 0).tolist()]
+        return ids, spelled
 
     def _weights(self, ids: np.ndarray, spelled: list) -> np.ndarray:
         weights = np.where(ids >= 0, self.log[ids], -np.inf)
