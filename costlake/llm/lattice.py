@@ -3,7 +3,7 @@
 The pieces of a public vocabulary are a unigram model. A word's probability is the sum
 over all its segmentations of the product of their pieces' probabilities, by a forward
 recursion in log space; a text's is the product over its words and one end piece. The
-vocabulary's own scores give each piece a start value by its rank; one round of
+vocabulary's own scores give each piece a start value by its rank; rounds of
 expectation maximisation over the word counts of the whole training corpus (all
 segmentations, forward and backward) weights them to the corpus.
 
@@ -40,7 +40,7 @@ HELD_WORDS = 400_000
 WORDS_A_BATCH = 4096
 #: Weight of the start values, in pieces, beside the expected counts.
 PRIOR = 1000.0
-ROUNDS = 1
+ROUNDS = 2
 START, LN10 = "▁", math.log(10)
 #: Polynomial hash of a string's code points modulo 2 ** 64; its upper 22 bits are a slot.
 HASH_FACTOR, SLOT_SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(42)

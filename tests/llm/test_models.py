@@ -102,9 +102,12 @@ def test_scores(docs, table, monkeypatch):
     vocabulary = lattice.Vocabulary(path())
     trained = [(w, c) for w, c in counts.items() if w is not None]
     first = lattice.Lattice(vocabulary, vocabulary.start_values)
-    shares = lattice.PRIOR * vocabulary.start_values + first.expected(["▁" + w.decode() for w, _ in trained], np.array([float(c) for _, c in trained]))
-    shares[vocabulary.end] += counts[None]
-    shares /= shares.sum()
+    pieces, times = ["▁" + w.decode() for w, _ in trained], np.array([float(c) for _, c in trained])
+    shares = vocabulary.start_values
+    for _ in range(lattice.ROUNDS):
+        shares = lattice.PRIOR * vocabulary.start_values + lattice.Lattice(vocabulary, shares).expected(pieces, times)
+        shares[vocabulary.end] += counts[None]
+        shares /= shares.sum()
     model = lattice.Lattice(vocabulary, shares)
     distinct = sorted({w for ws in words.values() for w in ws if w is not None})
     logs = dict(zip(distinct, model.log_probabilities(["▁" + w.decode() for w in distinct]) / math.log(10)))
