@@ -37,6 +37,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
 #: Pieces ranked by one task on average.
 PIECES_A_PART = 500_000
+#: Parts of each class at least: a class that most pieces fall in spreads over so many tasks.
+LEAST_PARTS = 64
 Pattern = tuple[tuple[int, int], ...]
 
 
@@ -205,7 +207,7 @@ def assign(parts: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> Da
             order += each
         base += times
     slots = spark.createDataFrame(intervals, "_size int, _from long, _to long, _each long, _base long, _order long")
-    hashed = max(4, min(4096, int(demand.sum()) // PIECES_A_PART * 4))
+    hashed = max(LEAST_PARTS, min(4096, int(demand.sum()) // PIECES_A_PART * 4))
     dealt = classed.withColumn("_part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(hashed)).cast("int"))
     counts = dealt.groupBy("_size", "_part").agg(F.count("*").alias("_n"))
     before = counts.select(
