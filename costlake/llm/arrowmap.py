@@ -31,7 +31,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
 def arrow_schema(schema: str) -> pa.Schema:

@@ -34,19 +34,23 @@ SHINGLE, MAX_BITS, BANDS = 4, 4, 3
 BAND_BITS = [(0, 22), (22, 44), (44, 64)]
 
 
-def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
-    """Unsigned fingerprint of one text: bytes.lower() and bytes.split() touch ASCII letters and white space only."""
+def shingle_hashes(text: str | None, shingle: int) -> list[int]:
+    """XXH64 of each run of shingle words, or of all words if they are fewer: bytes.lower() and bytes.split() touch ASCII letters and white space only."""
     words = (text or "").encode().lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate(([0], ends[:-shingle]))
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist())]
+        return [xxhash.xxh64_intdigest(joined, 42)]
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-shingle]))
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist())]
+
+
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
+    """Unsigned fingerprint of one text; of a text without words zero."""
+    if not (text or "").encode().split():
+        return 0
+    hashes = shingle_hashes(text, shingle)
     bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
     over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int.from_bytes(np.packbits(over).tobytes(), "big")
@@ -141,10 +145,3 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SH
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose key is the smallest of their component; one row a key. Rows without a key stay."""
-    found = near_duplicates(docs, max_bits, shingle, key, text)
-    kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    return docs.join(kept, key, "left_semi").dropDuplicates([key]).union(docs.where(F.col(key).isNull()))
