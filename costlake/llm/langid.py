@@ -1,6 +1,7 @@
 """Language identification by compression with per-language zstandard dictionaries.
 
-A dictionary is raw text of one language; case and what stands between letters do not count. A text is compressed once with each; the
+A dictionary is raw text of one language; case and what stands between letters do not count. A text is compressed with each, in
+blocks of BLOCK_BYTES that each start afresh from the dictionary, so that what a dictionary saves grows with the text; the
 language whose dictionary makes it smallest is the prediction, and a narrow lead over the
 second is a rejection (accepted is false). Training takes a bounded sample of labelled
 texts, SAMPLE_TEXTS a language, the first by a hash of the text; prediction is a plain
@@ -27,6 +28,8 @@ from .arrowmap import filter_slices, map_slices
 SAMPLE_TEXTS, EXCERPT_BYTES, DICTIONARY_BYTES = 256, 4096, 131_072
 MIN_EVEN_BYTES = 16_384
 LEVEL = 3
+#: Bytes that are compressed at once.
+BLOCK_BYTES = 4096
 #: A prediction is accepted if the second smallest size is larger by this many bytes and this share.
 MIN_LEAD_BYTES, MIN_LEAD_SHARE = 2, 0.01
 UNKNOWN = "und"
@@ -81,7 +84,8 @@ class Classifier:
         if not text or not self.names or not any(c.isalpha() for c in text):
             return UNKNOWN, 0.0, 0.0, False
         raw = letters(text).encode()
-        sizes = [len(c(raw)) for c in self.compress]
+        blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
+        sizes = [sum(len(c(b)) for b in blocks) for c in self.compress]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         others = sizes[:best] + sizes[best + 1 :]
         if not others:
