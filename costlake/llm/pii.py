@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust the score.
 
 SQL functions only. The four base kinds stay whatever their score; the two further kinds,
-iban (mod-97) and ssn, are kept from MIN_SCORE on.
+iban (mod-97, each as long as its country's codes are) and ssn, are kept from MIN_SCORE on.
 
 Defined cases: a null text counts as empty and stays null when redacted; an empty text has
 no spans; repeated rows are scanned each for itself; an empty table gives an empty result;
@@ -13,7 +13,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textspans import find_spans, joined, replace_spans
+from .textspans import find_spans, joined, no_spans, replace_spans
+
+# Countries by the length of their IBAN, those that use the form without being registered included.
+IBAN_COUNTRIES = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG DZ",
+    25: "LY PT ST AO CV GW MZ",
+    26: "IS TR IR",
+    27: "BI DJ FR GR IT MC SM CF CG CM GA GQ KM MG TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+CODES = "|".join(
+    rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+(?![A-Za-z0-9])" for n, names in IBAN_COUNTRIES.items()
+)
 
 # Patterns of the kinds. Group loops are possessive and digit or word runs
 # are entered only at their start, which finds the same matches in linear time.
@@ -22,7 +49,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+",
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # matches the country alone, so that a code that fails mod-97 does not hide one that begins within it; the group is the code
+    "iban": f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({CODES}))[A-Z]{{2}}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -69,13 +97,32 @@ def mod97(iban: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
+def _whole_ibans(countries: Column) -> Column:
+    """The spans of countries drawn out to their codes, those that pass mod-97; one that begins within another is left out."""
+
+    def whole(s: Column) -> Column:
+        size = F.length(s["match"])
+        return F.struct(
+            s["start"].alias("start"),
+            (s["start"] + size).alias("end"),
+            s["match"].alias("match"),
+            s["before"].alias("before"),
+            F.substring(s["after"], size - 1, F.lit(20)).alias("after"),
+        )
+
+    def step(acc: Column, s: Column) -> Column:
+        return F.when(s["start"] >= F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)), F.concat(acc, F.array(s))).otherwise(acc)
+
+    valid = F.filter(countries, lambda s: mod97(F.regexp_replace(s["match"], " ", "")))
+    return F.aggregate(F.transform(valid, whole), no_spans(), step)
+
+
 def _confirmed(kind: str, spans: Column) -> Column:
     size = lambda s: F.length(_digits(s["match"]))
     checks = {
         "ip": lambda s: s["match"].rlike(OCTETS),
         "card": lambda s: size(s).between(13, 19) & luhn(_digits(s["match"])),
         "phone": lambda s: size(s).between(9, 15),
-        "iban": lambda s: mod97(F.regexp_replace(s["match"], " ", "")),
     }
     return F.filter(spans, checks[kind]) if kind in checks else spans
 
@@ -95,7 +142,8 @@ def found_in(text: Column) -> Column:
     """Array of struct<kind, start, end, score> by kind as in PATTERNS, then start."""
     kept = []
     for kind, pattern in PATTERNS.items():
-        spans = _scored(kind, _confirmed(kind, find_spans(text, pattern)))
+        found = _whole_ibans(find_spans(text, pattern, 1)) if kind == "iban" else _confirmed(kind, find_spans(text, pattern))
+        spans = _scored(kind, found)
         kept.append(spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= MIN_SCORE))
     return F.concat(*kept)
 

@@ -18,9 +18,11 @@ def no_spans() -> Column:
     return F.array().cast(SPAN)
 
 
-def find_spans(text: Column, pattern: str) -> Column:
+def find_spans(text: Column, pattern: str, shown: int = 0) -> Column:
     """Leftmost non-overlapping matches of pattern, which must not match the empty string.
 
+    A span's match is the group shown, which may reach beyond the span's end if it is within a lookahead.
+
     Starts are running sums over the pieces between matches, so the work is linear in
     the text. Texts without a match cost one scan.
     """
@@ -30,6 +32,7 @@ def find_spans(text: Column, pattern: str) -> Column:
     parts = F.arrays_zip(
         F.slice(pieces, 1, n).alias("before"),
         matches.alias("match"),
+        (F.regexp_extract_all(text, F.lit(pattern), F.lit(shown)) if shown else matches).alias("shown"),
         F.slice(pieces, 2, n).alias("after"),
     )
     zero = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
@@ -40,7 +43,7 @@ def find_spans(text: Column, pattern: str) -> Column:
         span = F.struct(
             start.alias("start"),
             end.alias("end"),
-            part["match"].alias("match"),
+            part["shown"].alias("match"),
             part["before"].alias("before"),
             part["after"].alias("after"),
         )
