@@ -4,8 +4,11 @@ SQL functions only. The four base kinds stay whatever their score; the two furth
 iban (mod-97, each as long as its country's codes are) and ssn, are kept from MIN_SCORE on.
 
 Defined cases: a null text counts as empty and stays null when redacted; an empty text has
-no spans; repeated rows are scanned each for itself; an empty table gives an empty result;
-other columns of the input, whatever their names, are left alone.
+no spans; a very long text or one with very many spans costs in proportion to its length;
+of spans of different kinds, or of codes that begin within another code, all are reported,
+and where they overlap the text is marked once, by the first; repeated rows are scanned
+each for itself; an empty table gives an empty result; other columns of the input,
+whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textspans import find_spans, joined, no_spans, replace_spans
+from .textspans import find_spans, joined, replace_spans
 
 # Countries by the length of their IBAN, those that use the form without being registered included.
 IBAN_COUNTRIES = {
@@ -56,17 +59,20 @@ PATTERNS = {
 BASE_KINDS = ("email", "ip", "card", "phone")
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}$"
 
-# Score of a confirmed span by kind, and context words in the 40 characters before or 20 after it.
+#: Characters before and after a span in which context words count, and of an IBAN written with a space after each character.
+BEFORE, AFTER, LONGEST_IBAN = 40, 20, 64
+
+# Score of a confirmed span by kind, and context words (English, German, French, Spanish) around it.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.7, "ssn": 0.3}
 CONTEXT = {
-    "email": r"(?i)\b(e-?mail|mail|contact|write to)\b",
-    "ip": r"(?i)\b(ip|host|server|address|login)\b",
-    "card": r"(?i)\b(card|credit|debit|visa|mastercard|payment|cvv)\b",
-    "phone": r"(?i)\b(phone|call|tel|mobile|fax|whatsapp)\b",
-    "iban": r"(?i)\b(iban|bank|account|konto|transfer|swift|bic)\b",
-    "ssn": r"(?i)\b(ssn|social security|tax id|taxpayer)\b",
+    "email": r"(?iu)\b(e-?mail|mail|contact|write to|kontakt|schreiben an|courriel|écrire à|correo|escribir a)\b",
+    "ip": r"(?iu)\b(ip|host|server|address|login|adresse|serveur|servidor|dirección)\b",
+    "card": r"(?iu)\b(card|credit|debit|visa|mastercard|payment|cvv|karte|kreditkarte|carte|tarjeta|pago)\b",
+    "phone": r"(?iu)\b(phone|call|tel|mobile|fax|whatsapp|telefon|anrufen|handy|téléphone|appeler|portable|teléfono|llamar|móvil)\b",
+    "iban": r"(?iu)\b(iban|bank|account|konto|transfer|swift|bic|überweisung|compte|virement|cuenta|banco)\b",
+    "ssn": r"(?iu)\b(ssn|social security|tax id|taxpayer|steuernummer|sécurité sociale|seguridad social)\b",
 }
-AGAINST = r"(?i)\b(version|release|order|invoice|isbn|issn|part|serial|build|example)\b"
+AGAINST = r"(?iu)\b(version|release|order|invoice|isbn|issn|part|serial|build|example|rechnung|beispiel|facture|exemple|factura|ejemplo)\b"
 MORE, LESS, MIN_SCORE = 0.3, 0.3, 0.5
 
 
@@ -98,7 +104,7 @@ def mod97(iban: Column) -> Column:
 
 
 def _whole_ibans(countries: Column) -> Column:
-    """The spans of countries drawn out to their codes, those that pass mod-97; one that begins within another is left out."""
+    """The spans of countries drawn out to their codes, those that pass mod-97."""
 
     def whole(s: Column) -> Column:
         size = F.length(s["match"])
@@ -107,14 +113,10 @@ def _whole_ibans(countries: Column) -> Column:
             (s["start"] + size).alias("end"),
             s["match"].alias("match"),
             s["before"].alias("before"),
-            F.substring(s["after"], size - 1, F.lit(20)).alias("after"),
+            F.substring(s["after"], size - 1, F.lit(AFTER)).alias("after"),
         )
 
-    def step(acc: Column, s: Column) -> Column:
-        return F.when(s["start"] >= F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)), F.concat(acc, F.array(s))).otherwise(acc)
-
-    valid = F.filter(countries, lambda s: mod97(F.regexp_replace(s["match"], " ", "")))
-    return F.aggregate(F.transform(valid, whole), no_spans(), step)
+    return F.transform(F.filter(countries, lambda s: mod97(F.regexp_replace(s["match"], " ", ""))), whole)
 
 
 def _confirmed(kind: str, spans: Column) -> Column:
@@ -129,7 +131,7 @@ def _confirmed(kind: str, spans: Column) -> Column:
 
 def _scored(kind: str, spans: Column) -> Column:
     def score(s: Column) -> Column:
-        near = F.concat_ws(" ", F.substring(s["before"], -40, 40), F.substring(s["after"], 1, 20))
+        near = F.concat_ws(" ", s["before"], s["after"])
         raised = F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), MORE).otherwise(0.0) - F.when(near.rlike(AGAINST), LESS).otherwise(0.0)
         return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raised)), 2)
 
@@ -142,7 +144,10 @@ def found_in(text: Column) -> Column:
     """Array of struct<kind, start, end, score> by kind as in PATTERNS, then start."""
     kept = []
     for kind, pattern in PATTERNS.items():
-        found = _whole_ibans(find_spans(text, pattern, 1)) if kind == "iban" else _confirmed(kind, find_spans(text, pattern))
+        if kind == "iban":
+            found = _whole_ibans(find_spans(text, pattern, 1, BEFORE, AFTER + LONGEST_IBAN))
+        else:
+            found = _confirmed(kind, find_spans(text, pattern, 0, BEFORE, AFTER))
         spans = _scored(kind, found)
         kept.append(spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= MIN_SCORE))
     return F.concat(*kept)

@@ -4,11 +4,13 @@ Two first-order models over the token alphabet are trained from labelled samples
 of random strings and one of ordinary words and identifiers. A long token whose
 log-likelihood ratio favours the random model is a secret as well. Everything is
 DataFrame work; the only thing that reaches the driver is the table of pair counts,
-whose size is the square of the alphabet.
+whose size is the square of the alphabet. Tokens from 8 characters on are candidates:
+shorter ones can hardly gather the evidence that MIN_TOTAL asks for.
 
-Defined cases: a null text counts as empty; an empty text has no spans; repeated rows
-are scanned each for itself; an empty table gives an empty result; other columns of the
-input, whatever their names, are left alone.
+Defined cases: a null text counts as empty; an empty text has no spans; a very long text
+or one with very many spans costs in proportion to its length; spans that begin at one
+place are ordered by kind; repeated rows are scanned each for itself; an empty table
+gives an empty result; other columns of the input, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textspans import find_spans, joined
+from .textspans import apart_from, find_spans, joined
 
 # The patterns of the base scan.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -27,12 +29,13 @@ HEX = r"[0-9a-f]{24,}+"
 BASE_KINDS = ("assign", "access", "hex")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
-CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{8,}+"
 ORDINARY = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{4,}+"
 
-#: Bounds of the labelled sample: documents whose words are ordinary, generated random strings.
+#: Bounds of the labelled sample: documents whose words are ordinary, generated random strings, generated ordinary strings of a shape.
 SAMPLE_DOCUMENTS = 2000
 SAMPLE_RANDOM = 3000
+SAMPLE_PLAIN = 30
 #: A token is a secret if its ratio is at least this many nats in all and for each character.
 MIN_TOTAL, MIN_MEAN = 18.0, 0.55
 
@@ -56,6 +59,7 @@ def labelled_samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     """(token, is_random): generated random strings in four alphabets, values of base spans, words of a bounded sample.
 
     The sample is the SAMPLE_DOCUMENTS documents first by a hash of the key; the same rows for the same table.
+    Of its words, neighbours joined to identifiers are ordinary too, and so are repeated characters and the alphabet in order.
     """
     spark = docs.sparkSession
     digest = F.sha2(F.col("id").cast("string"), 512)
@@ -66,7 +70,6 @@ def labelled_samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -
         F.translate(F.upper(F.base64(F.unhex(digest))), "+/=", "234"),
     )
     made = spark.range(SAMPLE_RANDOM).select(F.explode(shapes).alias("token"), F.lit(True).alias("is_random"))
-    rank = F.xxhash64(F.col(key))
     chosen = docs.select(F.col(key).alias("_key")).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_DOCUMENTS)
     sample = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(
         F.broadcast(chosen), "_key", "left_semi"
@@ -79,8 +82,18 @@ def labelled_samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     )
     real = sample.select(F.explode(values).alias("token"), F.lit(True).alias("is_random"))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("_text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
-    words = sample.select(F.explode(F.regexp_extract_all(plain, F.lit(ORDINARY), F.lit(0))).alias("token"), F.lit(False).alias("is_random"))
-    return made.unionByName(real).unionByName(words)
+    words = sample.select(F.regexp_extract_all(plain, F.lit(ORDINARY), F.lit(0)).alias("words"))
+    camel = F.zip_with(
+        F.slice("words", 1, F.size("words") - 1),
+        F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))),
+        lambda a, b: F.concat(F.upper(F.substring(b, 1, 3)), F.initcap(a), F.initcap(b)),
+    )
+    named = F.when(F.size("words") > 1, F.concat("words", camel)).otherwise(F.col("words"))
+    ordinary = words.select(F.explode(named).alias("token"), F.lit(False).alias("is_random"))
+    character = F.explode(F.split(F.lit(ALPHABET), "")).alias("c")
+    repeated = spark.range(SAMPLE_PLAIN).select(character).select(F.repeat("c", F.lit(40)).alias("token"), F.lit(False).alias("is_random"))
+    in_order = spark.range(10 * SAMPLE_PLAIN).select(F.lit(ALPHABET).alias("token"), F.lit(False).alias("is_random"))
+    return made.unionByName(real).unionByName(ordinary).unionByName(repeated).unionByName(in_order)
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -132,7 +145,7 @@ def log_ratio(token: Column, weights: list[float]) -> Column:
 def scan(docs: DataFrame, weights: list[float], text: str = "text") -> DataFrame:
     """docs with base (array of base spans by start, then kind) and secrets (base and model's spans, same order).
 
-    A model's span is a token of 20 or more characters, apart from base spans, whose ratio
+    A model's span is a token of 8 or more characters, apart from base spans, whose ratio
     passes both thresholds. _base and _secrets, struct<start, rank, end, kind, match>, replace columns of these names.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -140,10 +153,9 @@ def scan(docs: DataFrame, weights: list[float], text: str = "text") -> DataFrame
     base = F.array_sort(F.concat(*(_kinded(k, i, found[k]) for i, k in enumerate(BASE_KINDS))))
     scored = docs.withColumn("_base", base).withColumn("_tokens", find_spans(body, CANDIDATE))
     random_like = F.filter(
-        F.col("_tokens"),
-        lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & (log_ratio(s["match"], weights) >= F.greatest(F.lit(MIN_TOTAL), MIN_MEAN * F.length(s["match"]))),
+        "_tokens", lambda s: log_ratio(s["match"], weights) >= F.greatest(F.lit(MIN_TOTAL), MIN_MEAN * F.length(s["match"]))
     )
+    random_like = apart_from(random_like, F.col("_base"))
     extra = _kinded("markov", len(BASE_KINDS), random_like)
     return scored.withColumn("_secrets", F.array_sort(F.concat("_base", extra))).drop("_tokens")
 
