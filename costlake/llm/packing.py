@@ -12,15 +12,19 @@ leaves over, a number of pieces bounded by the classes, is packed first-fit decr
 Only the histogram reaches the driver. Ranks are counted in hashed parts of each class,
 so a class that holds most pieces is ranked by many tasks.
 
-Defined cases: a null text counts as empty, that is, the end id alone; empty texts and
-repeated rows are packed like any other (a repeated key gives repeated pieces); an empty
-table gives an empty result; other columns of the input are not read.
+Defined cases: a null text counts as empty, that is, the end id alone; a very long text
+is encoded whole and cut into as many pieces as it takes; empty texts and repeated rows
+are packed like any other (a repeated key gives repeated pieces); pieces of one length
+class are interchangeable, their ranks follow key, start and checksum; an empty table
+gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -42,45 +46,73 @@ LEAST_PARTS = 64
 Pattern = tuple[tuple[int, int], ...]
 
 
+# White space as the tokenizer's pattern has it.
+WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: A run of so much white space is split off before the tokenizer's pattern sees it, whose backtracking has a limit.
+LONG_RUN = re.compile(f"(?<![{WHITE}])[{WHITE}]{{2000,}}+")
+
+
 @cache
-def _encoding(path: str):
+def _encoder(path: str) -> Callable[[str], np.ndarray]:
+    """Ids of a text. The pattern takes a run of white space without its last character, or whole at the end of
+    the text and before a special token, as one word; long runs are encoded as that word by themselves."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    words = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    one_word = tiktoken.Encoding("run", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    special = tuple(SPECIAL)
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) < 2000:
+            return words.encode_to_numpy(text, allowed_special="all")
+        parts, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            end = run.end()
+            stop = end if end == len(text) or text.startswith(special, end) else end - 1
+            parts.append(words.encode_to_numpy(text[at : run.start()], allowed_special="all"))
+            parts.append(one_word.encode_to_numpy(text[run.start() : stop]))
+            at = stop
+        parts.append(words.encode_to_numpy(text[at:], allowed_special="all"))
+        return np.concatenate(parts)
+
+    return encode
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens), one row per piece of at most capacity ids."""
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+
+
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens), one row per piece of at most capacity ids; with_ids adds them as an array."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(RANKS)
 
     def make():
-        encode = _encoding(path).encode_to_numpy
+        encode = _encoder(path)
 
-        def work(ids, texts):
-            out = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
-            for i, text in zip(ids, texts):
-                tokens = np.append(encode(text or "", allowed_special="all").astype("<u4"), np.uint32(END_ID)).astype("<u4")
+        def work(keys, texts):
+            out = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": [], "ids": []}
+            for key, text in zip(keys, texts):
+                tokens = np.append(encode(text or "").astype("<u4"), np.uint32(END_ID)).astype("<u4")
                 raw, n = tokens.tobytes(), len(tokens)
                 for start in range(0, n, capacity):
                     end = min(n, start + capacity)
-                    out["doc_id"].append(i)
+                    out["doc_id"].append(key)
                     out["start"].append(start)
                     out["length"].append(end - start)
                     out["ids_crc32"].append(zlib.crc32(raw[4 * start : 4 * end]))
                     out["doc_tokens"].append(n)
+                    if with_ids:
+                        out["ids"].append(tokens[start:end].astype(np.int32))
             return out
 
         return work
 
-    return map_slices(
-        docs.select("doc_id", "text"), make, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    )
+    return map_slices(docs.select("doc_id", "text"), make, PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def best_pattern(prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -190,23 +222,26 @@ def plan_sequences(demand: np.ndarray, capacity: int) -> list[tuple[int, Pattern
 
 
 def assign(parts: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
-    """parts with sequence_id and offset. parts has doc_id, start, length; it is read several times and should be stored."""
+    """parts with sequence_id and offset. parts has doc_id, start, length, ids_crc32; it is read several times and should be stored."""
     spark = parts.sparkSession
     units = capacity // grain
     classed = parts.withColumn("_size", F.ceil(F.col("length") / grain).cast("int"))
     histogram = {r["_size"]: r["n"] for r in classed.groupBy("_size").agg(F.count("*").alias("n")).collect()}
     demand = np.array([histogram.get(i + 1, 0) for i in range(units)])
-    intervals, base = [], 0
-    filled: dict[int, int] = {}
+    # of each class, intervals of ranks that share a pattern; their number is bounded by the classes
+    intervals: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    base = 0
     for times, pattern in plan_sequences(demand, units):
         order = 0
         for size, each in pattern:
-            first = filled.get(size, 0)
-            intervals.append((size, first, first + times * each, each, base, order))
-            filled[size] = first + times * each
+            own = intervals.setdefault(size, [])
+            first = own[-1][1] if own else 0
+            own.append((first, first + times * each, each, base, order))
             order += each
         base += times
-    slots = spark.createDataFrame(intervals, "_size int, _from long, _to long, _each long, _base long, _order long")
+    slots = spark.createDataFrame(
+        list(intervals.items()), "_size int, _slots array<struct<from:long,to:long,each:long,base:long,order:long>>"
+    )
     hashed = max(LEAST_PARTS, min(4096, int(demand.sum()) // PIECES_A_PART * 4))
     dealt = classed.withColumn("_part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(hashed)).cast("int"))
     counts = dealt.groupBy("_size", "_part").agg(F.count("*").alias("_n"))
@@ -215,17 +250,17 @@ def assign(parts: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> Da
     )
     local = F.row_number().over(W.partitionBy("_size", "_part").orderBy("doc_id", "start", "ids_crc32"))
     ranked = dealt.withColumn("_local", local).join(before, ["_size", "_part"]).withColumn("_rank", F.col("_before") + F.col("_local") - 1)
-    # the table of intervals is bounded by the classes: a basis of at most `units` patterns and the rest of the rounding
+    mine = F.get(F.filter("_slots", lambda s: (F.col("_rank") >= s["from"]) & (F.col("_rank") < s["to"])), 0)
     placed = (
         ranked.join(F.broadcast(slots), "_size")
-        .where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-        .withColumn("sequence_id", F.col("_base") + F.expr("(_rank - _from) div _each"))
-        .withColumn("_place", F.col("_order") + (F.col("_rank") - F.col("_from")) % F.col("_each"))
+        .withColumn("_slot", mine)
+        .withColumn("sequence_id", F.col("_slot.base") + F.expr("(_rank - _slot.from) div _slot.each"))
+        .withColumn("_place", F.col("_slot.order") + (F.col("_rank") - F.col("_slot.from")) % F.col("_slot.each"))
     )
     within = W.partitionBy("sequence_id").orderBy("_place").rowsBetween(W.unboundedPreceding, 0)
     return placed.withColumn("offset", F.sum("length").over(within) - F.col("length")).select(*parts.columns, "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    return assign(materialize(pieces(docs, path), "pieces"))
+def pack(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds ids, the piece's tokens."""
+    return assign(materialize(pieces(docs, path, with_ids=with_ids), "pieces"))
