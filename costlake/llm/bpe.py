@@ -9,29 +9,35 @@ encodes to itself. The final symbol of a word is a symbol of its own (it carries
 of the word), so a word ends in a leaf.
 
 The work is a plain map over documents: no shuffle, the tables of the tokenizer are read
-once a task, words seen before in the task are looked up.
+once a task, words seen before in the task are looked up, and the new words of SLICE_ROWS
+documents (or of SLICE_BYTES of text) share a trie. Case, normal form and classes of
+characters beyond the Latin script are those of the tokenizer's own normaliser.
 
 Defined cases: a null text counts as empty; an empty text has no ids and decodes to the
-empty string; repeated rows are encoded each for itself; an empty table gives an empty
-result; other columns of the input are not read.
+empty string; a very long text or word is encoded whole; equal words have equal ids;
+repeated rows are encoded each for itself; an empty table gives an empty result; other
+columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
-import unicodedata
 from functools import cache
 
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from .arrowmap import map_slices
 
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose encodings a task keeps; beyond, it starts anew.
-KEPT_WORDS = 400_000
+#: Words whose encodings a task keeps; beyond, it starts anew. Documents whose new words share a trie.
+KEPT_WORDS, SLICE_ROWS = 400_000, 2048
+#: Characters for which this Python and the tokenizers library are sure to agree on case, normal form and class.
+LATIN = re.compile(r"[^\x00-\u02ff]")
 
 
 def _byte_symbols() -> list[str]:
@@ -77,6 +83,9 @@ class TrieEncoder:
         self.cache: dict[str, tuple[bytes, str]] = {}
         # The word pattern of the tokenizer file and its special tokens.
         self.word = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+        # the tokenizer file's own normaliser and splitter, for texts beyond the Latin script
+        own = Tokenizer.from_file(path)
+        self.normalize, self.cut = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def compatible(self, a: int, b: int) -> bool:
@@ -112,7 +121,7 @@ class TrieEncoder:
     def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words; words are strings of inner symbols."""
         out: dict[str, tuple[int, ...]] = {}
-        inner, longest = self.inner, self.longest
+        inner, longest, known, apart = self.inner, self.longest, self.known, self.compatible
         last: list[int] = []  # of each prefix of the current path
         back: list[int] = []  # length of the prefix before that last token
         path = ""
@@ -125,10 +134,16 @@ class TrieEncoder:
             for end in range(shared + 1, len(word) + 1):
                 for start in range(max(0, end - longest), end):
                     token = inner.get(word[start:end])
-                    if token is not None and (start == 0 or self.compatible(last[start - 1], token)):
-                        last.append(token)
-                        back.append(start)
-                        break
+                    if token is None:
+                        continue
+                    if start:
+                        pair = (last[start - 1], token)
+                        fits = known.get(pair)
+                        if not (apart(*pair) if fits is None else fits):
+                            continue
+                    last.append(token)
+                    back.append(start)
+                    break
                 else:
                     raise ValueError(f"no token ends {word[:end]!r}")
             ids: list[int] = []
@@ -152,12 +167,11 @@ class TrieEncoder:
             ids = coded[key]
             self.cache[w] = (struct.pack(f"<{len(ids)}I", *ids), " ".join(self.text_of[i] for i in ids))
 
-    def _lower(self, text: str) -> str:
-        if text.isascii():
-            return text.lower()
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+    def _words(self, text: str) -> list[str]:
+        if text.isascii() or not LATIN.search(text):
+            return self.word.findall(text.lower())
+        text = self.normalize(text)
+        return [text[a:b] for _, (a, b) in self.cut(text)]
 
     def split(self, text: str) -> list[str]:
         """Words in order; a special token is an element of its own, marked by a leading NUL."""
@@ -167,7 +181,7 @@ class TrieEncoder:
             if i % 2:
                 out.append("\0" + part)
             elif part:
-                out += self.word.findall(self._lower(part))
+                out += self._words(part)
         return out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
@@ -202,22 +216,6 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids binary, decoded string): ids as little-endian unsigned 32-bit integers."""
-    path = path or tokenizer_path(TOKENIZER)
-
-    def make():
-        encoder = _encoder(path)
-
-        def work(ids, texts):
-            found = encoder.encode(texts)
-            return {key: ids, "ids": [f[0] for f in found], "decoded": [f[1] for f in found]}
-
-        return work
-
-    return map_slices(docs.select(key, text), make, f"{key} long, ids binary, decoded string")
-
-
 def bpe_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row per document: number of ids, digests of ids and of the decoded text."""
     path = path or tokenizer_path(TOKENIZER)
@@ -236,4 +234,4 @@ def bpe_report(docs: DataFrame, path: str | None = None) -> DataFrame:
 
         return work
 
-    return map_slices(docs.select("doc_id", "text"), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_slices(docs.select("doc_id", "text"), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", SLICE_ROWS)
