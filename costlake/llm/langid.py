@@ -4,13 +4,15 @@ A dictionary is raw text of one language; case and what stands between letters d
 blocks of BLOCK_BYTES that each start afresh from the dictionary, so that what a dictionary saves grows with the text; the
 language whose dictionary makes it smallest is the prediction, and a narrow lead over the
 second is a rejection (accepted is false). Training takes a bounded sample of labelled
-texts, SAMPLE_TEXTS a language, the first by a hash of the text; prediction is a plain
-map over whole texts.
-
-Defined cases: a null text or one without a letter is "und" with score 0; texts that all
-dictionaries compress alike go to the language with more training texts, then the first
-by name; repeated rows are predicted each for itself; without training texts all are
-"und"; an empty table gives an empty result; other columns of the input are not read.
+texts, the SAMPLE_TEXTS distinct texts of each language that are first by a hash of the
+text, however often a text is repeated; of these whole texts, cut into excerpts, a
+dictionary holds those first by their hash. Prediction is a plain map over whole texts.
+
+Defined cases: a null text or one without a letter is "und" with score 0; a very long text
+is compressed whole, block by block; texts that all dictionaries compress alike go to the
+language with more training texts, then the first by name; repeated rows are predicted
+each for itself and train once; without training texts all are "und"; an empty table gives
+an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .arrowmap import filter_slices, map_slices
 
-#: Bounds of the training sample: texts a language, bytes of each that enter its dictionary, bytes of a dictionary.
-SAMPLE_TEXTS, EXCERPT_BYTES, DICTIONARY_BYTES = 256, 4096, 131_072
+#: Bounds of the training sample: distinct texts a language, characters of an excerpt, bytes of a dictionary.
+SAMPLE_TEXTS, EXCERPT, DICTIONARY_BYTES = 256, 1024, 131_072
 MIN_EVEN_BYTES = 16_384
 LEVEL = 3
 #: Bytes that are compressed at once.
@@ -45,22 +47,25 @@ def held_out(key: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % modulus == remainder, F.lit(False))
 
 
+def _first(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """The rows of each language whose number in by is among the most smallest; each task passes on so many only."""
+    return rows.withColumn("_n", F.row_number().over(W.partitionBy("_lang").orderBy(by))).where(F.col("_n") <= most).drop("_n")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, int, bytes]]:
-    """(language, number of texts, dictionary), most texts first. Reads the texts with a language; no other column."""
+    """(language, number of texts in the sample, dictionary), most texts first. Reads the texts with a language; no other column."""
     rows = labelled.select(F.col(text).alias("_text"), F.col(lang).alias("_lang")).where(F.col(lang).isNotNull() & (F.length(text) > 0))
-    sizes = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return []
-    # about three times the sample passes the first threshold, whatever the size of the table
-    share = F.coalesce(*(F.when(F.col("_lang") == k, F.lit(min(1.0, 3 * SAMPLE_TEXTS / n))) for k, n in sorted(sizes.items())))
-    place = F.pmod(F.xxhash64("_text"), F.lit(1 << 30))
-    drawn = rows.withColumn("_place", place).where(F.col("_place") <= share * float(1 << 30)).dropDuplicates(["_lang", "_text"])
-    first = drawn.withColumn("_n", F.row_number().over(W.partitionBy("_lang").orderBy("_place", "_text"))).where(F.col("_n") <= SAMPLE_TEXTS)
-    excerpts = first.select("_lang", "_n", F.substring("_text", 1, EXCERPT_BYTES).alias("_text")).collect()
+    hashed = rows.withColumn("_hash", F.xxhash64("_text"))
+    chosen = _first(hashed.select("_lang", "_hash").distinct(), "_hash", SAMPLE_TEXTS)
+    sample = hashed.join(F.broadcast(chosen), ["_lang", "_hash"], "left_semi").dropDuplicates(["_lang", "_hash", "_text"])
+    cut = sample.select("_lang", "_hash", F.explode(F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{EXCERPT}}}+"), F.lit(0))).alias("_part"))
+    cut = cut.withColumn("_place", F.struct(F.xxhash64("_part"), "_hash"))
+    excerpts = _first(cut, "_place", DICTIONARY_BYTES // EXCERPT * 2).select("_lang", "_place", "_part").collect()
+    sizes = {r["_lang"]: r["n"] for r in chosen.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     found = []
     for name, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
-        own = sorted((r for r in excerpts if r["_lang"] == name), key=lambda r: r["_n"])
-        content = b"\n".join(letters(r["_text"]).encode()[:EXCERPT_BYTES] for r in own)
+        own = sorted((r for r in excerpts if r["_lang"] == name), key=lambda r: tuple(r["_place"]))
+        content = b"\n".join(letters(r["_part"]).encode() for r in own)
         if content:
             found.append((name, n, content[:DICTIONARY_BYTES]))
     # a longer dictionary compresses any text better: all get the length of the shortest, down to a floor
