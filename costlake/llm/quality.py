@@ -9,10 +9,12 @@ histograms: below MIN_CHARS or MIN_WORDS that comparison is left out.
 The corpus pass counts words a task at a time and sums the counts in one shuffle; only
 the references, a few hundred rows a language, reach the driver.
 
-Defined cases: a null text counts as empty, has no words and fails; repeated rows are
-judged each for itself; documents without a language take no part in references but are
-judged; without any reference only the base rules hold; an empty table gives an empty
-result; other columns of the input are not read.
+Defined cases: a null text counts as empty, has no words and fails; a very long text is
+counted whole, as one of few in its slice; words equally frequent are ranked by their
+bytes; repeated rows are judged each for itself; documents without a language take no part
+in references but are judged; a language of fewer than MIN_REFERENCE_WORDS words in all
+gives no reference, as its shares would be noise; without any reference only the base
+rules hold; an empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .arrowmap import SLICE, filter_slices, map_slices, ship
+from .arrowmap import filter_slices, map_slices, ship, slices
 
 COMMON = 200
 MIN_CHARS, MIN_WORDS, MIN_REFERENCE_WORDS = 250, 100, 1000
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.14, 0.52
-#: Distinct words a task holds before it hands on its counts.
-HELD_WORDS = 400_000
+#: Distinct words a task holds before it hands on its counts; bytes from which a word is counted by its digest.
+HELD_WORDS, LONG_WORD = 400_000, 64
 CLASSES = ("lower", "upper", "letter", "mark", "number", "space", "newline", "punctuation", "symbol", "other")
 # White space between words, and symbols.
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
@@ -86,13 +89,18 @@ def base_counts(text: str, raw: bytes, words: list[bytes]) -> tuple[int, int, in
     )
 
 
+def term(word: bytes) -> bytes:
+    """What a word is counted as: itself, or a digest if it is long, so that references are bounded in bytes."""
+    return word if len(word) <= LONG_WORD else b"\0" + blake2b(word, digest_size=16).digest()
+
+
 def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word, class, n) of a task's documents; the columns are lang, text."""
+    """(lang, word, class, n) of a task's documents, whose columns are lang, text; the class after the last counts all words."""
     words: dict[str, Counter] = {}
     classes: dict[str, np.ndarray] = {}
 
     def flush() -> pa.RecordBatch:
-        rows = [(lang, w, n) for lang, counts in words.items() for w, n in counts.items()]
+        rows = [(lang, term(w), n) for lang, counts in words.items() for w, n in counts.items()]
         words.clear()
         langs, found, numbers = zip(*rows) if rows else ((), (), ())
         nothing = pa.array([None] * len(rows), pa.int32())
@@ -101,12 +109,12 @@ def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            part = batch.slice(at, SLICE)
+        for part in slices(batch):
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 if text:
-                    words.setdefault(lang, Counter()).update(text.encode().lower().split())
-                    classes[lang] = classes.get(lang, 0) + class_counts(text)
+                    found = text.encode().lower().split()
+                    words.setdefault(lang, Counter()).update(found)
+                    classes[lang] = classes.get(lang, 0) + np.append(class_counts(text), len(found))
             if sum(map(len, words.values())) > HELD_WORDS:
                 yield flush()
     yield flush()
@@ -133,20 +141,18 @@ def references(docs: DataFrame, common: int = COMMON) -> list[dict]:
         .agg(F.sum("n").alias("n"))
     )
     ranked = counted.withColumn("_rank", F.row_number().over(W.partitionBy("lang", F.isnull("word")).orderBy(F.desc("n"), "word")))
-    totals = counted.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-    top = ranked.where(F.col("_rank") <= max(common, len(CLASSES))).drop("_rank")
-    rows = top.unionByName(totals.select("lang", F.lit(None).cast("binary").alias("word"), F.lit(-1).alias("class"), "n")).collect()
+    rows = ranked.where(F.col("_rank") <= max(common, len(CLASSES) + 1)).drop("_rank").collect()
     found = []
     for lang in sorted({r["lang"] for r in rows}):
         own = [r for r in rows if r["lang"] == lang]
-        total = sum(r["n"] for r in own if r["class"] == -1)
+        by_class = np.zeros(len(CLASSES) + 1)
+        for r in own:
+            if r["class"] is not None:
+                by_class[r["class"]] = r["n"]
+        total, by_class = int(by_class[-1]), by_class[:-1]
         if total < MIN_REFERENCE_WORDS:
             continue
         words = sorted(((r["n"], bytes(r["word"])) for r in own if r["word"] is not None), key=lambda x: (-x[0], x[1]))[:common]
-        by_class = np.zeros(len(CLASSES))
-        for r in own:
-            if r["class"] is not None and r["class"] >= 0:
-                by_class[r["class"]] = r["n"]
         shares = np.array([n for n, _ in words] + [total - sum(n for n, _ in words)]) / total
         found.append({"lang": lang, "classes": by_class / by_class.sum(), "words": [w for _, w in words], "shares": shares})
     return found
@@ -167,6 +173,7 @@ class Judge:
         self.union = sorted({w for r in known for w in r["words"]})
         place = {w: i for i, w in enumerate(self.union)}
         self.own = [np.array([place[w] for w in r["words"]], dtype=np.int64) for r in known]
+        self.digested = any(w[:1] == b"\0" for w in self.union)
 
     def __call__(self, texts: list[str | None]) -> dict[str, list]:
         base, classes, words = [], np.zeros((len(texts), len(CLASSES))), np.zeros((len(texts), len(self.union)))
@@ -178,6 +185,8 @@ class Judge:
             if self.known and text:
                 classes[i] = class_counts(text)
                 counts = Counter(raw.lower().split())
+                if self.digested:
+                    counts.update({term(w): n for w, n in counts.items() if len(w) > LONG_WORD})
                 words[i] = [counts.get(w, 0) for w in self.union]
         n = np.array([b[0] for b in base], dtype=np.int64)
         chars = classes.sum(axis=1)
