@@ -46,6 +46,47 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert right >= 0.98 * total and accepted >= 0.98 * total
 
 
+def test_repeated_texts_do_not_push_a_language_out(spark):
+    """200,000 rows of 20 distinct texts beside 400 distinct texts of another language: both are learned."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    names = [r["lang"] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(2).collect()]
+    few, many = (docs.where(F.col("lang") == n).select("lang", "text").dropDuplicates() for n in names)
+    hot = few.limit(20).crossJoin(spark.range(10_000)).select("lang", "text")
+    trained = langid.train(hot.union(many.limit(400)))
+    assert sorted(name for name, _, _ in trained) == sorted(names)
+    assert {name: n for name, n, _ in trained}[names[0]] == 20
+    predict = langid.Classifier(trained).predict
+    for name, frame in zip(names, (few, many)):
+        texts = [r["text"] for r in frame.collect() if len(r["text"]) > 500]
+        assert sum(predict(t)[0] == name for t in texts) > 0.95 * len(texts)
+
+
+def test_training_reads_whole_texts(spark):
+    """What only the ends of long texts hold is learned as well."""
+    texts = [("x", "lorem ipsum " * 3000 + f"zweifelhafter{i} schwertfisch " * 3000) for i in range(5)] + [("y", "completely other words stand here " * 200)]
+    trained = {name: content for name, _, content in langid.train(spark.createDataFrame(texts, "lang string, text string"))}
+    assert b"schwertfisch" in trained["x"]
+
+
+def test_prediction_against_plain_compression(docs, table):
+    """The prediction is the language whose dictionary compresses the blocks of the whole text to the fewest bytes."""
+    import zstandard
+
+    trained = langid.train(docs.where(~langid.held_out(F.col("doc_id"), 3, 1)))
+    rows = {r["doc_id"]: r for r in langid.language_report(docs).collect()}
+    for k, r in table.items():
+        text = r["text"] or ""
+        if not any(c.isalpha() for c in text):
+            continue
+        raw = langid.letters(text).encode()
+        sizes = []
+        for _, _, content in trained:
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append(sum(len(c.compress(raw[i : i + langid.BLOCK_BYTES])) for i in range(0, len(raw), langid.BLOCK_BYTES)))
+        assert rows[k]["lang_pred"] == trained[sizes.index(min(sizes))][0]
+
+
 def test_language_edges(docs):
     assert langid.language_report(docs.limit(0)).count() == 0
     none = docs.withColumn("lang", F.lit(None).cast("string"))

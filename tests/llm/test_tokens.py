@@ -69,6 +69,53 @@ def test_packing(docs, texts):
     assert len(of_sequence) <= 1.03 * sum(of_doc.values()) / 2048 + 1
 
 
+ODD = ["x" + " " * 1_000_000 + "y", "\n" * 1_200_000, "a" + " " * 4000 + "<|endoftext|>" + " " * 4000 + "b  c" + "\n" * 2500, "x" + " \t" * 3000 + "\u3000y", "a" + "\x1c" * 3000]
+
+
+def test_long_runs_of_white_space():
+    import public_tokenizers
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing._encoder(public_tokenizers.path(packing.RANKS))
+    for text in ODD + [" " * n + end for n in (1999, 2000, 2001) for end in ("", "x", "\tx", "<|endoftext|>")]:
+        assert encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_pieces(spark):
+    import public_tokenizers
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {1: "some words " * 3000, 2: None, 3: "é😀" * 50}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = packing.pack(docs, with_ids=True).collect()
+    for k, text in texts.items():
+        own = sorted((r for r in rows if r["doc_id"] == k), key=lambda r: r["start"])
+        assert sum((r["ids"] for r in own), []) == [*t.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def characters():
+    """Strings that hold each character beside letters, repeated, and alone."""
+    chars = (chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    return ["a" + c + "b" + c * 3 + " " + c for c in chars]
+
+
+def test_all_characters_pack_like_the_library():
+    import public_tokenizers
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode, texts = packing._encoder(public_tokenizers.path(packing.RANKS)), characters()
+    assert [s for s, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)) if encode(s).tolist() != e.ids] == []
+
+
+def test_all_characters_encode_like_the_library():
+    path = bpe.tokenizer_path(bpe.TOKENIZER)
+    t, encoder, texts = Tokenizer.from_file(path), bpe.TrieEncoder(path), characters()
+    for at in range(0, len(texts), 8192):
+        part = texts[at : at + 8192]
+        for s, (ids, _), e in zip(part, encoder.encode(part), t.encode_batch(part, add_special_tokens=False)):
+            assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == e.ids, s
+
+
 def test_plan_holds_the_demand_in_few_sequences():
     rng = np.random.default_rng(3)
     for units in (16, 64):
