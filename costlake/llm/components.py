@@ -7,6 +7,25 @@ from pyspark.sql import functions as F
 
 from .scratch import materialize
 
+#: A key with more than one in MOST_HOT of all rows, and LEAST_HOT at least, is hot; there are MOST_HOT of them at most.
+MOST_HOT, LEAST_HOT = 2000, 200
+
+
+def attach(rows: DataFrame, table: DataFrame, key: str, counted: str | None = None) -> DataFrame:
+    """Inner join of rows with table, which has one row a key; both should be stored.
+
+    Rows of hot keys meet their table rows by a broadcast of at most MOST_HOT rows, and the
+    other keys have few rows each, so that no task gets a hot key's rows. The column of
+    table that holds each key's number of rows is named by counted, if there is one.
+    """
+    limit = max(LEAST_HOT, rows.count() // MOST_HOT)
+    if counted:
+        hot = table.where(F.col(counted) > limit)
+    else:
+        hot = table.join(rows.groupBy(key).count().where(F.col("count") > limit).select(key), key)
+    hot = materialize(hot, "hot")
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table, key))
+
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, label) for every end of links (a, b): label is the smallest node reachable.
@@ -14,18 +33,19 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     Each round hangs every node's larger neighbours under the node's smallest neighbour
     (large star), then its smaller neighbours (small star), until the links are stars; the
     number of rounds grows with the logarithm of the longest path. Minima are aggregated
-    before any shuffle and hot centres are joined, never gathered.
+    before any shuffle and hot centres are joined by broadcast, never gathered.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     links = materialize(links, "links")
     before = None
     for _ in range(most_rounds):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), "least")
+        large = attach(both, least, "a", "n").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a's neighbours are all smaller
-        root = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(root, "a")
+        large = materialize(large, "large")
+        root = materialize(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "root")
+        joined = attach(large, root, "a", "n")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(root.select("a", F.col("m").alias("b"))).distinct()
         links = materialize(small, "links")
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

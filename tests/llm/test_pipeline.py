@@ -4,7 +4,9 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from costlake.llm import langid, quality, simhash
+from test_near_copies import expected
+
+from costlake.llm import langid, quality
 from costlake.llm.scratch import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -39,26 +41,32 @@ def test_language(steps):
 
 
 def test_near_duplicates(steps):
+    """Against exact Jaccard similarity of all pairs of five-word shingle sets."""
     docs, _ = steps
-    prints = {k: simhash.fingerprint_of(r["text"], 5) for k, r in docs[2].items()}
-    root = {k: k for k in prints}
-
-    def find(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-
-    keys = sorted(prints)
-    for i, a in enumerate(keys):
-        for b in keys[:i]:
-            if (prints[a] ^ prints[b]).bit_count() <= simhash.MAX_BITS:
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    assert set(docs[3]) == {k for k in keys if find(k) == k}
+    assert set(docs[3]) == expected({k: r["text"] for k, r in docs[2].items()})
+    assert all(docs[3][k] == docs[2][k] for k in docs[3])
     texts = [r["text"] for r in docs[3].values()]
     assert len(set(texts)) == len(texts) < len(docs[2])
 
 
+def test_rows_with_one_key_and_without(spark, steps):
+    """Each text of a repeated key counts by itself, equal rows once; a row without a key stays if no row with one is its copy."""
+    a, b, c = (r["text"] for r in list(steps[0][3].values())[:3])
+    rows = [(1, a), (1, a), (1, b), (2, b), (3, a), (None, c), (None, c), (None, a), (None, None), (4, None), (5, "")]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, _key string")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in got) == sorted([("1", a), ("1", b), ("None", c), ("4", "")])
+
+
+def test_null_texts_pass_no_stage_that_judges(spark, steps):
+    docs = steps[1][0].limit(80).union(steps[1][0].limit(3).withColumn("text", F.lit(None).cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs = stage(spark, docs, SF)
+    assert docs.where("text is null").count() == 0 and docs.count() > 0
+    for name, stage in corpus_pipeline.STAGES[2:]:
+        assert stage(spark, steps[1][0].limit(3).withColumn("text", F.lit(None).cast("string")), SF).count() > 0
+
+
 def test_personal_data(steps):
     docs, _ = steps
     assert set(docs[4]) == set(docs[3])
@@ -71,6 +79,7 @@ def test_packing(steps):
     docs, frames = steps
     rows = frames[-1].collect()
     assert {r["doc_id"] for r in rows} == set(docs[4])
+    assert all(len(r["ids"]) == r["length"] for r in rows)
     assert all(r["offset"] + r["length"] <= 2048 for r in rows)
 
 

@@ -1,8 +1,10 @@
 """Quality rules and fingerprints against brute force."""
 
 import hashlib
+import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -65,6 +67,50 @@ def test_quality_counts(docs, texts):
     assert sum(r["kept"] for r in good) > 0.9 * len(good)
 
 
+def test_kept_is_recomputed(docs, texts):
+    """The verdict from distances in plain Python: nearest language by each histogram, left out where a text is short."""
+    known = quality.references(docs)
+    table = {0: "lower", 1: "upper", 2: "letter", 3: "mark", 5: "space", 6: "newline", 7: "punctuation", 8: "symbol", 9: "other"}
+
+    def distance(p, q):
+        total = 0.0
+        for a, b in zip(p, q):
+            m = (a + b) / 2
+            total += (a * math.log2(a / m) if a else 0) / 2 + (b * math.log2(b / m) if b else 0) / 2
+        return math.sqrt(max(0.0, total))
+
+    for r in quality.judge(docs).collect():
+        text = texts[r["doc_id"]]
+        words = text.encode().lower().split()
+        classes = Counter()
+        for c in text:
+            kind = unicodedata.category(c)
+            at = 6 if c == "\n" else 5 if c == "\t" else {"Ll": 0, "Lu": 1}.get(kind, {"L": 2, "M": 3, "N": 4, "Z": 5, "P": 7, "S": 8}.get(kind[0], 9))
+            classes[at] += at in table
+        chars, tally = sum(classes.values()), Counter(words)
+        want = not r["base_failed"]
+        if chars >= quality.MIN_CHARS:
+            near = min(distance([classes[i] / chars for i in range(10)], ref["classes"]) for ref in known)
+            assert math.isclose(near, r["char_distance"], abs_tol=1e-6)
+            want &= r["char_distance"] <= quality.MAX_CHAR_DISTANCE
+        if len(words) >= quality.MIN_WORDS:
+            near = []
+            for ref in known:
+                own = [tally[w] / len(words) for w in ref["words"]]
+                near.append(distance([*own, 1 - sum(own)], ref["shares"]))
+            assert math.isclose(min(near), r["word_distance"], abs_tol=1e-6)
+            want &= r["word_distance"] <= quality.MAX_WORD_DISTANCE
+        assert r["kept"] == want
+
+
+def test_long_words_are_counted_by_digest(spark):
+    text = " ".join(["w" * 5000] * 300 + [f"a{i}" for i in range(900)])
+    docs = spark.createDataFrame([(1, text, "x"), (2, text, "x")], "doc_id long, text string, lang string")
+    (ref,) = quality.references(docs)
+    assert len(ref["words"][0]) == 17 and math.isclose(ref["shares"][0], 0.25)
+    assert quality.Judge([ref])([text])["word_distance"][0] < 0.3
+
+
 def test_references_are_exact(docs, texts):
     langs = {r["doc_id"]: r["lang"] for r in docs.collect()}
     for ref in quality.references(docs, 30):

@@ -201,7 +201,7 @@ def test_links_of_crafted_fingerprints(spark):
     centre = rng.getrandbits(64)
     prints += [centre ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i)][:300]
     prints = list(dict.fromkeys(prints))
-    points = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    points = spark.createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
     got = {r["fp"] & (2**64 - 1): r["label"] for r in simhash.link_components(points).collect()}
     want = brute_components({i: p for i, p in enumerate(prints)})
     groups = lambda m: sorted(sorted(k for k in m if m[k] == v) for v in set(m.values()))
