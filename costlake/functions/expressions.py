@@ -12,13 +12,13 @@ NO_CENTER = ("", "unknown", "unallocated", "unallocated costs", "no cost center
 EUROPE_REGIONS = ("west europe", "north europe", "france central", "sweden central", "uk south")
 POLICY_VERSION = "REGION_FALLBACK_V1"
 
-# Keys of the tags that describe an application, and the columns they become.
+#: Default keys of the tags that describe an application, by the columns they become; plans take another map as a parameter.
 APPLICATION_TAGS = {
-    "application_code": "ApplicationCode-Symphony",
-    "application_name": "ApplicationName-Symphony",
-    "application_owner_id": "IDSApplicationOwner-Symphony",
-    "application_owner_email": "IDSApplicationOwner-Email-Symphony",
-    "application_business_owner": "ApplicationBusinessOwner-Symphony",
+    "application_code": "application-code",
+    "application_name": "application-name",
+    "application_owner_id": "application-owner-id",
+    "application_owner_email": "application-owner-email",
+    "application_business_owner": "application-business-owner",
 }
 
 

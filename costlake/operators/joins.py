@@ -6,13 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a price list or of run windows that are broadcast at most, and copies of a larger one.
+FEW, SALTS = 10_000, 16
+
+
+def few(df: DataFrame) -> bool:
+    """Whether df has at most FEW rows; no more are counted."""
+    return df.limit(FEW + 1).count() <= FEW
+
+
+def spread(records: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """records with a random _salt, and others once for each as _p_salt."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_p_salt")
+    return records.withColumn("_salt", F.pmod(F.xxhash64(*records.columns), F.lit(SALTS)).cast("int")), others.select("*", salts)
+
+
 def validity_join(
     records: DataFrame, prices: DataFrame, keys: list[str], at: str, valid_from: str, valid_to: str, until: str | None = None, how: str = "left"
 ) -> DataFrame:
     """records with the prices of equal keys that are valid at a time; a null end is open.
 
-    until: the price must also cover the record up to there. Equal keys make it a hash or
-    merge join; the range is checked on the few rows of a key.
+    until: the price must also cover the record up to there. Up to FEW prices, which are
+    counted first, are broadcast; more are repeated SALTS times, so that the records of one
+    key, often most of all, meet them in as many tasks.
     """
     p = prices.select(*(F.col(c).alias(f"_k_{c}") for c in keys), *(c for c in prices.columns if c not in keys))
     within = (F.col(at) >= F.col(valid_from)) & (
@@ -21,14 +37,20 @@ def validity_join(
     same = within
     for k in keys:
         same &= records[k] == F.col(f"_k_{k}")
-    return records.join(p, same, how).drop(*(f"_k_{k}" for k in keys))
+    if few(p):
+        return records.join(F.broadcast(p), same, how).drop(*(f"_k_{k}" for k in keys))
+    salted, p = spread(records, p)
+    for k in keys:
+        within &= salted[k] == F.col(f"_k_{k}")
+    return salted.join(p, within & (F.col("_salt") == F.col("_p_salt")), how).drop(*(f"_k_{k}" for k in keys), "_salt", "_p_salt")
 
 
 def overlap_join(records: DataFrame, windows: DataFrame, start: str, end: str, window_start: str, window_end: str, bucket_hours: int = 24) -> DataFrame:
     """records with each window that overlaps them, and overlap_seconds, by an equality on time buckets.
 
     Both sides are dealt to the buckets that they touch; a pair counts in the bucket in
-    which its overlap begins, so it comes out once and no cross join is needed.
+    which its overlap begins, so it comes out once and no cross join is needed. Few windows
+    are broadcast, more are repeated for the salts of a bucket's records.
     """
     width = bucket_hours * 3600
     seconds = lambda c: F.unix_timestamp(c)
@@ -39,7 +61,12 @@ def overlap_join(records: DataFrame, windows: DataFrame, start: str, end: str, w
     r = records.where(F.col(end) > F.col(start)).withColumn("_bucket", buckets(start, end))
     w = windows.where(F.col(window_end) > F.col(window_start)).withColumn("_bucket", buckets(window_start, window_end))
     first, last = F.greatest(seconds(start), seconds(window_start)), F.least(seconds(end), seconds(window_end))
-    return r.join(w, "_bucket").where((last > first) & (F.floor(first / width) == F.col("_bucket"))).withColumn("overlap_seconds", last - first).drop("_bucket")
+    if few(w):
+        pairs = r.join(F.broadcast(w), "_bucket")
+    else:
+        r, w = spread(r, w)
+        pairs = r.join(w.withColumnRenamed("_p_salt", "_salt"), ["_bucket", "_salt"]).drop("_salt")
+    return pairs.where((last > first) & (F.floor(first / width) == F.col("_bucket"))).withColumn("overlap_seconds", last - first).drop("_bucket")
 
 
 def differences(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

@@ -24,8 +24,11 @@ def entitlements_of(entitlements: DataFrame, provider: str, principal: str, envi
     return entitlements.where(mine & live(now)).select("role", "scope_type", "scope_id")
 
 
-def invalid_entitlements(mine: DataFrame) -> DataFrame:
-    """Rows that make access refused: wrong scope type, blank, padded or unknown scope, a star outside the admin role, duplicates."""
+def invalid_entitlements(mine: DataFrame, *by: str) -> DataFrame:
+    """Rows that make access refused: wrong scope type, blank, padded or unknown scope, a star outside the admin role, duplicates.
+
+    mine holds one viewer's rows, or several viewers' told apart by the columns named.
+    """
     scope = F.coalesce(F.col("scope_id"), F.lit(""))
     matches = F.lit(False)
     for role, kind in ROLES.items():
@@ -36,7 +39,7 @@ def invalid_entitlements(mine: DataFrame) -> DataFrame:
         .when((F.col("role") == "FINOPS_ADMIN") != (scope == "*"), "star")
         .when(F.col("copies") > 1, "duplicate")
     )
-    counted = mine.groupBy("role", "scope_type", "scope_id").agg(F.count("*").alias("copies"))
+    counted = mine.groupBy(*by, "role", "scope_type", "scope_id").agg(F.count("*").alias("copies"))
     return counted.withColumn("finding", finding).where("finding is not null")
 
 
@@ -64,10 +67,20 @@ def visible_applications(mine: DataFrame, scopes: DataFrame, environment: str) -
     return found.distinct()
 
 
+def _admin(mine: DataFrame) -> DataFrame:
+    """One row if the viewer is an admin, else none."""
+    return mine.where("role = 'FINOPS_ADMIN' and scope_id = '*'").limit(1).select(F.lit(True).alias("_admin"))
+
+
+def for_admins(rows: DataFrame, mine: DataFrame) -> DataFrame:
+    """rows for an admin, none for anybody else: for what no scope restricts, such as run logs and usage telemetry."""
+    return rows.join(F.broadcast(_admin(mine)), F.lit(True), "left_semi")  # one flag
+
+
 def scoped(rows: DataFrame, mine: DataFrame, scopes: DataFrame, environment: str) -> DataFrame:
     """Rows that the viewer may see, each once. An admin sees the environment, also rows without an application."""
     own = rows.where(F.col("environment") == environment)
-    admin = mine.where("role = 'FINOPS_ADMIN' and scope_id = '*'").limit(1).select(F.lit(True).alias("_admin"))
+    admin = _admin(mine)
     marked = own.join(F.broadcast(admin), F.lit(True), "left")  # one flag
     apps = visible_applications(mine, scopes, environment).withColumn("_visible", F.lit(True))
     return marked.join(apps, "application_code", "left").where("_admin or _visible").select(*rows.columns)

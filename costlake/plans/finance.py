@@ -12,11 +12,11 @@ from .serving import latest
 CONSUMPTION_KEYS = ["billing_month", "application_code", "service_name", "sku_id", "consumed_unit"]
 
 
-def consumption(allocation: DataFrame) -> DataFrame:
+def consumption(allocation: DataFrame, application_tags: dict[str, str] = APPLICATION_TAGS) -> DataFrame:
     """Net usage by month, application, service, SKU and unit. A quantity without a unit is no measurement, not zero."""
     rows = allocation.where(F.col("ChargeCategory") == "Usage").select(
         "billing_month",
-        blank_to_null(F.element_at(tag_map(), F.lit(APPLICATION_TAGS["application_code"]))).alias("application_code"),
+        blank_to_null(F.element_at(tag_map(), F.lit(application_tags["application_code"]))).alias("application_code"),
         F.col("ServiceName").alias("service_name"),
         F.col("SkuId").alias("sku_id"),
         normalized_unit("ConsumedUnit").alias("consumed_unit"),
@@ -60,13 +60,20 @@ def coverage(rows: DataFrame) -> DataFrame:
     return sums.withColumns({"coverage_percent": percent, "coverage_status": label.otherwise("PARTIAL")})
 
 
-def net_usage(records: DataFrame) -> DataFrame:
-    """Net quantity by month, workspace and SKU; corrections stay in the sum."""
-    return records.groupBy(month_of("usage_start_time").alias("usage_month"), "workspace_id", "sku_name", "usage_unit").agg(
-        F.sum("usage_quantity").alias("net_quantity"),
-        F.count("*").alias("billing_records"),
-        F.min(F.to_date("usage_start_time")).alias("first_available_usage_date"),
-        F.max(F.to_date("usage_start_time")).alias("last_available_usage_date"),
+def net_usage(records: DataFrame, labels: dict[int, str] | None = None, free_skus: tuple[str, ...] = ()) -> DataFrame:
+    """Net quantity by month, workspace, SKU and product; corrections stay in the sum. Workspaces without a label have none."""
+    label = F.lit(None).cast("string")
+    for workspace, name in (labels or {}).items():
+        label = F.when(F.col("workspace_id") == workspace, name).otherwise(label)
+    return (
+        records.groupBy(month_of("usage_start_time").alias("usage_month"), "workspace_id", "sku_name", "billing_origin_product", "usage_unit")
+        .agg(
+            F.sum("usage_quantity").alias("net_quantity"),
+            F.count("*").alias("billing_records"),
+            F.min(F.to_date("usage_start_time")).alias("first_available_usage_date"),
+            F.max(F.to_date("usage_start_time")).alias("last_available_usage_date"),
+        )
+        .withColumns({"workspace_label": label, "is_free_usage": F.col("sku_name").isin(*free_skus) if free_skus else F.lit(False)})
     )
 
 
@@ -83,15 +90,24 @@ def usage_availability(records: DataFrame) -> DataFrame:
 PRICE_KEYS = ["cloud", "sku_name", "usage_unit"]
 
 
-def priced_daily(records: DataFrame, prices: DataFrame, currency: str = "USD") -> DataFrame:
-    """Daily cost at list prices. A record counts only with exactly one price that covers it; else its day's total is unknown, that is, null."""
-    joined = validity_join(
-        records, prices.where(F.col("currency_code") == currency), PRICE_KEYS, "usage_start_time", "price_start_time", "price_end_time", "usage_end_time"
-    )
-    by_record = joined.groupBy("record_id", F.to_date("usage_start_time").alias("usage_date"), "sku_name", "usage_quantity").agg(
-        F.when(F.count("price") == 1, F.min("price")).alias("unit_price")
+def unit_prices(records: DataFrame, prices: DataFrame, currency: str = "USD") -> DataFrame:
+    """Each record with unit_price: that of the one price row that covers the whole record.
+
+    Null where no row or several match, a matching row counting whether or not it names a
+    price, or where nine decimals cannot hold the price exactly.
+    """
+    offered = prices.where(F.col("currency_code") == currency).withColumn("_matched", F.lit(True))
+    joined = validity_join(records, offered, PRICE_KEYS, "usage_start_time", "price_start_time", "price_end_time", "usage_end_time")
+    exact, wide = F.min(F.col("price").try_cast("decimal(18,9)")), F.min(F.col("price").try_cast("decimal(38,18)"))
+    return joined.groupBy("record_id", F.to_date("usage_start_time").alias("usage_date"), "sku_name", "usage_quantity").agg(
+        F.when((F.count("_matched") == 1) & (exact == wide), exact).alias("unit_price")
     )
-    cost = F.col("usage_quantity").cast("decimal(30,18)") * F.col("unit_price")
+
+
+def priced_daily(records: DataFrame, prices: DataFrame, currency: str = "USD") -> DataFrame:
+    """Daily cost at list prices; a day with a record without a unit price is unknown, that is, null."""
+    by_record = unit_prices(records, prices, currency)
+    cost = F.col("usage_quantity").try_cast("decimal(30,18)") * F.col("unit_price")
     return by_record.groupBy("usage_date", month_of("usage_date").alias("month"), F.col("sku_name").alias("service")).agg(
         sum_or_null(cost).cast("decimal(38,16)").alias("cost_before_credits"), F.sum("usage_quantity").alias("usage_quantity")
     ).withColumns(
@@ -201,13 +217,21 @@ def totals_by_month(rows: DataFrame) -> DataFrame:
     )
 
 
-def calendar_series(daily: DataFrame, start: str, end: str, day: str = "usage_date") -> DataFrame:
-    """Every day of the calendar by provider with its total; days without rows stay null, never zero."""
-    providers = daily.select("provider").distinct()
-    summed = daily.groupBy("provider", day).agg(F.sum("cost_before_credits").alias("total"))
+# How a day of each calendar is named, and the step between its periods.
+PERIODS = {"day": ("yyyy-MM-dd", "1 day"), "month": ("yyyy-MM", "1 month"), "year": ("yyyy", "1 year")}
+
+
+def calendar_series(daily: DataFrame, start: str, end: str, period: str = "day", day: str = "usage_date") -> DataFrame:
+    """Every day, month or year of the calendar by provider with its total; periods without rows stay null, never zero,
+    and one with an unknown amount is unknown."""
+    form, step = PERIODS[period]
+    within = daily.where(F.col(day).between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    summed = within.groupBy("provider", F.date_format(day, form).alias("period")).agg(sum_or_null(F.col("cost_before_credits")).alias("total"))
+    first = F.trunc(F.to_date(F.lit(start)), period) if period != "day" else F.to_date(F.lit(start))
     # providers are a handful of names: the calendar is repeated for each
-    grid = providers.select("provider", F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias(day))
-    return grid.join(summed, ["provider", day], "left")
+    days = F.explode(F.sequence(first, F.to_date(F.lit(end)), F.expr(f"interval {step}")))
+    grid = daily.select("provider").distinct().select("provider", days.alias("_day")).select("provider", F.date_format("_day", form).alias("period"))
+    return grid.join(summed, ["provider", "period"], "left")
 
 
 # Services that run virtual machines, grid intensities (g CO2e per kWh), and the wording of a status.

@@ -166,10 +166,12 @@ def dim_date(lines: DataFrame) -> DataFrame:
 def _latest(rows: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     """Type 1: for each key the row of the latest event, and the first event as valid_from.
 
-    One aggregate with map-side combination; max of a struct breaks ties by the attributes.
+    A hash aggregate leaves one row for each version of a key, with its first and last
+    event; the newest of the few versions follows, ties broken by the attributes.
     """
+    versions = rows.groupBy(key, "_ingested_at", *attributes).agg(F.max("event_time").alias("event_time"), F.min("event_time").alias("_first"))
     newest = F.max(F.struct("event_time", "_ingested_at", *attributes)).alias("_newest")
-    return rows.groupBy(key).agg(newest, F.min("event_time").alias("valid_from")).select(
+    return versions.groupBy(key).agg(newest, F.min("_first").alias("valid_from")).select(
         key,
         *(F.col(f"_newest.{a}").alias(a) for a in attributes),
         "valid_from",
@@ -183,17 +185,17 @@ def dim_billing_scope(lines: DataFrame) -> DataFrame:
     return _latest(rows, "billing_scope_sk", list(SCOPE))
 
 
-def dim_resource(lines: DataFrame) -> DataFrame:
+def dim_resource(lines: DataFrame, application_tags: dict[str, str] = APPLICATION_TAGS) -> DataFrame:
     tagged = lines.withColumn("_tags", tag_map())
     rows = tagged.select(
         resource_key().alias("resource_sk"),
         *(c.alias(n) for n, c in _attributes(RESOURCE).items()),
         F.coalesce("Tags", F.lit("")).alias("tags_raw"),
-        *(F.coalesce(blank_to_null(F.element_at("_tags", F.lit(k))), F.lit(UNKNOWN)).alias(n) for n, k in APPLICATION_TAGS.items()),
+        *(F.coalesce(blank_to_null(F.element_at("_tags", F.lit(k))), F.lit(UNKNOWN)).alias(n) for n, k in application_tags.items()),
         event_time().alias("event_time"),
         "_ingested_at",
     )
-    return _latest(rows, "resource_sk", [*RESOURCE, "tags_raw", *APPLICATION_TAGS])
+    return _latest(rows, "resource_sk", [*RESOURCE, "tags_raw", *application_tags])
 
 
 def _distinct(lines: DataFrame, key: str, value: Column, attributes: dict[str, Column]) -> DataFrame:
@@ -251,7 +253,7 @@ def identified_lines(lines: DataFrame) -> DataFrame:
     """lines with line_key: the row's content hash and its number among equal rows of the file.
 
     The same in every replay, whatever the order of rows, and numbered in parallel: only
-    equal rows share a window.
+    equal rows share a window. Columns that are not used later are pruned before it.
     """
     from ..operators.contract import fingerprint
 

@@ -30,9 +30,12 @@ class Gold:
     def dimension(self, name: str) -> DataFrame:
         return gold.DIMENSIONS[name](self.lines)
 
-    def star(self, *joins: tuple[str, str]) -> DataFrame:
-        """The fact joined with dimensions (name, key); Spark broadcasts those that turn out small."""
-        out = self.fact
+    def summed(self, joins: list[tuple[str, str]], *kept: str) -> DataFrame:
+        """billed_cost summed by the keys of joins (dimension, key) and kept, then joined with the dimensions.
+
+        The sums come first: a dimension meets a row for each of its keys, not each line.
+        """
+        out = self.fact.groupBy(*kept, *(key for _, key in joins)).agg(F.sum("billed_cost").alias("billed_cost"))
         for name, key in joins:
             out = out.join(self.dimension(name), key)
         return out
@@ -73,32 +76,32 @@ def top(df: DataFrame, limit: int, *ties: str, by: str = "total_billed_cost") ->
 
 def top_services(g: Gold, limit: int = 30) -> DataFrame:
     keys = ["service_category", "service_name"]
-    return top(g.star(SERVICE).groupBy(*keys).agg(_billed()), limit, *keys)
+    return top(g.summed([SERVICE]).groupBy(*keys).agg(_billed()), limit, *keys)
 
 
 def top_resources(g: Gold, limit: int = 100) -> DataFrame:
     keys = ["resource_group_name", "resource_name", "region"]
-    return top(g.star(RESOURCE, LOCATION).groupBy(*keys).agg(_billed()), limit, *keys)
+    return top(g.summed([RESOURCE, LOCATION]).groupBy(*keys).agg(_billed()), limit, *keys)
 
 
 def cost_by_charge_type(g: Gold) -> DataFrame:
-    return g.star(("dim_charge_type", "charge_type_sk")).groupBy("billing_month", "charge_category", "charge_frequency").agg(_billed())
+    return g.summed([("dim_charge_type", "charge_type_sk")], "billing_month").groupBy("billing_month", "charge_category", "charge_frequency").agg(_billed())
 
 
 def sku_cost(g: Gold, limit: int = 100) -> DataFrame:
     keys = ["sku_id", "meter_category", "meter_name"]
-    return top(g.star(("dim_sku", "sku_sk")).groupBy(*keys).agg(_billed()), limit, *keys)
+    return top(g.summed([("dim_sku", "sku_sk")]).groupBy(*keys).agg(_billed()), limit, *keys)
 
 
-def savings_of(lines: DataFrame, keys: list[str]) -> DataFrame:
+def savings_of(
+    lines: DataFrame, keys: list[str], component: Column | None = None, costs: tuple[str, str, str] = ("ListCost", "ContractedCost", "EffectiveCost")
+) -> DataFrame:
     """List, contracted and effective cost by keys, their differences, and the effective cost by component."""
-    component = cost_component()
-    part = lambda name: F.coalesce(F.sum(F.when(component == name, F.col("EffectiveCost")).otherwise(0)), F.lit(0))
+    component = cost_component() if component is None else component
+    part = lambda name: F.coalesce(F.sum(F.when(component == name, F.col(costs[2])).otherwise(0)), F.lit(0))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     sums = lines.groupBy(*keys).agg(
-        total("ListCost").alias("list_cost"),
-        total("ContractedCost").alias("contracted_cost"),
-        total("EffectiveCost").alias("effective_cost"),
+        *(total(c).alias(n) for c, n in zip(costs, ("list_cost", "contracted_cost", "effective_cost"))),
         *(part(c).alias(c) for c in ("reservation", "savings_plan", "usage_on_demand", "usage_dynamic", "adjustment")),
         part("other").alias("other_effective_cost"),
     )
@@ -135,7 +138,7 @@ def executive_summary_monthly(g: Gold) -> DataFrame:
 
 
 def top_resources_monthly(g: Gold) -> DataFrame:
-    return g.star(RESOURCE, LOCATION).groupBy("billing_month", "resource_group_name", "resource_name", "region").agg(_billed())
+    return g.summed([RESOURCE, LOCATION], "billing_month").groupBy("billing_month", "resource_group_name", "resource_name", "region").agg(_billed())
 
 
 def data_quality_monthly(g: Gold) -> DataFrame:
@@ -155,7 +158,7 @@ def data_quality_monthly(g: Gold) -> DataFrame:
 
 
 def _with_resources(g: Gold, keys: list[Column | str], *joins: tuple[str, str]) -> DataFrame:
-    return g.star(RESOURCE, *joins).groupBy(*keys).agg(_billed(), F.countDistinct("resource_id").alias("resource_count"))
+    return g.summed([RESOURCE, *joins], "billing_month").groupBy(*keys).agg(_billed(), F.countDistinct("resource_id").alias("resource_count"))
 
 
 def cost_by_resource_group_month(g: Gold) -> DataFrame:

@@ -11,14 +11,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import APPLICATION_TAGS, UNKNOWN, blank_to_null, cost_component, displayed_center, known, ratio, tag_map
-from .marts import top
+from .marts import OWNER, savings_of, top
 
 
 
-def serving_lines(allocation: DataFrame, environment: str = "prod") -> DataFrame:
+def serving_lines(allocation: DataFrame, environment: str = "prod", application_tags: dict[str, str] = APPLICATION_TAGS) -> DataFrame:
     """Charge lines as the reports read them; the tags are parsed once a line."""
     tagged = allocation.withColumn("_tags", tag_map())
-    tag = lambda name: blank_to_null(F.element_at("_tags", F.lit(APPLICATION_TAGS[name])))
+    tag = lambda name: blank_to_null(F.element_at("_tags", F.lit(application_tags[name])))
     return tagged.select(
         F.lit(environment).alias("environment"),
         "billing_month",
@@ -40,7 +40,7 @@ def serving_lines(allocation: DataFrame, environment: str = "prod") -> DataFrame
         F.col("ChargeCategory").alias("charge_category"),
         F.col("ChargeFrequency").alias("charge_frequency"),
         tag("application_code").alias("application_code"),
-        *(F.coalesce(tag(n), F.lit(UNKNOWN)).alias(n) for n in APPLICATION_TAGS if n != "application_code"),
+        *(F.coalesce(tag(n), F.lit(UNKNOWN)).alias(n) for n in application_tags if n != "application_code"),
         F.col("BilledCost").alias("billed_cost"),
         F.col("EffectiveCost").alias("effective_cost"),
         F.col("ListCost").alias("list_cost"),
@@ -194,29 +194,86 @@ def cost_bridge(savings: DataFrame) -> DataFrame:
     return savings.select("billing_month", stackable.alias("stackable"), F.inline(steps))
 
 
-def scoped_reports(rows: DataFrame) -> dict[str, DataFrame]:
-    """The marts' shapes over scoped lines (serving_lines already restricted to a viewer)."""
-    renamed = rows.select(
-        "billing_month",
-        *(F.col(a).alias(b) for a, b in (("list_cost", "ListCost"), ("contracted_cost", "ContractedCost"), ("effective_cost", "EffectiveCost"))),
-        F.col("charge_category").alias("ChargeCategory"),
-        "effective_cost_component",
+# --- the same reports for one viewer: rows are serving lines that scoping has restricted to what the viewer may see
+
+
+def summary_of(rows: DataFrame) -> DataFrame:
+    """The executive mart's columns over the viewer's lines."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    sums = rows.where("billing_month is not null").groupBy("billing_month").agg(
+        F.count("*").alias("charge_lines"),
+        F.countDistinct("resource_id").alias("active_resources"),
+        F.countDistinct("service_name").alias("consumed_services"),
+        *map(total, ("billed_cost", "effective_cost", "list_cost")),
+    )
+    return sums.withColumn("total_savings_vs_list", F.col("list_cost") - F.col("effective_cost"))
+
+
+def savings_by_month(rows: DataFrame) -> DataFrame:
+    return savings_of(
+        rows.where("billing_month is not null"), ["billing_month"], F.col("effective_cost_component"), ("list_cost", "contracted_cost", "effective_cost")
     )
-    component = lambda name: F.coalesce(F.sum(F.when(F.col("effective_cost_component") == name, F.col("EffectiveCost"))), F.lit(0))
-    return {
-        "monthly": rows.groupBy("billing_month").agg(F.sum("billed_cost").alias("monthly_billed_cost")),
-        "daily": rows.groupBy("date").agg(F.sum("billed_cost").alias("daily_billed_cost")),
-        "summary": rows.groupBy("billing_month")
-        .agg(
-            F.count("*").alias("charge_lines"),
-            F.countDistinct("resource_id").alias("active_resources"),
-            F.countDistinct("service_name").alias("consumed_services"),
-            *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("billed_cost", "effective_cost", "list_cost")),
-        )
-        .withColumn("total_savings_vs_list", F.col("list_cost") - F.col("effective_cost")),
-        "components": renamed.groupBy("billing_month").agg(
-            *(component(c).alias(c) for c in ("reservation", "savings_plan", "usage_on_demand", "usage_dynamic", "adjustment", "other"))
-        ),
-    }
 
 
+def monthly_billing_of(rows: DataFrame) -> DataFrame:
+    sums = rows.where("billing_month is not null").groupBy("billing_month")
+    return sums.agg(F.coalesce(F.sum("billed_cost"), F.lit(0)).alias("monthly_billed_cost")).orderBy("billing_month")
+
+
+def daily_billing_of(rows: DataFrame, month: str) -> DataFrame:
+    return in_month(rows, month).groupBy("date").agg(F.sum("billed_cost").alias("daily_billed_cost")).orderBy("date")
+
+
+def grouped_resources(rows: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+    """totals() with the number of distinct resources."""
+    sums = rows.groupBy(*keys).agg(F.sum("billed_cost").alias("total_billed_cost"), F.countDistinct("resource_id").alias("resource_count"))
+    return top(sums, limit, *keys) if limit else sums.orderBy(F.desc("total_billed_cost"), *(F.asc_nulls_first(k) for k in keys))
+
+
+def centers_of(rows: DataFrame, month: str, limit: int = 20) -> DataFrame:
+    return totals(in_month(rows, month).withColumn("cost_center", displayed_center("cost_center")), ["cost_center"], limit=limit)
+
+
+def quality_of(rows: DataFrame, month: str) -> DataFrame:
+    """Nulls and batches of a month's lines; one row, of zeros where the viewer has none."""
+    nulls = lambda c: F.count_if(F.col(c).isNull())
+    counted = in_month(rows, month).agg(
+        F.lit(month).alias("billing_month"),
+        F.count("*").alias("total_rows"),
+        nulls("billed_cost").alias("billed_cost_nulls"),
+        nulls("billing_currency").alias("currency_nulls"),
+        nulls("service_name").alias("service_nulls"),
+        F.countDistinct("ingestion_run_id").alias("batches"),
+        F.max("ingested_at").alias("latest_silver_load"),
+    )
+    return data_quality(counted, month)
+
+
+RESOURCES = ["resource_group_name", "resource_name", "region"]
+#: Reports of one viewer by their name: functions of the viewer's lines and a month.
+VIEWER_REPORTS = {
+    "months": lambda rows, month: months(rows),
+    "executive_summary": lambda rows, month: executive_summary(summary_of(rows), month),
+    "monthly_trend": lambda rows, month: monthly_billing_of(rows),
+    "executive_history": lambda rows, month: executive_history(summary_of(rows)),
+    "daily_trend": daily_billing_of,
+    "savings_summary": lambda rows, month: savings_summary(savings_by_month(rows), month),
+    "monthly_savings": lambda rows, month: monthly_savings(savings_by_month(rows)),
+    "services": lambda rows, month: totals(in_month(rows, month), ["service_name"], limit=15),
+    "cost_centers": centers_of,
+    "charge_types": lambda rows, month: totals(in_month(rows, month), ["charge_category", "charge_frequency"]),
+    "resources": lambda rows, month: totals(in_month(rows, month), RESOURCES, limit=25),
+    "resource_groups": lambda rows, month: grouped_resources(in_month(rows, month), ["resource_group_name"], 25),
+    "subscriptions": lambda rows, month: grouped_resources(in_month(rows, month), ["subscription_id", "subscription_name"]),
+    "application_owners": lambda rows, month: grouped_resources(in_month(rows, month), OWNER, 50),
+    "portfolio_services": lambda rows, month: totals(rows, ["service_name"], limit=30),
+    "portfolio_resources": lambda rows, month: totals(rows, RESOURCES, limit=30),
+    "sku_costs": lambda rows, month: totals(rows, ["sku_id", "meter_category", "meter_name"], limit=50),
+}
+
+
+def telemetry_by_month(usage_view: DataFrame) -> DataFrame:
+    """net_usage() by month; to be shown to admins only (scoping.for_admins)."""
+    return usage_view.groupBy("usage_month").agg(F.sum("net_quantity").alias("net_quantity"), F.sum("billing_records").alias("billing_records")).orderBy(
+        F.desc("usage_month")
+    )

@@ -106,7 +106,7 @@ query("flt6", f"SELECT x_ChargeId FROM {C} WHERE NOT coalesce(Region = 'Global',
 
 # --- joins
 query("jn1", f"SELECT ServiceName AS service_name, {_SUM} AS cost FROM {C} GROUP BY ALL")(
-    lambda s, d: star(s, d).star(marts.SERVICE).groupBy("service_name").agg(F.sum("billed_cost").alias("cost"))
+    lambda s, d: star(s, d).fact.join(gold.dim_service(lines(s, d)), "service_sk").groupBy("service_name").agg(F.sum("billed_cost").alias("cost"))
 )
 
 
@@ -205,11 +205,10 @@ query("agg13", f"SELECT service, CAST(CASE WHEN count(*) FILTER (cost_before_cre
 query("agg14", "SELECT ServiceName, CAST(sum(CASE WHEN unit IS NOT NULL THEN ConsumedQuantity END) AS DOUBLE) AS quantity FROM allocation GROUP BY ALL")(
     over(lambda c: c.groupBy("ServiceName").agg(F.sum(F.when(X.normalized_unit("ConsumedUnit").isNotNull(), F.col("ConsumedQuantity"))).alias("quantity")))
 )
-query("agg15", """SELECT record_id, CAST(CASE WHEN count(p.price) = 1 THEN min(p.price) END AS DOUBLE) AS unit_price FROM usage u LEFT JOIN list_prices p ON u.sku_name = p.sku_name
-    AND usage_start_time >= price_start_time AND (price_end_time IS NULL OR (usage_start_time < price_end_time AND usage_end_time <= price_end_time)) GROUP BY ALL""")(
-    lambda s, d: validity_join(usage(s, d), list_prices(s), finance.PRICE_KEYS, "usage_start_time", "price_start_time", "price_end_time", "usage_end_time")
-    .groupBy("record_id")
-    .agg(F.when(F.count("price") == 1, F.min("price")).alias("unit_price"))
+query("agg15", """SELECT record_id, CAST(CASE WHEN count(p.sku_name) = 1 AND min(p.price) = round(min(p.price), 9) THEN min(p.price) END AS DOUBLE) AS unit_price
+    FROM usage u LEFT JOIN list_prices p ON u.sku_name = p.sku_name AND usage_start_time >= price_start_time
+    AND (price_end_time IS NULL OR (usage_start_time < price_end_time AND usage_end_time <= price_end_time)) GROUP BY ALL""")(
+    lambda s, d: finance.unit_prices(usage(s, d), list_prices(s)).select("record_id", "unit_price")
 )
 query("agg16", f"SELECT count(*) FILTER (SkuId = '9') AS currency, count(*) FILTER (SkuId = '7') AS period FROM {C}")(
     lambda s, d: contract.count_violations(

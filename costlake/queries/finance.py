@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import audit, scoping
 from ..plans import finance, marts, serving
 from ..sources.usage import RUN_END, RUN_START, list_prices, run_windows, usage
 from .products import rounded
@@ -40,22 +41,37 @@ query(
     CASE WHEN sum(measured_usage_rows) = sum(usage_rows) THEN 'COMPLETE' WHEN sum(measured_usage_rows) = 0 THEN 'NONE' ELSE 'PARTIAL' END AS coverage_status
     FROM ({_CONSUMPTION}) GROUP BY ALL""",
 )(lambda s, d: finance.coverage(consumption(s, d)))
-query("qry30", f"SELECT billing_month, application_code, consumed_quantity FROM ({_CONSUMPTION}) WHERE service_name = 'ECONOMY' AND consumed_unit = 'GB' AND sku_id = '11'")(
-    lambda s, d: consumption(s, d)
-    .where("service_name = 'ECONOMY' and consumed_unit = 'GB' and sku_id = '11'")
-    .orderBy("billing_month")
-    .select("billing_month", "application_code", "consumed_quantity")
-)
+_ECONOMY = "service_name = 'ECONOMY' AND consumed_unit = 'GB'"
+
+
+def single_series(s, d):
+    """One service, SKU and unit; the SKU is the first by name that the service has in this unit."""
+    rows = consumption(s, d).where(_ECONOMY)
+    first = rows.agg(F.min("sku_id").alias("sku_id"))
+    return rows.join(F.broadcast(first), "sku_id", "left_semi").orderBy("billing_month").select("billing_month", "application_code", "sku_id", "consumed_quantity")
+
+
+query("qry30", f"""WITH e AS (SELECT * FROM ({_CONSUMPTION}) WHERE {_ECONOMY})
+    SELECT billing_month, application_code, sku_id, consumed_quantity FROM e WHERE sku_id = (SELECT min(sku_id) FROM e)""")(single_series)
+LABELS, FREE = {0: "North", 1: "South"}, ("view",)
 query(
     "fin3",
-    """SELECT strftime(usage_start_time, '%Y-%m') AS usage_month, workspace_id, sku_name, usage_unit, CAST(sum(usage_quantity) AS DOUBLE) AS net_quantity,
+    """SELECT strftime(usage_start_time, '%Y-%m') AS usage_month, workspace_id, sku_name, billing_origin_product, usage_unit, CAST(sum(usage_quantity) AS DOUBLE) AS net_quantity,
     count(*) AS billing_records, CAST(CAST(min(usage_start_time) AS DATE) AS VARCHAR) AS first_available_usage_date,
-    CAST(CAST(max(usage_start_time) AS DATE) AS VARCHAR) AS last_available_usage_date FROM usage GROUP BY ALL""",
-)(lambda s, d: finance.net_usage(usage(s, d)))
-query(
-    "qry24",
-    """SELECT strftime(usage_start_time, '%Y-%m') AS usage_month, CAST(sum(usage_quantity) AS DOUBLE) AS net_quantity, count(*) AS billing_records FROM usage GROUP BY ALL""",
-)(lambda s, d: finance.net_usage(usage(s, d)).groupBy("usage_month").agg(F.sum("net_quantity").alias("net_quantity"), F.sum("billing_records").alias("billing_records")))
+    CAST(CAST(max(usage_start_time) AS DATE) AS VARCHAR) AS last_available_usage_date,
+    CASE workspace_id WHEN 0 THEN 'North' WHEN 1 THEN 'South' END AS workspace_label, sku_name = 'view' AS is_free_usage FROM usage GROUP BY ALL""",
+)(lambda s, d: finance.net_usage(usage(s, d), LABELS, FREE))
+_TELEMETRY = """SELECT strftime(usage_start_time, '%Y-%m') AS usage_month, CAST(sum(usage_quantity) AS DOUBLE) AS net_quantity, count(*) AS billing_records FROM usage GROUP BY ALL"""
+
+
+def telemetry(s, d, principal):
+    from .checks import mine
+
+    return scoping.for_admins(serving.telemetry_by_month(finance.net_usage(usage(s, d), LABELS, FREE)), mine(s, principal))
+
+
+query("qry24", _TELEMETRY)(lambda s, d: telemetry(s, d, "admin"))
+query("qry24_refused", f"SELECT count(*) AS shown FROM ({_TELEMETRY}) WHERE false")(lambda s, d: telemetry(s, d, "owner").agg(F.count("*").alias("shown")))
 query(
     "fin4",
     """SELECT workspace_id, count(*) AS billing_records, count(*) FILTER (record_type <> 'ORIGINAL') AS correction_records,
@@ -64,7 +80,7 @@ query(
 )(lambda s, d: finance.usage_availability(usage(s, d)))
 query(
     "fin5",
-    """SELECT user_id, u.sku_name, 'DBU' AS usage_unit, CASE WHEN p.price IS NOT NULL THEN 'USD' END AS currency_code, CAST(round(sum(usage_quantity), 6) AS DOUBLE) AS consumed_units,
+    """SELECT user_id, u.sku_name, 'DBU' AS usage_unit, CASE WHEN p.sku_name IS NOT NULL THEN 'USD' END AS currency_code, CAST(round(sum(usage_quantity), 6) AS DOUBLE) AS consumed_units,
     CAST(round(sum(usage_quantity * price), 4) AS DOUBLE) AS list_cost
     FROM usage u LEFT JOIN list_prices p ON u.sku_name = p.sku_name AND usage_end_time >= price_start_time AND (price_end_time IS NULL OR usage_end_time < price_end_time)
     GROUP BY ALL""",
@@ -73,7 +89,7 @@ query(
     "fin6",
     f"""WITH o AS (SELECT *, CAST(usage_quantity AS DOUBLE) * (epoch(least(usage_end_time, TIMESTAMP '{RUN_END}')) - epoch(greatest(usage_start_time, TIMESTAMP '{RUN_START}'))) / 3600 AS e
     FROM usage WHERE usage_end_time > TIMESTAMP '{RUN_START}' AND usage_start_time < TIMESTAMP '{RUN_END}')
-    SELECT CAST(1 AS BIGINT) AS run_id, o.sku_name, 'DBU' AS usage_unit, CASE WHEN p.price IS NOT NULL THEN 'USD' END AS currency_code, round(sum(e), 6) AS estimated_units,
+    SELECT CAST(1 AS BIGINT) AS run_id, o.sku_name, 'DBU' AS usage_unit, CASE WHEN p.sku_name IS NOT NULL THEN 'USD' END AS currency_code, round(sum(e), 6) AS estimated_units,
     round(sum(e * CAST(price AS DOUBLE)), 4) AS estimated_list_cost
     FROM o LEFT JOIN list_prices p ON o.sku_name = p.sku_name AND usage_end_time >= price_start_time AND (price_end_time IS NULL OR usage_end_time < price_end_time) GROUP BY ALL""",
 )(lambda s, d: finance.prorated_run_cost(usage(s, d), run_windows(s), list_prices(s)))
@@ -128,7 +144,7 @@ query(
 _DAILY = """SELECT CAST(day AS VARCHAR) AS usage_date, strftime(day, '%Y-%m') AS month, sku_name AS service,
     CAST(CASE WHEN count(*) FILTER (unit_price IS NULL) > 0 THEN NULL ELSE sum(usage_quantity * unit_price) END AS DOUBLE) AS cost_before_credits,
     CAST(sum(usage_quantity) AS DOUBLE) AS usage_quantity FROM (
-      SELECT record_id, CAST(usage_start_time AS DATE) AS day, u.sku_name, usage_quantity, CASE WHEN count(p.price) = 1 THEN min(p.price) END AS unit_price
+      SELECT record_id, CAST(usage_start_time AS DATE) AS day, u.sku_name, usage_quantity, CASE WHEN count(p.sku_name) = 1 AND min(p.price) = round(min(p.price), 9) THEN min(p.price) END AS unit_price
       FROM usage u LEFT JOIN list_prices p ON u.sku_name = p.sku_name AND usage_start_time >= price_start_time
         AND (price_end_time IS NULL OR (usage_start_time < price_end_time AND usage_end_time <= price_end_time)) GROUP BY ALL) GROUP BY ALL"""
 
@@ -190,6 +206,23 @@ query(
     .groupBy("provider", "cost_basis")
     .agg(F.count("*").alias("rows"), F.countDistinct("month").alias("months"), F.bool_and(F.col("period_status") == "partial").alias("partial_only"))
 )
+
+
+def faulty_sources(s, d):
+    """A manifest of 10 rows, one service billed as an estimate, clicks of another provider, errors declared closed."""
+    bill = finance.bill_daily(_export(s, d)).withColumn("cost_basis", F.when(F.col("service") == "view", "list_estimate").otherwise(F.col("cost_basis")))
+    estimate = daily(s, d).withColumns(
+        {"provider": F.when(F.col("service") == "click", "GCP").otherwise(F.col("provider")), "period_status": F.when(F.col("service") == "error", "closed").otherwise("partial")}
+    )
+    return audit.export_findings(bill, estimate, 10)
+
+
+query(
+    "fin12b",
+    f"""WITH b AS (SELECT * FROM ({_BILL})), e AS (SELECT * FROM ({_DAILY}))
+    SELECT 'export' AS source, 'cost basis' AS finding, count(*) AS count FROM b WHERE service = 'view' UNION ALL SELECT 'export', 'rows beside the manifest', abs(count(*) - 10) FROM b
+    UNION ALL SELECT 'estimate', 'provider', count(*) FROM e WHERE service = 'click' UNION ALL SELECT 'estimate', 'period status', count(*) FROM e WHERE service = 'error'""",
+)(faulty_sources)
 query(
     "fin13",
     f"""SELECT 'GCP' AS provider, round(sum(cost_before_credits + credits), 4) AS total, true AS comparable FROM ({_BILL})
@@ -208,12 +241,17 @@ query(
         "month", "currency", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in ("gcp_cost", "databricks_cost", "total_cost"))
     )
 )
-query(
-    "fin15",
-    f"""WITH g AS (SELECT CAST(CAST(unnest(generate_series(TIMESTAMP '2023-12-25', TIMESTAMP '2024-02-10', INTERVAL 1 DAY)) AS DATE) AS VARCHAR) AS usage_date),
-    t AS (SELECT usage_date, sum(cost_before_credits) AS total FROM ({_BILL}) GROUP BY ALL)
-    SELECT 'GCP' AS provider, g.usage_date, round(total, 4) AS total FROM g LEFT JOIN t ON g.usage_date = t.usage_date""",
-)(lambda s, d: finance.calendar_series(finance.bill_daily(_export(s, d)), "2023-12-25", "2024-02-10").withColumn("total", F.round(F.col("total").cast("double"), 4)))
+for _name, _period, _form, _step in (("fin15", "day", "%Y-%m-%d", "1 DAY"), ("fin15_month", "month", "%Y-%m", "1 MONTH"), ("fin15_year", "year", "%Y", "1 YEAR")):
+    query(
+        _name,
+        f"""WITH g AS (SELECT strftime(unnest(generate_series(date_trunc('{_period}', TIMESTAMP '2022-11-25'), TIMESTAMP '2024-04-10', INTERVAL {_step})), '{_form}') AS period),
+        t AS (SELECT strftime(CAST(usage_date AS DATE), '{_form}') AS period, sum(cost_before_credits) AS total FROM ({_BILL}) WHERE usage_date BETWEEN '2022-11-25' AND '2024-04-10' GROUP BY ALL)
+        SELECT 'GCP' AS provider, g.period, round(total, 4) AS total FROM g LEFT JOIN t ON g.period = t.period""",
+    )(
+        lambda s, d, period=_period: finance.calendar_series(finance.bill_daily(_export(s, d)), "2022-11-25", "2024-04-10", period).withColumn(
+            "total", F.round(F.col("total").cast("double"), 4)
+        )
+    )
 query("fin16", f"SELECT provider, service, round(sum(cost_before_credits + credits), 4) AS total FROM ({_BILL}) GROUP BY ALL")(
     lambda s, d: finance.bill_daily(_export(s, d))
     .groupBy("provider", "service")

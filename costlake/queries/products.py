@@ -68,12 +68,12 @@ query(
 )(_gold("dim_charge_type"))
 query(
     "gld10",
-    """WITH t AS (SELECT 'ApplicationCode-Symphony' AS k, application_code AS v FROM charges UNION SELECT 'env', env_tag FROM charges)
+    """WITH t AS (SELECT 'application-code' AS k, application_code AS v FROM charges UNION SELECT 'env', env_tag FROM charges)
     SELECT sha256('tag||' || k || '||' || v) AS tag_sk, k AS tag_key, v AS tag_value FROM t""",
 )(_gold("dim_tag"))
 query(
     "gld11",
-    """WITH t AS (SELECT ResourceId AS r, 'ApplicationCode-Symphony' AS k, application_code AS v, ChargePeriodStart AS a FROM charges
+    """WITH t AS (SELECT ResourceId AS r, 'application-code' AS k, application_code AS v, ChargePeriodStart AS a FROM charges
     UNION ALL SELECT ResourceId, 'env', env_tag, ChargePeriodStart FROM charges)
     SELECT sha256('resource||Microsoft||' || r) AS resource_sk, sha256('tag||' || k || '||' || v) AS tag_sk, CAST(min(a) AS VARCHAR) AS valid_from FROM t GROUP BY r, k, v""",
 )(lambda s, d: _gold("bridge_resource_tag")(s, d).select("resource_sk", "tag_sk", "valid_from"))

@@ -81,7 +81,7 @@ charges AS (
     CASE p_size % 4 WHEN 0 THEN 'Hours' WHEN 1 THEN 'GB' WHEN 2 THEN ' Unknown ' END AS ConsumedUnit,
     CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS DECIMAL(18,2)) AS ConsumedQuantity,
     'APP' || (o_custkey % 20) AS application_code, 'e' || (o_custkey % 3) AS env_tag,
-    '{"ApplicationCode-Symphony":"APP' || (o_custkey % 20) || '","env":" e' || (o_custkey % 3) || ' "}' AS Tags,
+    '{"application-code":"APP' || (o_custkey % 20) || '","env":" e' || (o_custkey % 3) || ' "}' AS Tags,
     'EUR' AS BillingCurrency, 'Microsoft' AS ProviderName,
     'daily/' || strftime(l_shipdate, '%Y/%m/%Y-%m-%d') || '.parquet' AS _source_file
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey
@@ -114,17 +114,42 @@ usage AS (
   SELECT event_id AS record_id, event_type AS sku_name, user_id % 5 AS workspace_id, date_trunc('second', ts) AS usage_start_time,
     date_trunc('second', ts) + INTERVAL 1 HOUR AS usage_end_time,
     CAST(CASE WHEN event_type = 'error' THEN -1 ELSE 1 END * CAST(value AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS usage_quantity,
-    CASE WHEN event_type = 'error' THEN 'RETRACTION' ELSE 'ORIGINAL' END AS record_type, 'DBU' AS usage_unit, 'GCP' AS cloud, user_id
+    CASE WHEN event_type = 'error' THEN 'RETRACTION' ELSE 'ORIGINAL' END AS record_type, 'DBU' AS usage_unit, 'GCP' AS cloud,
+    CASE WHEN user_id % 2 = 0 THEN 'JOBS' ELSE 'SQL' END AS billing_origin_product, user_id
   FROM events
 ),
 list_prices(sku_name, price_start_time, price_end_time, price) AS (
-  SELECT a, CAST(b AS TIMESTAMP), CAST(c AS TIMESTAMP), CAST(d AS DECIMAL(18,9)) FROM (VALUES
+  SELECT a, CAST(b AS TIMESTAMP), CAST(c AS TIMESTAMP), CAST(d AS DECIMAL(18,10)) FROM (VALUES
     ('click', '2023-01-01', '2024-01-10', '0.150000000'), ('click', '2024-01-10', NULL, '0.175000000'),
-    ('error', '2023-01-01', NULL, '0.070000000'), ('purchase', '2023-01-01', '2024-01-20', '0.400000000'),
+    ('error', '2023-01-01', NULL, '0.070000000'), ('error', '2024-01-12', '2024-01-14', NULL),
+    ('purchase', '2023-01-01', '2024-01-20', '0.400000000'), ('purchase', '2024-01-20', '2024-01-25', '0.4000000001'),
     ('signup', '2023-01-01', NULL, '0.300000000'), ('signup', '2024-01-15', NULL, '0.310000000')) AS v(a, b, c, d)
 )"""
 
 
+# what the viewer of the scoped reports may see: APP1 and APP2 by name, domain D1 holds numbers 1, 4, 7, ..., 19, but APP4 is ambiguous
+VISIBLE = "application_code IN ('APP1', 'APP2', 'APP7', 'APP10', 'APP13', 'APP16', 'APP19')"
+MINE = f"""
+mine_charges AS (SELECT * FROM charges WHERE {VISIBLE}),
+mine_allocation AS (SELECT * FROM allocation WHERE {VISIBLE})"""
+
+ENTITLEMENTS = """
+entitlements AS (
+  SELECT 'demo' AS identity_provider, 'p' || c_custkey AS principal_id, 'prod' AS environment,
+    CASE c_custkey % 4 WHEN 0 THEN 'APPLICATION_OWNER' WHEN 1 THEN 'DOMAIN_MANAGER' WHEN 2 THEN 'SUBDOMAIN_MANAGER' ELSE 'FINOPS_ADMIN' END AS role,
+    CASE WHEN c_custkey % 11 = 0 THEN 'DOMAIN' ELSE CASE c_custkey % 4 WHEN 0 THEN 'APPLICATION' WHEN 1 THEN 'DOMAIN' WHEN 2 THEN 'SUBDOMAIN' ELSE 'ALL' END END AS scope_type,
+    CASE WHEN c_custkey % 13 = 0 THEN ' ' ELSE '' END || CASE WHEN c_custkey % 17 = 0 THEN '*' ELSE
+      CASE c_custkey % 4 WHEN 0 THEN 'APP' || (c_custkey % 20) WHEN 1 THEN 'D' || (c_custkey % 3) WHEN 2 THEN 'S' || (c_custkey % 10) ELSE '*' END END AS scope_id,
+    c_custkey % 7 <> 0 AS is_active,
+    CASE c_custkey % 5 WHEN 0 THEN TIMESTAMP '2025-01-01' WHEN 1 THEN NULL ELSE TIMESTAMP '2024-01-01' END AS valid_from,
+    CASE c_custkey % 6 WHEN 0 THEN TIMESTAMP '2024-03-01' WHEN 1 THEN NULL ELSE TIMESTAMP '2024-12-31' END AS valid_to
+  FROM customer, (VALUES (1), (2)) AS v(copy) WHERE copy = 1 OR c_custkey % 19 = 0
+),
+live_entitlements AS (
+  SELECT * FROM entitlements WHERE is_active AND (valid_from IS NULL OR valid_from <= TIMESTAMP '2024-06-01') AND (valid_to IS NULL OR TIMESTAMP '2024-06-01' < valid_to)
+)"""
+
+
 def twin(sql: str) -> str:
     """sql with the relations it names in front."""
     need = []
@@ -132,6 +157,10 @@ def twin(sql: str) -> str:
         need.append(CHARGES)
     if "allocation" in sql:
         need.append(ALLOCATION)
+    if "mine_" in sql:
+        need = [CHARGES, ALLOCATION, MINE]
+    if "entitlements" in sql:
+        need.append(ENTITLEMENTS)
     if "usage" in sql or "list_prices" in sql:
         need.append(USAGE)
     body = sql.strip()

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import APPLICATION_TAGS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,7 +76,7 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size == 0, "Hours").when(size == 1, "GB").when(size == 2, " Unknown ").alias("ConsumedUnit"),
         (sign * F.col("l_quantity").cast("decimal(18,2)")).alias("ConsumedQuantity"),
         F.concat(
-            F.lit('{"ApplicationCode-Symphony":"APP'),
+            F.lit(f'{{"{APPLICATION_TAGS["application_code"]}":"APP'),
             (F.col("o_custkey") % 20).cast("string"),
             F.lit('","env":" e'),
             (F.col("o_custkey") % 3).cast("string"),

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from .charges import table
 
-# List prices with their validity; two click prices adjoin, two signup prices overlap, views have none.
+# List prices with their validity; two click prices adjoin, two signup prices overlap, an error price is doubled
+# by a row without an amount for some days, one purchase price has more than nine decimals, views have none.
 PRICES = [
     ("click", "2023-01-01", "2024-01-10", "0.150000000"),
     ("click", "2024-01-10", None, "0.175000000"),
     ("error", "2023-01-01", None, "0.070000000"),
+    ("error", "2024-01-12", "2024-01-14", None),
     ("purchase", "2023-01-01", "2024-01-20", "0.400000000"),
+    ("purchase", "2024-01-20", "2024-01-25", "0.4000000001"),
     ("signup", "2023-01-01", None, "0.300000000"),
     ("signup", "2024-01-15", None, "0.310000000"),
 ]
@@ -33,6 +36,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(correction, "RETRACTION").otherwise("ORIGINAL").alias("record_type"),
         F.lit("DBU").alias("usage_unit"),
         F.lit("GCP").alias("cloud"),
+        F.when(F.col("user_id") % 2 == 0, "JOBS").otherwise("SQL").alias("billing_origin_product"),
         "user_id",
     )
 
@@ -40,7 +44,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def list_prices(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(PRICES, "sku_name string, price_start_time string, price_end_time string, price string")
     return rows.select(
-        "sku_name", F.col("price_start_time").cast("timestamp"), F.col("price_end_time").cast("timestamp"), F.col("price").cast("decimal(18,9)"),
+        "sku_name", F.col("price_start_time").cast("timestamp"), F.col("price_end_time").cast("timestamp"), F.col("price").cast("decimal(18,10)"),
         F.lit("GCP").alias("cloud"), F.lit("DBU").alias("usage_unit"), F.lit("USD").alias("currency_code"),
     )
 
