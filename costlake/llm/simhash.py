@@ -29,6 +29,7 @@ from itertools import combinations
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .arrowmap import map_slices
@@ -86,7 +87,7 @@ def _popcounts(fp: Column) -> Column:
 
 
 def _cells(points: DataFrame, max_bits: int, bands: int) -> DataFrame:
-    """(fp, cell): one row for each choice of bands - max_bits bands, whose cell is a hash of the choice and its counts."""
+    """points, with one row for each choice of bands - max_bits bands, whose cell is a hash of the choice and its counts."""
     width = 64 // bands
     counts = _popcounts(F.col("fp"))
     cells = []
@@ -95,7 +96,7 @@ def _cells(points: DataFrame, max_bits: int, bands: int) -> DataFrame:
         cells.append(F.xxhash64(F.lit(i), counts.bitwiseAND(F.lit(signed(mask)).cast("long"))))
     # few bytes become many rows: they are dealt to as many tasks as the session shuffles to
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return points.repartition(parts, "fp").select("fp", F.explode(F.array(*cells)).alias("cell"))
+    return points.repartition(parts, "fp").select("*", F.explode(F.array(*cells)).alias("cell"))
 
 
 def _manhattan(a: Column, b: Column) -> Column:
@@ -119,28 +120,23 @@ def link_components(points: DataFrame, max_bits: int = MAX_BITS, bands: int = BA
     """
     if 64 // bands % 2 or max_bits >= bands:
         raise ValueError("bands must be whole segments and more than the bits that differ")
-    own = materialize(_cells(points, max_bits, bands), "simhash-cells")
-    shared = own.groupBy("cell").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    shared = materialize(shared, "simhash-shared")
-    members = materialize(attach(own, shared, "cell", "n").select("cell", "fp", "hub"), "simhash-members")
+    by_cell = W.partitionBy("cell")
     near_hub = (
-        members.where(F.col("fp") != F.col("hub"))
-        .where(_within(F.col("fp"), F.col("hub"), max_bits))
+        _cells(points, max_bits, bands)
+        .withColumn("hub", F.min("fp").over(by_cell))
+        .where((F.col("fp") != F.col("hub")) & _within(F.col("fp"), F.col("hub"), max_bits))
         .select(F.col("hub").alias("a"), F.col("fp").alias("b"))
         .distinct()
     )
     first = materialize(components(near_hub), "simhash-first")
-    main_of = shared.join(first.select(F.col("node").alias("hub"), F.col("label").alias("_main")), "hub", "left")
-    main_of = materialize(main_of.select("cell", "n", F.coalesce("_main", "hub").alias("main")), "simhash-main")
-    labelled = members.select("cell", "fp").join(first.select(F.col("node").alias("fp"), "label"), "fp", "left")
-    labelled = materialize(labelled.select("cell", "fp", F.coalesce("label", "fp").alias("label")), "simhash-labelled")
-    labelled = materialize(attach(labelled, main_of, "cell", "n").select("cell", "main", "fp", "label"), "simhash-with-main")
-    # of two points with different labels one at least has not the label of the cell's hub
-    left = labelled.where("label != main").select("cell", "main", F.col("fp").alias("fa"), F.col("label").alias("la"))
+    labelled = points.join(first.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
+    labelled = _cells(materialize(labelled, "simhash-labelled"), max_bits, bands).withColumn("main", F.min("label").over(by_cell))
+    # of two points with different labels one at least has not the least label of the cell
+    left = labelled.where("label <> main").select("cell", "main", F.col("fp").alias("fa"), F.col("label").alias("la"))
     right = labelled.select("cell", F.col("fp").alias("fb"), F.col("label").alias("lb"))
     links = (
         left.join(right, "cell")
-        .where("la != lb and (lb = main or fa < fb)")
+        .where("la <> lb and (lb = main or fa < fb)")
         .where(_within(F.col("fa"), F.col("fb"), max_bits))
         .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
         .distinct()
