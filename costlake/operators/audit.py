@@ -5,6 +5,8 @@ Each control is a frame of findings or counters; require_empty turns findings in
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,6 +200,27 @@ def platform_cost_rules() -> dict[str, Column]:
     return {n: F.coalesce(c, F.lit(True)) if n in ("date_in_month", "basis") else F.coalesce(c, F.lit(False)) for n, c in checks.items()}
 
 
+#: Names of the rules in their order; needs no session.
+PLATFORM_RULES = (
+    "month date_in_month provider currency service period_status basis estimate_amounts estimate_credits estimate_unit bill_amounts bill_unit bill_quantity "
+    "marketplace_label own_label magnitude"
+).split()
+
+
+def platform_findings(
+    daily: DataFrame, monthly: DataFrame, monthly_of: Callable[[DataFrame], DataFrame], keys: list[str], providers: tuple[str, ...] = ("GCP", "Databricks")
+) -> DataFrame:
+    """What is wrong with the stored platform costs: a provider without rows, days that occur twice, months that their days do not give."""
+    spark = daily.sparkSession
+    wanted = spark.createDataFrame([(p,) for p in providers], "provider string")
+    none = wanted.join(daily.select("provider").distinct(), "provider", "left_anti").select(F.lit("no rows").alias("finding"), "provider", F.lit(0).cast("bigint").alias("rows"))
+    twice = duplicates(daily, ["usage_date", *keys]).groupBy("provider").agg(F.count("*").alias("rows"))
+    off = differences(monthly_of(daily), monthly, keys, ["cost_before_credits", "credits", "usage_quantity", "period_status"])
+    off = off.groupBy("provider").agg(F.count("*").alias("rows"))
+    label = lambda df, name: df.select(F.lit(name).alias("finding"), "provider", "rows")
+    return none.unionByName(label(twice, "duplicate day")).unionByName(label(off, "months differ from days"))
+
+
 def export_findings(export: DataFrame, estimate: DataFrame, manifest_rows: int, marketplace: bool = False) -> DataFrame:
     """What is wrong with two sources before they are merged: row count against the manifest, empty source, role, basis and period."""
     checks = []

@@ -2,15 +2,21 @@
 
 A table is a directory of versions. Appends and month replacements go to the newest one;
 what rewrites a table reads it, so it writes the next version, which readers see once
-Spark has marked it complete.
+Spark has marked it complete. The columns of a version are kept in a file beside its
+data, so that readers open no footers to find them, and the sources of an appended table
+in a small table of their own.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+COLUMNS = "_columns.json"
 
 
 class TableError(ValueError):
@@ -21,70 +27,135 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    # --- the listing and the small files go through Hadoop's file system, so any store will do
+    def _at(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _versions(self, name: str) -> list[int]:
-        """Complete versions, oldest first; the listing goes through Hadoop's file system, so any store will do."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        """Complete versions, oldest first."""
+        path, fs = self._at(f"{self.root}/{name}")
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path)]
-        done = lambda n: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"{n}/_SUCCESS"))
+        done = lambda n: fs.exists(self._at(f"{self.root}/{name}/{n}/_SUCCESS")[0])
         return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and done(n))
 
+    def names(self) -> list[str]:
+        path, fs = self._at(self.root)
+        found = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(n for n in found if self._versions(n))
+
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version:06}"
 
+    def _newest(self, name: str) -> str:
+        return self._path(name, (self._versions(name) or [1])[-1])
+
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
+    def _columns(self, path: str) -> StructType | None:
+        file, fs = self._at(f"{path}/{COLUMNS}")
+        if not fs.exists(file):
+            return None
+        stream = fs.open(file)
+        try:
+            return StructType.fromJson(json.loads(stream.readUTF()))
+        finally:
+            stream.close()
+
+    def _keep_columns(self, path: str, df: DataFrame, by: list[str]) -> None:
+        """The version's columns and those that df adds, partition columns last."""
+        known = self._columns(path)
+        fields = list(known.fields) if known else []
+        have = {f.name for f in fields}
+        fields += [f for f in df.schema.fields if f.name not in have]
+        fields.sort(key=lambda f: f.name in by)
+        if known and len(fields) == len(known.fields):
+            return
+        for f in fields:
+            f.nullable = True
+        file, fs = self._at(f"{path}/{COLUMNS}")
+        stream = fs.create(file, True)
+        try:
+            stream.writeUTF(StructType(fields).json())
+        finally:
+            stream.close()
+
     def read(self, name: str) -> DataFrame:
         versions = self._versions(name)
         if not versions:
             raise TableError(f"no table {name}")
-        return self.spark.read.option("mergeSchema", "true").parquet(self._path(name, versions[-1]))
+        path = self._path(name, versions[-1])
+        columns = self._columns(path)
+        reader = self.spark.read.schema(columns) if columns else self.spark.read.option("mergeSchema", "true")
+        return reader.parquet(path)
 
     def read_or_empty(self, name: str, like: DataFrame) -> DataFrame:
         return self.read(name) if self.exists(name) else like.limit(0)
 
     def _write(self, df: DataFrame, path: str, mode: str, by: list[str]) -> int:
-        """Rows written, counted while writing."""
+        """Rows written, counted while writing. Rows of a partition are brought together first, large ones in several files."""
         seen = Observation(uuid.uuid4().hex)
-        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+        writer = (df.hint("rebalance", *by) if by else df).observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
         (writer.partitionBy(*by) if by else writer).parquet(path)
+        self._keep_columns(path, df, by)
         return seen.get["n"]
 
     def append(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> int:
         if df.isEmpty():
             raise TableError(f"nothing to append to {name}")
-        versions = self._versions(name)
-        return self._write(df, self._path(name, versions[-1] if versions else 1), "append", list(by))
+        return self._write(df, self._newest(name), "append", list(by))
 
     def append_unseen(self, df: DataFrame, name: str, by: tuple[str, ...] = (), key: str = "_source_file") -> int:
-        """Append the rows whose source file the table does not have; 0 on a second run."""
-        if not self.exists(name):
-            return self._write(df, self._path(name, 1), "append", list(by))
-        seen = self.read(name).select(key).distinct()
-        unseen = df.select(key).distinct().join(seen, key, "left_anti")
-        return self._write(df.join(unseen, key, "left_semi"), self._path(name, self._versions(name)[-1]), "append", list(by))
+        """Append the rows whose source file the table does not have; 0 on a second run.
+
+        Sources are entered in the table's list before their rows are written. A source
+        that is not in the list was never begun; only for those that are, after an earlier
+        or a broken run, the table itself is asked.
+        """
+        mine, listed = df.select(key).distinct(), f"{name}_sources"
+        known = self.read_or_empty(listed, mine).select(key)
+        begun = mine.join(known, key, "left_semi")
+        if self.exists(name) and not begun.isEmpty():
+            stored = self.read(name).select(key).join(begun, key, "left_semi").distinct()
+            df = df.join(mine.join(stored, key, "left_anti"), key, "left_semi")
+        new = mine.join(known, key, "left_anti")
+        if not new.isEmpty():
+            self._write(new, self._newest(listed), "append", [])
+        return self._write(df, self._newest(name), "append", list(by))
+
+    def replace_months(self, df: DataFrame, name: str, months: list[str]) -> int:
+        """Replace some billing months; other months stay. Refuses rows of other months, and months without rows."""
+        found = df.select("billing_month").distinct().limit(len(months) + 1).collect()
+        found = {r["billing_month"] for r in found}
+        if set(months) - found:
+            raise TableError(f"no rows for {sorted(set(months) - found)}")
+        if found - set(months):
+            raise TableError(f"rows outside {sorted(months)}")
+        if self.exists(name):
+            return self._write(align(df, self.read(name)), self._newest(name), "overwrite", ["billing_month"])
+        return self._write(df, self._newest(name), "append", ["billing_month"])
 
     def replace_month(self, df: DataFrame, name: str, month: str) -> int:
-        """Replace one billing month; other months stay. Refuses an empty month and other months' rows."""
-        if df.isEmpty():
-            raise TableError(f"no rows for {month}")
-        if not df.where(~F.col("billing_month").eqNullSafe(F.lit(month))).isEmpty():
-            raise TableError(f"rows outside {month}")
-        if self.exists(name):
-            df = align(df, self.read(name))
-            return self._write(df, self._path(name, self._versions(name)[-1]), "overwrite", ["billing_month"])
-        return self._write(df, self._path(name, 1), "append", ["billing_month"])
+        return self.replace_months(df, name, [month])
 
     def rebuild(self, df: DataFrame, name: str) -> int:
         """Replace the whole table by df, which may read the table itself."""
         versions = self._versions(name)
         return self._write(df, self._path(name, versions[-1] + 1 if versions else 1), "append", [])
 
+    def retain(self, name: str, versions: int = 2) -> list[str]:
+        """Delete all but the newest versions; returns the paths that went. Readers of an older version lose it."""
+        gone = [self._path(name, v) for v in self._versions(name)[: -max(1, versions)]]
+        for path in gone:
+            file, fs = self._at(path)
+            fs.delete(file, True)
+        return gone
+
     def insert_missing(self, df: DataFrame, name: str, keys: list[str]) -> int:
         return self.rebuild(inserted(self.read_or_empty(name, df), df, keys), name)
 

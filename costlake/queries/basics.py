@@ -297,7 +297,6 @@ query("set3", f"SELECT DISTINCT billing_month, 'left' AS side FROM {C} WHERE bil
 )
 
 # --- sources that need no storage
-query("src1", "SELECT count(*) AS rows FROM lineitem")(lambda s, d: s.read.parquet(f"{d}/lineitem.parquet").agg(F.count("*").alias("rows")))
 query("src4", "SELECT count(*) AS rows FROM orders")(lambda s, d: (table(s, d, "orders").createOrReplaceTempView("orders_view"), s.table("orders_view").agg(F.count("*").alias("rows")))[1])
 
 
@@ -346,6 +345,7 @@ query("src12", "SELECT CAST(max(event_id) FILTER (value > 20) AS VARCHAR) AS run
 query("src13", f"SELECT count(*) AS lines, CAST({len(GRANTS)} AS BIGINT) AS grants FROM {C}")(
     lambda s, d: charges(s, d).agg(F.count("*").alias("lines")).crossJoin(F.broadcast(grants(s).agg(F.count("*").alias("grants"))))
 )
-query("src14", "SELECT 'region' AS \"table\", count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part")(
-    lambda s, d: files.table_counts({n: table(s, d, n) for n in ("region", "nation", "part")})
+query("src14", """SELECT 'places' AS layer, CAST(2 AS BIGINT) AS tables, 'region' AS "table", count(*) AS rows FROM region UNION ALL SELECT 'places', 2, 'nation', count(*) FROM nation
+    UNION ALL SELECT 'sales', 3, 'part', count(*) FROM part UNION ALL SELECT 'sales', 3, 'orders', count(*) FROM orders UNION ALL SELECT 'sales', 3, 'lineitem', count(*) FROM lineitem""")(
+    lambda s, d: files.layer_counts({"places": {n: table(s, d, n) for n in ("region", "nation")}, "sales": {n: table(s, d, n) for n in ("part", "orders", "lineitem")}})
 )

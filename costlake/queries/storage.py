@@ -13,33 +13,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.tables import Tables, inserted, latest_state, upserted
-from ..plans import finance, gold, marts
+from ..plans import finance, gold, marts, pipelines
 from ..plans.pipelines import Lake
 from ..sources import files
 from ..sources.charges import charges
 from ..sources.usage import list_prices, usage
 from ..streaming import daily as stream
-from .checks import runs
+from .checks import guarded, runs
 from .finance import _export
 from .products import M, _SUM
 from .registry import lines, query
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir, or where that is unset (tests, local mode) in the temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder in spark.checkpoint.dir; where that is unset in local mode (tests) in the temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/costlake-lake-{uuid.uuid4().hex}"
 
 
+def sources(s: SparkSession, d: str) -> DataFrame:
+    """Charge lines as a source has them, with their day."""
+    return charges(s, d).withColumn("day", F.to_date("ChargePeriodStart")).drop("_source_file")
+
+
 def month_file(s: SparkSession, d: str, root: str, month: str) -> str:
+    """One month's source: a folder of as many part files as its size asks for."""
     path = f"{root}/monthly/{month}.parquet"
-    charges(s, d).where(F.col("billing_month") == month).drop("billing_month", "_source_file").coalesce(1).write.parquet(path)
+    sources(s, d).where(F.col("billing_month") == month).drop("billing_month", "day").hint("rebalance").write.parquet(path)
     return path
 
 
+def month_files(s: SparkSession, d: str, root: str) -> dict[str, str]:
+    """The sources of all months, written at once."""
+    path = f"{root}/monthly"
+    sources(s, d).drop("day").withColumnRenamed("billing_month", "month").hint("rebalance", "month").write.partitionBy("month").parquet(path)
+    months = charges(s, d).select("billing_month").distinct().collect()  # months
+    return {r["billing_month"]: f"{path}/month={r['billing_month']}" for r in sorted(months)}
+
+
 def day_file(s: SparkSession, d: str, root: str, day: str) -> str:
+    """One day's source, a file; the joins before it keep their tasks."""
     path = f"{root}/daily/{day[:4]}/{day[5:7]}/{day}.parquet"
-    charges(s, d).where(F.to_date("ChargePeriodStart") == F.lit(day).cast("date")).drop("billing_month", "_source_file").coalesce(1).write.parquet(path)
+    sources(s, d).where(F.col("day") == F.lit(day).cast("date")).drop("billing_month", "day").repartition(1).write.parquet(path)
+    return path
+
+
+def day_files(s: SparkSession, d: str, root: str) -> str:
+    """The folder of all days' sources, written at once."""
+    path = f"{root}/daily"
+    sources(s, d).drop("billing_month").hint("rebalance", "day").write.partitionBy("day").parquet(path)
     return path
 
 
@@ -75,7 +101,16 @@ def replaced(build):
 
 
 query("snk3", _REPLACED)(replaced(lambda c, _: c))
-query("snk5", _REPLACED)(replaced(lambda _, clean: clean.select("x_ChargeId", "billing_month", "SkuId", "BilledCost", "_source_file")))
+
+
+@query("snk5", f"""SELECT billing_month, count(*) FILTER (billing_month <> '{M}' OR SkuId <> '7') AS rows,
+    CAST(sum(BilledCost) FILTER (billing_month <> '{M}' OR SkuId <> '7') AS DOUBLE) AS billed_cost FROM charges GROUP BY ALL""")
+def snk5(s, d):
+    """The facts of one month replaced by those of its lines, which lost one SKU."""
+    t, c = Tables(s, folder(s)), lines(s, d)
+    t._write(gold.fact_cost_usage(c), t._path("fact_cost_usage", 1), "append", ["billing_month"])
+    t.replace_month(gold.fact_cost_usage(c.where((F.col("billing_month") == M) & (F.col("SkuId") != "7"))), "fact_cost_usage", M)
+    return t.read("fact_cost_usage").groupBy("billing_month").agg(F.count("*").alias("rows"), F.sum("billed_cost").alias("billed_cost"))
 
 
 @query("snk4", "SELECT x_ChargeId, CAST(BilledCost AS DOUBLE) AS BilledCost FROM charges")
@@ -134,6 +169,13 @@ def snk14(s, d):
     return source.promote(target, names)
 
 
+@query("src1", f"SELECT billing_month, count(*) AS lines FROM charges WHERE billing_month = '{M}' GROUP BY ALL")
+def src1(s, d):
+    root = folder(s)
+    month_file(s, d, root, M)
+    return files.read_monthly(s, root, M).groupBy(F.date_format("BillingPeriodStart", "yyyy-MM").alias("billing_month")).agg(F.count("*").alias("lines"))
+
+
 @query("src2", f"SELECT count(*) AS lines FROM charges WHERE CAST(ChargePeriodStart AS DATE) = DATE '{M}-02'")
 def src2(s, d):
     return files.read_daily(s, day_file(s, d, folder(s), f"{M}-02")).agg(F.count("*").alias("lines"))
@@ -179,17 +221,18 @@ def pip2(s, d):
 
 
 def _backfilled(s, d):
+    """Every month of the table, from the first to the last, closed from its source."""
     root = folder(s)
-    lake, months = Lake(s, f"{root}/lake"), (M, "1998-04")
-    lake.backfill({m: month_file(s, d, root, m) for m in months}, *months)
-    return lake
+    lake, paths = Lake(s, f"{root}/lake"), month_files(s, d, root)
+    lake.backfill(paths, min(paths), max(paths))
+    return lake, paths
 
 
-query("pip3", f"SELECT billing_month, 'CLOSED_DATA_LOADED' AS status FROM charges WHERE billing_month IN ('{M}', '1998-04') GROUP BY ALL")(
-    lambda s, d: _backfilled(s, d).month_status().select("billing_month", "status")
+query("pip3", "SELECT billing_month, 'CLOSED_DATA_LOADED' AS status FROM charges GROUP BY ALL")(
+    lambda s, d: _backfilled(s, d)[0].month_status().select("billing_month", "status")
 )
-query("pip4", f"SELECT billing_month, {_SUM} AS monthly_billed_cost FROM charges WHERE billing_month IN ('{M}', '1998-04') GROUP BY ALL")(
-    lambda s, d: _backfilled(s, d).tables.read("dm_monthly_billing")
+query("pip4", f"SELECT billing_month, {_SUM} AS monthly_billed_cost FROM charges GROUP BY ALL")(
+    lambda s, d: _backfilled(s, d)[0].tables.read("dm_monthly_billing")
 )
 
 
@@ -209,33 +252,107 @@ def fin17(s, d):
     return lake.tables.read("platform_cost_run").select("status", "rows")
 
 
-@query("pip6", "SELECT count(*) FILTER (false) AS differences FROM charges")
+@query("pip6", "SELECT count(DISTINCT billing_month) AS months, count(*) AS rows, CAST(0 AS BIGINT) AS differences FROM charges")
 def pip6(s, d):
+    """All months but the last come from monthly sources, the last from its days."""
     root = folder(s)
-    lake, target = Lake(s, f"{root}/a"), Lake(s, f"{root}/b")
-    path = month_file(s, d, root, M)
-    lake.close_month(path, M)
-    return lake.rebuild_from({path: "MONTHLY"}, target).agg(F.count("*").alias("differences"))
+    lake, paths = _backfilled(s, d)
+    last = max(paths)
+    daily = f"{root}/days"
+    sources(s, d).where(F.col("billing_month") == last).drop("billing_month").hint("rebalance", "day").write.partitionBy("day").parquet(daily)
+    days = sources(s, d).where(F.col("billing_month") == last).select(F.col("day").cast("string")).distinct().collect()  # days of a month
+    target = Lake(s, f"{root}/b")
+    found = lake.rebuild_from({m: p for m, p in paths.items() if m != last}, [f"{daily}/day={r['day']}" for r in days], target)
+    stored = target.tables.read("silver").agg(F.countDistinct("billing_month").alias("months"), F.count("*").alias("rows"))
+    return stored.crossJoin(F.broadcast(found.agg(F.count("*").alias("differences"))))  # one row each
+
+
+@query("pip7", """SELECT 'dm_monthly_billing' AS "table", count(DISTINCT billing_month) AS rows FROM charges UNION ALL SELECT 'fact_cost_usage', count(*) FROM charges
+    UNION ALL SELECT 'silver', count(*) FROM charges UNION ALL SELECT 'dim_sku', count(DISTINCT SkuId) FROM charges UNION ALL SELECT 'dim_resource', count(DISTINCT ResourceId) FROM charges
+    UNION ALL SELECT 'dm_daily_billing', count(DISTINCT CAST(ChargePeriodStart AS DATE)) FROM charges""")
+def pip7(s, d):
+    """Every table of the environment is copied; the report is of those that SQL counts easily."""
+    lake, _ = _backfilled(s, d)
+    names = [n for n in lake.tables.names() if n == "silver" or n.startswith(("dim_", "bridge_", "fact_", "dm_"))]
+    return lake.promote(Lake(s, f"{folder(s)}/b", "prod"), names).where(
+        F.col("table").isin("dm_monthly_billing", "fact_cost_usage", "silver", "dim_sku", "dim_resource", "dm_daily_billing")
+    )
 
 
-@query("pip7", f"SELECT 'dm_monthly_billing' AS \"table\", CAST(1 AS BIGINT) AS rows UNION ALL SELECT 'fact_cost_usage', count(*) FROM charges WHERE billing_month = '{M}'")
-def pip7(s, d):
+@query("dq6", f"SELECT m AS case, CASE WHEN status = 'OPEN' THEN 'None' ELSE 'refused' END AS outcome FROM (VALUES ('{M}', 'CLOSED'), ('1998-04', 'OPEN')) AS v(m, status) WHERE m IN (SELECT billing_month FROM charges)")
+def dq6(s, d):
+    """The month-open guard of a daily load, for a month that was closed from its source and one that is open."""
+    root = folder(s)
+    lake = Lake(s, f"{root}/lake")
+    lake.close_month(month_file(s, d, root, M), M)
+    lake.set_months(["1998-04"], "OPEN", "DAILY")
+    return guarded(s, {m: lambda m=m: lake.require_open(m) for m in (M, "1998-04")})
+
+
+@query("dq8", f"""SELECT capture_stage, billing_month, count(*) AS row_count, {_SUM} AS billed_cost_total FROM charges, (VALUES ('BEFORE'), ('SOURCE'), ('AFTER')) AS v(capture_stage)
+    WHERE billing_month = '{M}' AND (capture_stage <> 'BEFORE' OR CAST(ChargePeriodStart AS DATE) = DATE '{M}-02') GROUP BY ALL""")
+def dq8(s, d):
+    """Snapshots kept by a monthly close over a month of which one day was loaded."""
     root = folder(s)
-    lake = Lake(s, f"{root}/a")
+    lake = Lake(s, f"{root}/lake")
+    lake.load_day(day_file(s, d, root, f"{M}-02"))
     lake.close_month(month_file(s, d, root, M), M)
-    return lake.promote(Lake(s, f"{root}/b", "prod"), ["dm_monthly_billing", "fact_cost_usage"])
+    return lake.tables.read("month_snapshot").select("capture_stage", "billing_month", "row_count", "billed_cost_total")
+
+
+_DAY = f"CAST(ChargePeriodStart AS DATE) = DATE '{M}-02'"
+
 
+@query("dq10", f"""WITH c AS (SELECT count(*) AS n, count(*) FILTER (SkuId <> '7') AS o FROM charges WHERE {_DAY})
+    SELECT 'clean' AS state, 'none' AS finding, 'none' AS expected, 'none' AS found FROM c
+    UNION ALL SELECT 'faulty', finding, expected, found FROM (SELECT unnest(['gold rows of the month', 'gold cost of the month', 'duplicate fact keys', 'latest run', 'month state',
+      'monthly mart cost', 'rows elsewhere', 'cost elsewhere']) AS finding, unnest([CAST(n AS VARCHAR), '', '0', 'SUCCESS', 'OPEN DAILY', '', CAST(2 * n AS VARCHAR), '']) AS expected,
+      unnest([CAST(2 * n AS VARCHAR), '', CAST(n AS VARCHAR), 'FAILED', 'CLOSED MONTHLY', '', CAST(n AS VARCHAR), '']) AS found FROM c)""")
+def dq10(s, d):
+    """The daily control after a clean load, and after facts were doubled, a later run failed and the month was closed."""
+    root = folder(s)
+    lake, other = Lake(s, f"{root}/lake"), Lake(s, f"{root}/other", "prod")
+    path = day_file(s, d, root, f"{M}-02")
+    for one in (lake, other):
+        one.load_day(path)
+    clean = lake.daily_findings(path, other)
+    before = s.createDataFrame([("clean", "none", "none", "none")], "state string, finding string, expected string, found string")
+    if not clean.isEmpty():
+        before = clean.select(F.lit("clean").alias("state"), "*")
+    lake.tables.append(lake.tables.read("fact_cost_usage"), "fact_cost_usage", ("billing_month",))
+    lake.log_run("later", "daily_incremental", M, "FAILED", pipelines.now())
+    lake.set_months([M], "CLOSED", "MONTHLY")
+    amount = F.col("finding").contains("cost")  # amounts are left to the findings themselves
+    after = lake.daily_findings(path, other).select(
+        F.lit("faulty").alias("state"), "finding", *(F.when(amount, "").otherwise(F.col(c)).alias(c) for c in ("expected", "found"))
+    )
+    return before.unionByName(after)
+
+
+@query("dq18", """SELECT 'bronze' AS subject, CAST(0 AS BIGINT) AS count, 'tables' AS finding FROM orders UNION SELECT 'silver.silver', count(*), 'table has rows' FROM orders
+    UNION SELECT 'pipeline_run', CAST(1 AS BIGINT), 'log has rows' FROM orders""")
+def dq18(s, d):
+    """The preflight of an environment that lacks a layer, holds rows in a table and has logged a run; an empty mart is no finding."""
+    lake = Lake(s, folder(s), "prod")
+    lake.tables.rebuild(s.read.parquet(f"{d}/orders.parquet"), "silver")
+    lake.tables.rebuild(s.read.parquet(f"{d}/events.parquet").limit(0), "dm_monthly_billing")
+    lake.log_run("r", "daily_incremental", M, "SUCCESS", pipelines.now())
+    return lake.preflight({"bronze": 1, "silver": 1, "marts": 1})
 
-@query("st1", f"SELECT count(*) AS first_run, CAST(0 AS BIGINT) AS second_run FROM charges WHERE CAST(ChargePeriodStart AS DATE) IN (DATE '{M}-02', DATE '{M}-03')")
+
+@query("st1", f"""SELECT count(*) FILTER (billing_month <> '{M}') AS first_run, CAST(0 AS BIGINT) AS second_run, count(*) FILTER (billing_month <> '{M}') AS fact,
+    CAST(0 AS BIGINT) AS closed, count(DISTINCT billing_month) FILTER (billing_month = '{M}') AS refused FROM charges""")
 def st1(s, d):
+    """Every daily file as a stream, run twice, with one month closed before."""
     root = folder(s)
-    lake = Lake(s, f"{root}/lake")
-    paths = [day_file(s, d, root, day) for day in (f"{M}-02", f"{M}-03")]
-    schema = s.read.parquet(paths[0]).schema
+    lake, daily = Lake(s, f"{root}/lake"), day_files(s, d, root)
+    lake.set_months([M], "CLOSED", "MONTHLY")
+    schema = s.read.parquet(daily).drop("day").schema
     stored = []
     for _ in range(2):
-        stream.start(lake, f"{root}/daily", schema, f"{root}/checkpoint").awaitTermination()
+        stream.start(lake, daily, schema, f"{root}/checkpoint", files_per_batch=10_000).awaitTermination()
         stored.append(lake.tables.read("silver").count())
-    return counted(s, first_run=stored[0], second_run=stored[1] - stored[0])
-
-
+    closed = lake.tables.read("silver").where(F.col("billing_month") == M).count()
+    refused = lake.tables.read("pipeline_run").where(F.col("message") == "closed for daily loads").count()
+    fact = lake.tables.read("fact_cost_usage").count()
+    return counted(s, first_run=stored[0], second_run=stored[1] - stored[0], fact=fact, closed=closed, refused=refused)

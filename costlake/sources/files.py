@@ -30,10 +30,13 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_lineage(df: DataFrame, run_id: str, source_type: str, status: str) -> DataFrame:
-    """df read from files, with file, type, run, time of ingestion and status of each row."""
+    """df read from files, with source, type, run, time of ingestion and status of each row.
+
+    A source is a file, or a folder of part files that were written together.
+    """
     return df.select(
         "*",
-        F.col("_metadata.file_path").alias("_source_file"),
+        F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias("_source_file"),
         F.lit(source_type).alias("_source_type"),
         F.lit(run_id).alias("_ingestion_run_id"),
         F.current_timestamp().alias("_ingested_at"),
@@ -112,6 +115,15 @@ def newest_export(manifests: DataFrame, now, fields: tuple[str, ...] = ("schema_
     return manifests.where(valid).orderBy(at.desc(), F.desc("run_id")).limit(1)
 
 
+def layer_counts(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """Layer, number of its tables, table and its rows."""
+    out = None
+    for layer, tables in layers.items():
+        counted = table_counts(tables).select(F.lit(layer).alias("layer"), F.lit(len(tables)).alias("tables"), "table", "rows")
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of each table, as one frame."""
     counts = [df.agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name, df in tables.items()]
