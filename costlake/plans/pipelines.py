@@ -98,10 +98,15 @@ class Lake:
             marked = raw.withColumn("_month", month)
             for r in marked.select(F.col("_month").alias("billing_month")).distinct().join(shut, "billing_month", "left_semi").collect():  # months
                 self.log_run(uuid.uuid4().hex, "daily_incremental", r["billing_month"], "FAILED", now(), "closed for daily loads")
+            started = now()
             open_ = marked.join(shut.withColumnRenamed("billing_month", "_month"), "_month", "left_anti").drop("_month")
             if open_.isEmpty():
                 return {"bronze": 0, "silver": 0}
-            return self._store_days(open_, self._clean(open_))
+            clean = self._clean(open_)
+            stored = self._store_days(open_, clean)
+            for r in clean.select("billing_month").distinct().collect():  # months
+                self.log_run(uuid.uuid4().hex, "daily_incremental", r["billing_month"], "SUCCESS", started)
+            return stored
 
         return self.logged("daily_incremental", None, work)
 

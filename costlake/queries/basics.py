@@ -57,7 +57,7 @@ query("prj9", f"""SELECT CAST(d AS VARCHAR) AS date, CAST(weekofyear(d) AS BIGIN
 query("prj10", f"SELECT DISTINCT application_code, env_tag AS env FROM {C}")(
     over(
         lambda c: c.select(X.tag_map().alias("t"))
-        .select(X.blank_to_null(F.element_at("t", F.lit("ApplicationCode-Symphony"))).alias("application_code"), X.blank_to_null(F.element_at("t", F.lit("env"))).alias("env"))
+        .select(X.blank_to_null(F.element_at("t", F.lit(X.APPLICATION_TAGS["application_code"]))).alias("application_code"), X.blank_to_null(F.element_at("t", F.lit("env"))).alias("env"))
         .distinct()
     )
 )

@@ -55,7 +55,7 @@ def test_savings_components_are_exclusive_and_complete(spark):
 
 
 def test_consumption_keeps_null_zero_and_sign_apart(spark):
-    tags = '{"ApplicationCode-Symphony":" A1 "}'
+    tags = '{"application-code":" A1 "}'
     data = [
         ("Usage", " GB ", "5"), ("Usage", "GB", "-2"), ("Usage", "GB", None), ("Usage", " Unknown ", "9"), ("Usage", None, "1"), ("Purchase", "GB", "50"), ("Usage", "Hours", "0"),
     ]

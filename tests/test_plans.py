@@ -33,3 +33,26 @@ def test_no_python_and_no_unkeyed_joins(spark):
         text = plan(QUERIES[name](spark, SF))
         assert "Python" not in text and "CartesianProduct" not in text, name
     assert marts.MARTS
+
+
+def test_marts_sum_before_they_join(spark):
+    """Lines are aggregated by key, by hash, before a dimension meets them."""
+    for name in ("dm4", "dm5", "dm6", "dm7", "dm10", "dm12", "dm13", "dm14"):
+        text = plan(QUERIES[name](spark, SF)).split("== Physical Plan ==")[1]
+        facts = [x for x in text.splitlines() if "partial_sum(billed_cost" in x]
+        assert facts and all("HashAggregate" in x for x in facts), name
+    newest = plan(QUERIES["gld3"](spark, SF)).split("== Physical Plan ==")[1]
+    assert newest.count("SortAggregate") <= 2 and "HashAggregate(keys=[resource_sk" in newest
+
+
+def test_few_prices_are_broadcast_and_many_are_salted(spark, monkeypatch):
+    from costlake.operators import joins
+
+    for name in ("jn4", "agg15", "fin5", "fin9"):
+        assert "SortMergeJoin" not in plan(QUERIES[name](spark, SF)), name
+    want = sorted(map(tuple, QUERIES["fin9"](spark, SF).collect()), key=str)
+    overlaps = sorted(map(tuple, QUERIES["fin6"](spark, SF).collect()), key=str)
+    monkeypatch.setattr(joins, "FEW", 0)
+    frame = QUERIES["fin9"](spark, SF)
+    assert "_salt" in plan(frame) and sorted(map(tuple, frame.collect()), key=str) == want
+    assert sorted(map(tuple, QUERIES["fin6"](spark, SF).collect()), key=str) == overlaps
