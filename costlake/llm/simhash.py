@@ -94,9 +94,9 @@ def _cells(points: DataFrame, max_bits: int, bands: int) -> DataFrame:
     for i, chosen in enumerate(combinations(range(bands), bands - max_bits)):
         mask = sum(((1 << width) - 1) << (width * band) for band in chosen)
         cells.append(F.xxhash64(F.lit(i), counts.bitwiseAND(F.lit(signed(mask)).cast("long"))))
-    # few bytes become many rows: they are dealt to as many tasks as the session shuffles to
+    # few bytes become many rows: they are dealt anew, to as many tasks as the session shuffles to
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return points.repartition(parts, "fp").select("*", F.explode(F.array(*cells)).alias("cell"))
+    return points.repartition(parts, F.xxhash64("fp")).select("*", F.explode(F.array(*cells)).alias("cell"))
 
 
 def _manhattan(a: Column, b: Column) -> Column:
