@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators import contract
-from ..operators.joins import overlap_join, set_difference, validity_join
+from ..operators.joins import differences, overlap_join, set_difference, validity_join
 from ..plans import finance, gold, marts, serving
 from ..sources import files
 from ..sources.charges import charges, table
@@ -128,13 +128,18 @@ query("jn5", f"""SELECT record_id, CAST(epoch(least(usage_end_time, TIMESTAMP '{
     FROM usage WHERE usage_end_time > TIMESTAMP '{RUN_START}' AND usage_start_time < TIMESTAMP '{RUN_END}'""")(
     lambda s, d: overlap_join(usage(s, d), run_windows(s), "usage_start_time", "usage_end_time", "run_start_time", "run_end_time").select("record_id", "overlap_seconds")
 )
-query("jn9", f"SELECT usage_date, service, cost_before_credits AS left_cost, usage_quantity FROM ({_DAILY}) WHERE cost_before_credits IS NOT NULL")(
-    lambda s, d: daily(s, d)
-    .select("usage_date", "service", F.col("cost_before_credits").alias("left_cost"), "usage_quantity")
-    .join(daily(s, d).select("usage_date", "service", F.lit(None).cast("decimal(38,16)").alias("right_cost")), ["usage_date", "service"], "full_outer")
-    .where(~F.col("left_cost").eqNullSafe(F.col("right_cost")))
-    .drop("right_cost")
-)
+
+
+def repriced(s, d):
+    """Daily costs beside those at prices that lack the signups', over five keys; unknown equals unknown."""
+    keys = ["usage_date", "month", "provider", "service", "currency"]
+    fewer = finance.priced_daily(usage(s, d), list_prices(s).where("sku_name <> 'signup'"))
+    found = differences(daily(s, d), fewer, keys, ["cost_before_credits", "usage_quantity"])
+    return found.select("usage_date", "service", "difference", F.col("left_cost_before_credits").alias("left_cost"), F.col("right_cost_before_credits").alias("right_cost"))
+
+
+query("jn9", f"""SELECT usage_date, service, 'changed' AS difference, cost_before_credits AS left_cost, CAST(NULL AS DOUBLE) AS right_cost
+    FROM ({_DAILY}) WHERE service = 'signup' AND cost_before_credits IS NOT NULL""")(repriced)
 query("jn10", f"SELECT count(*) AS rows, {_SUM} AS cost, (SELECT count(*) FROM events) AS events FROM {C}")(
     lambda s, d: charges(s, d).agg(F.count("*").alias("rows"), F.sum("BilledCost").alias("cost")).crossJoin(table(s, d, "events").agg(F.count("*").alias("events")))
 )
