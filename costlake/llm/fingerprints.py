@@ -12,6 +12,7 @@ range before it as well, so no task needs more than its own rows.
 
 Defined cases: a null text counts as empty; the fingerprint of an empty text is empty,
 and of two empty texts one contains the other fully, an empty one and another not at all;
+a very long text is chunked whole, chunk after chunk; equal chunks of a text count once;
 a null key comes last; rows that repeat a key follow each other by a hash of their text;
 a single document is its own neighbour; an empty table gives an empty result; other
 columns of the input are not read.
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrowmap import SLICE, ship
+from .arrowmap import ship, slices
 
 WINDOW, LEAST, NORMAL, MOST = 32, 32, 96, 384
 #: Zero bits that a boundary needs up to the normal length, and beyond it.
@@ -179,9 +180,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return list(zip(ids, texts, chunks, ranges, copies))
 
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
+        for part in slices(batch):
             pairs = []
-            for row in rows(batch.slice(at, SLICE)):
+            for row in rows(part):
                 if waiting is not None and not waiting[4] and waiting[3] == row[3]:
                     pairs.append((waiting, row))
                 waiting = row

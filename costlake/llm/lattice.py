@@ -11,7 +11,9 @@ Words are counted once, over all documents. The lattice is solved once a distinc
 A document needs its words' values back: the HOT most frequent words are a table of fixed
 size that goes to every task, the others are joined by word, so no join key is frequent.
 
-Defined cases: a null text counts as empty, that is, one end token; a null key is not
+Defined cases: a null text counts as empty, that is, one end token; a very long text is
+split whole, a very long word has a lattice of its own length; words equally frequent
+rank by their bytes, which decides the way they travel and not their value; a null key is not
 learned from; repeated rows are scored each for itself; without training texts base
 counts are 0 and pieces keep their start values; an empty table gives an empty result;
 other columns of the input are not read.
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowmap import SLICE, ship
+from .arrowmap import ship, slices
 from .scratch import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -209,8 +211,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            part = batch.slice(at, SLICE)
+        for part in slices(batch):
             for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 own = learned_from(key)
                 (learned if own else seen).update(_words(text))
@@ -311,8 +312,7 @@ def score(docs: DataFrame, path: str | None = None) -> DataFrame:
             [("doc_id", pa.int64()), ("print", pa.int64()), ("word", pa.binary()), ("times", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("log10", pa.float64())]
         )
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in slices(batch):
                 columns: list[list] = [[] for _ in schema]
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     found = _words(text)

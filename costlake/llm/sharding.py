@@ -6,7 +6,8 @@ gives shard = value mod shards and slot = value div shards, so that anyone can c
 where a row went from its number alone, shard sizes differ by one at most and slots have
 no gaps. SQL functions only; only narrow columns are shuffled, never the text.
 
-Defined cases: a null text has size 1 and a checksum of the empty string; a null key is
+Defined cases: a null text has size 1 and a checksum of the empty string; a very long text
+is measured where it is read and goes nowhere; a null key is
 numbered like any other; rows that repeat a key are ordered by size and checksum, and if
 these agree too they are alike and share out their places; an empty table gives an empty
 result; other columns of the input, whatever their names, are left alone.
