@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from . import gold, marts
 
 RUNS = "run_id string, environment string, pipeline_name string, billing_month string, status string, started_at timestamp, finished_at timestamp, message string"
 STATUS = "billing_month string, status string, authoritative_source string, updated_at timestamp"
+#: Tables of a refresh that are written at a time.
+AT_ONCE = 4
 # How the tables of a layer begin.
 LAYERS = {"bronze": "bronze", "silver": "silver", "gold": ("dim_", "bridge_", "fact_"), "marts": "dm_"}
 TYPE1 = {"dim_billing_scope": ["billing_scope_sk"], "dim_resource": ["resource_sk"], "bridge_resource_tag": ["resource_sk", "tag_sk"]}
@@ -173,21 +177,26 @@ class Lake:
         return months
 
     def refresh(self, months: list[str]) -> None:
-        """Dimensions and facts of some months, then all marts."""
+        """Dimensions and facts of some months, then all marts. Tables of one step do not depend on each other: AT_ONCE are written at a time."""
         lines = self.tables.read("silver").where(F.col("billing_month").isin(months))
-        for name, build in gold.DIMENSIONS.items():
-            keys = TYPE1.get(name)
+
+        def dimension(name: str) -> None:
+            frame, keys = gold.DIMENSIONS[name](lines), TYPE1.get(name)
             if keys:
-                self.tables.upsert(build(lines), name, keys, ("valid_from",))
+                self.tables.upsert(frame, name, keys, ("valid_from",))
             elif name == "dim_date":
-                self.tables.upsert(build(lines), name, ["date_sk"])
+                self.tables.upsert(frame, name, ["date_sk"])
             else:
-                frame = build(lines)
                 self.tables.insert_missing(frame, name, [next(c for c in frame.columns if c.endswith("_sk"))])
-        self.tables.replace_months(gold.fact_cost_usage(lines), "fact_cost_usage", months)
+
+        steps = [partial(dimension, n) for n in gold.DIMENSIONS]
+        steps.append(lambda: self.tables.replace_months(gold.fact_cost_usage(lines), "fact_cost_usage", months))
         stored = StoredGold(self.tables)
-        for name, mart in marts.MARTS.items():
-            self.tables.rebuild(mart(stored), name)
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            for done in [pool.submit(step) for step in steps]:
+                done.result()
+            for done in [pool.submit(self.tables.rebuild, mart(stored), name) for name, mart in marts.MARTS.items()]:
+                done.result()
 
     # --- controls
     def daily_findings(self, path: str, other: Lake | None = None, tolerance: float = audit.TOLERANCE) -> DataFrame:
