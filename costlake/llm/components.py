@@ -11,34 +11,39 @@ from .scratch import materialize
 MOST_HOT, LEAST_HOT = 2000, 200
 
 
-def attach(rows: DataFrame, table: DataFrame, key: str, counted: str | None = None) -> DataFrame:
+def attach(rows: DataFrame, table: DataFrame, key: str, counted: str | None = None, most_hot: int = MOST_HOT) -> DataFrame:
     """Inner join of rows with table, which has one row a key; both should be stored.
 
-    Rows of hot keys meet their table rows by a broadcast of at most MOST_HOT rows, and the
+    Rows of hot keys meet their table rows by a broadcast of at most most_hot rows, and the
     other keys have few rows each, so that no task gets a hot key's rows. The column of
     table that holds each key's number of rows is named by counted, if there is one.
     """
-    limit = max(LEAST_HOT, rows.count() // MOST_HOT)
-    if counted:
-        hot = table.where(F.col(counted) > limit)
-    else:
-        hot = table.join(rows.groupBy(key).count().where(F.col("count") > limit).select(key), key)
-    hot = materialize(hot, "hot")
+    counts = table.select(key, F.col(counted).alias("_n")) if counted else rows.groupBy(key).agg(F.count("*").alias("_n"))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    limit = max(LEAST_HOT, (total or 0) // most_hot)
+    if (most or 0) <= limit:
+        return rows.join(table, key)
+    hot = materialize(table.join(counts.where(F.col("_n") > limit).select(key), key), "hot")
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table, key))
 
 
+def _state(links: DataFrame):
+    return links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, label) for every end of links (a, b): label is the smallest node reachable.
 
     Each round hangs every node's larger neighbours under the node's smallest neighbour
-    (large star), then its smaller neighbours (small star), until the links are stars; the
-    number of rounds grows with the logarithm of the longest path. Minima are aggregated
-    before any shuffle and hot centres are joined by broadcast, never gathered.
+    (large star), then its smaller neighbours (small star), until a round leaves the links
+    as they were, which then are stars; the number of rounds grows with the logarithm of
+    the longest path. Minima are aggregated before any shuffle and hot centres are joined
+    by broadcast, never gathered.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     links = materialize(links, "links")
-    before = None
-    for _ in range(most_rounds):
+    before = _state(links)
+    for _ in range(most_rounds if before[0] else 0):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), "least")
         large = attach(both, least, "a", "n").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -48,11 +53,12 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         joined = attach(large, root, "a", "n")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(root.select("a", F.col("m").alias("b"))).distinct()
         links = materialize(small, "links")
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = _state(links)
         if state == before:
             break
         before = state
     else:
-        raise RuntimeError(f"links did not settle in {most_rounds} rounds")
+        if before[0]:
+            raise RuntimeError(f"links did not settle in {most_rounds} rounds")
     roots = links.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("label"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)

@@ -262,5 +262,13 @@ def assign(parts: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> Da
 
 
 def pack(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds ids, the piece's tokens."""
-    return assign(materialize(pieces(docs, path, with_ids=with_ids), "pieces"))
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds ids, the piece's tokens.
+
+    Pieces are numbered as they are stored and placed without their ids, which join them last: ids are shuffled once.
+    """
+    found = pieces(docs, path, with_ids=with_ids)
+    if not with_ids:
+        return assign(materialize(found, "pieces"))
+    stored = materialize(found.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    placed = materialize(assign(stored.drop("ids")), "placed")
+    return placed.join(stored.select("_piece", "ids"), "_piece").drop("_piece")
