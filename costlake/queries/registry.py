@@ -56,6 +56,8 @@ def star(spark: SparkSession, sf_dir: str) -> Gold:
     return Gold(lines(spark, sf_dir))
 
 
+# The relations of the twins. Their names, labels and lists are those of sources/charges.py, sources/usage.py and
+# functions/expressions.py, said once more in SQL, so that a change there shows as a difference.
 CHARGES = """
 charges AS (
   SELECT
