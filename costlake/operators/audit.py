@@ -187,7 +187,6 @@ def platform_cost_rules() -> dict[str, Column]:
         "service": (F.trim(text("service")) == "") | (F.length("service") > 160) | text("service").rlike(r"@|://|[\n\r<>]"),
         "period_status": ~text("period_status").isin("partial", "closed"),
         "basis": ~(bill | (estimate & (F.col("provider") == "Databricks"))),
-        "estimate_amounts": estimate & (F.col("cost_before_credits").isNull() | F.col("usage_quantity").isNull()),
         "estimate_credits": estimate & F.col("credits").isNotNull(),
         "estimate_unit": estimate & ~F.col("usage_unit").eqNullSafe(F.lit("DBU")),
         "bill_amounts": bill & (F.col("cost_before_credits").isNull() | F.col("credits").isNull()),
@@ -202,7 +201,7 @@ def platform_cost_rules() -> dict[str, Column]:
 
 #: Names of the rules in their order; needs no session.
 PLATFORM_RULES = (
-    "month date_in_month provider currency service period_status basis estimate_amounts estimate_credits estimate_unit bill_amounts bill_unit bill_quantity "
+    "month date_in_month provider currency service period_status basis estimate_credits estimate_unit bill_amounts bill_unit bill_quantity "
     "marketplace_label own_label magnitude"
 ).split()
 
