@@ -10,7 +10,9 @@ from .bpe import bpe_report
 from .fingerprints import fingerprint_report
 from .langid import language_report
 from .lattice import score
+from .negatives import hard_negatives
 from .packing import pack
+from .pieces import piece_report
 from .pii import pii_report
 from .quality import judge
 from .secrets import secrets_report
@@ -34,6 +36,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_compression": _documents(language_report),
         "op9_lattice_score": _documents(score),
         "op10_bpe_trie": _documents(bpe_report),
+        "op12_sentencepiece": _documents(piece_report),
+        "op13_hard_negatives": lambda spark, sf_dir: hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
     }
 
 
