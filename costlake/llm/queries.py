@@ -14,6 +14,7 @@ from .negatives import hard_negatives
 from .packing import pack
 from .pieces import piece_report
 from .pii import pii_report
+from .prefixtrie import conversation_trie
 from .quality import judge
 from .secrets import secrets_report
 from .sharding import sharding_report
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_compression": _documents(language_report),
         "op9_lattice_score": _documents(score),
         "op10_bpe_trie": _documents(bpe_report),
+        "op11_conversation_trie": lambda spark, sf_dir: conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")),
         "op12_sentencepiece": _documents(piece_report),
         "op13_hard_negatives": lambda spark, sf_dir: hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
     }
