@@ -40,14 +40,20 @@ LEAF = 32
 FOUND = "place long, anchor_id long, positive_place long, positive_id long, positive_score long, other_id long, score long"
 
 
+def _even(a: np.ndarray) -> np.ndarray:
+    """a with a row and a column of zeros where it has an odd number of them."""
+    out = np.zeros((a.shape[0] + a.shape[0] % 2, a.shape[1] + a.shape[1] % 2), dtype=a.dtype)
+    out[: a.shape[0], : a.shape[1]] = a
+    return out
+
+
 def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """a @ b of whole numbers. Halves each side that is still longer than LEAF, seven products a level."""
     (n, m), k = a.shape, b.shape[1]
     if min(n, m, k) <= LEAF:
         return a @ b
     if n % 2 or m % 2 or k % 2:
-        padded = strassen(np.pad(a, ((0, n % 2), (0, m % 2))), np.pad(b, ((0, m % 2), (0, k % 2))))
-        return padded[:n, :k]
+        return strassen(_even(a), _even(b))[:n, :k]
     n, m, k = n // 2, m // 2, k // 2
     a11, a12, a21, a22 = a[:n, :m], a[:n, m:], a[n:, :m], a[n:, m:]
     b11, b12, b21, b22 = b[:m, :k], b[:m, k:], b[m:, :k], b[m:, k:]
