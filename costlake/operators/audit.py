@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import differences
+from .joins import bag, differences
 
 # Columns of the snapshots, the tolerance of a reconciliation, and what counts as an address.
 CRITICAL = ["BilledCost", "BillingCurrency", "BillingPeriodStart", "ChargePeriodStart", "ProviderName", "ServiceName"]
@@ -151,6 +151,12 @@ def lineage(df: DataFrame) -> DataFrame:
     return mixed.unionByName(many).unionByName(spread)
 
 
+def runs_of_files(df: DataFrame) -> DataFrame:
+    """Source files whose rows are not of exactly one ingestion run, with their runs and rows. Rows are summed by file and run first."""
+    by_run = df.groupBy("_source_file", "_ingestion_run_id").agg(F.count("*").alias("rows"))
+    return by_run.groupBy("_source_file").agg(F.count("_ingestion_run_id").alias("runs"), F.sum("rows").alias("rows")).where("runs <> 1")
+
+
 def money_snapshot(df: DataFrame, period: str | None = None) -> DataFrame:
     """Rows and the sum of each cost column by period; both are found by name if not given."""
     period = period or next(c for c in ("billing_month", "month", "usage_month", "date", "usage_date") if c in df.columns)
@@ -256,14 +262,18 @@ def preflight(layers: dict[str, dict[str, DataFrame]], expected: dict[str, int],
 
 
 def same_copy(source: DataFrame, copy: DataFrame) -> DataFrame:
-    """What tells a copied table from its source: columns that one side lacks or types otherwise, and the numbers of rows."""
+    """What tells a copied table from its source: columns that one side lacks or types otherwise, the numbers of rows, and where these agree the digests of all rows."""
     spark = source.sparkSession
     a, b = (spark.createDataFrame(df.dtypes, "subject string, kind string") for df in (source, copy))
     columns = differences(a, b, ["subject"], ["kind"]).select("subject", "difference", F.col("left_kind").alias("here"), F.col("right_kind").alias("there"))
-    counts = source.agg(F.count("*").alias("here")).crossJoin(F.broadcast(copy.agg(F.count("*").alias("there"))))  # one row each
-    rows = counts.where("here <> there").select(
-        F.lit("*").alias("subject"), F.lit("rows").alias("difference"), F.col("here").cast("string"), F.col("there").cast("string")
+    digest = lambda df, name: df.agg(F.count("*").alias(name), bag([c for c in source.columns if c in copy.columns]).alias(f"{name}_bag"))
+    counts = digest(source, "here").crossJoin(F.broadcast(digest(copy, "there")))  # one row each
+    finding = lambda where, name, a, b: counts.where(where).select(
+        F.lit("*").alias("subject"), F.lit(name).alias("difference"), F.col(a).cast("string").alias("here"), F.col(b).cast("string").alias("there")
     )
+    rows = finding("here <> there", "rows", "here", "there")
+    if dict(source.dtypes) == dict(copy.dtypes):
+        rows = rows.unionByName(finding("here = there and not here_bag <=> there_bag", "content", "here_bag", "there_bag"))
     return columns.unionByName(rows)
 
 

@@ -69,23 +69,59 @@ def overlap_join(records: DataFrame, windows: DataFrame, start: str, end: str, w
     return pairs.where((last > first) & (F.floor(first / width) == F.col("_bucket"))).withColumn("overlap_seconds", last - first).drop("_bucket")
 
 
+def bag(of: list[str], when: Column | None = None) -> Column:
+    """A digest of rows that does not depend on their order: the sum of their hashes. Nulls count by their place."""
+    hashed = F.xxhash64(*(x for c in of for x in (F.col(c), F.col(c).isNull()))).cast("decimal(38,0)")
+    return F.sum(hashed if when is None else F.when(when, hashed))
+
+
 def differences(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Rows that only one side has, or whose values differ; nulls are equal to nulls, in keys too."""
-    a = left.select(*(F.col(k).alias(f"_a_{k}") for k in keys), *(F.col(v).alias(f"left_{v}") for v in values), F.lit(True).alias("_left"))
-    b = right.select(*(F.col(k).alias(f"_b_{k}") for k in keys), *(F.col(v).alias(f"right_{v}") for v in values), F.lit(True).alias("_right"))
-    same = F.lit(True)
-    for k in keys:
-        same &= F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}"))
-    changed = F.col("_left").isNull() | F.col("_right").isNull()
+    """Keys that only one side has, or whose values differ; nulls are equal to nulls, in keys too.
+
+    One aggregate over both sides, so that nothing is multiplied: a key's rows are counted on
+    each side (left_count, right_count). Keys with several rows on a side are compared by
+    number and digest of their rows, and show the largest value of each column.
+    """
+    side = lambda df, name: df.select(*keys, *values, F.lit(name).alias("_side"))
+    is_left, is_right = F.col("_side") == "left", F.col("_side") == "right"
+    both = side(left, "left").unionByName(side(right, "right")).groupBy(*keys).agg(
+        F.count_if(is_left).alias("left_count"),
+        F.count_if(is_right).alias("right_count"),
+        bag(values, is_left).alias("_left_bag"),
+        bag(values, is_right).alias("_right_bag"),
+        *(F.max(F.when(w, F.col(v))).alias(f"{n}_{v}") for v in values for n, w in (("left", is_left), ("right", is_right))),
+    )
+    changed = (F.col("left_count") != F.col("right_count")) | ~F.col("_left_bag").eqNullSafe(F.col("_right_bag"))
     for v in values:
         changed |= ~F.col(f"left_{v}").eqNullSafe(F.col(f"right_{v}"))
-    return a.join(b, same, "full_outer").where(changed).select(
-        *(F.when(F.col("_left").isNotNull(), F.col(f"_a_{k}")).otherwise(F.col(f"_b_{k}")).alias(k) for k in keys),
-        F.when(F.col("_left").isNull(), "right only").when(F.col("_right").isNull(), "left only").otherwise("changed").alias("difference"),
-        *(c for v in values for c in (f"left_{v}", f"right_{v}")),
+    return both.where(changed).select(
+        *keys,
+        F.when(F.col("left_count") == 0, "right only").when(F.col("right_count") == 0, "left only").otherwise("changed").alias("difference"),
+        *(f"{n}_{v}" for v in values for n in ("left", "right")),
+        "left_count",
+        "right_count",
     )
 
 
+def suspects(left: DataFrame, right: DataFrame, keys: list[str], values: list[str], parts: int = 4096) -> DataFrame:
+    """Parts of the keys' hash in which the sides differ in number or digest of their rows; parts rows at most.
+
+    Each task passes on a row a part, so that equal tables are compared without moving their rows.
+    """
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).alias("_part")
+    digest = lambda df: df.groupBy(part).agg(F.count("*").alias("_rows"), bag([*keys, *values]).alias("_bag"))
+    both = digest(left).unionByName(digest(right)).groupBy("_part", "_rows", "_bag").agg(F.count("*").alias("_sides"))
+    return both.where("_sides = 1").select("_part").distinct()
+
+
+def stored_differences(left: DataFrame, right: DataFrame, keys: list[str], values: list[str], parts: int = 4096) -> DataFrame:
+    """differences() of stored tables: only rows in parts whose digests differ are brought together."""
+    off = F.broadcast(suspects(left, right, keys, values, parts))  # parts rows at most
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+    chosen = lambda df: df.withColumn("_part", part).join(off, "_part", "left_semi")
+    return differences(chosen(left), chosen(right), keys, values)
+
+
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows, with multiplicity, that only one side has, and which side."""
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))

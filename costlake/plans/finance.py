@@ -60,13 +60,18 @@ def coverage(rows: DataFrame) -> DataFrame:
     return sums.withColumns({"coverage_percent": percent, "coverage_status": label.otherwise("PARTIAL")})
 
 
+#: What a row of net_usage() stands for.
+USAGE_KEYS = ["usage_month", "workspace_id", "sku_name", "billing_origin_product", "usage_unit"]
+
+
 def net_usage(records: DataFrame, labels: dict[int, str] | None = None, free_skus: tuple[str, ...] = ()) -> DataFrame:
     """Net quantity by month, workspace, SKU and product; corrections stay in the sum. Workspaces without a label have none."""
     label = F.lit(None).cast("string")
     for workspace, name in (labels or {}).items():
         label = F.when(F.col("workspace_id") == workspace, name).otherwise(label)
     return (
-        records.groupBy(month_of("usage_start_time").alias("usage_month"), "workspace_id", "sku_name", "billing_origin_product", "usage_unit")
+        records.withColumn("usage_month", month_of("usage_start_time"))
+        .groupBy(*USAGE_KEYS)
         .agg(
             F.sum("usage_quantity").alias("net_quantity"),
             F.count("*").alias("billing_records"),

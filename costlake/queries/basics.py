@@ -331,12 +331,15 @@ _STATES = f"""SELECT source_uri, billing_month, CASE WHEN billing_month IN ('{M}
     FROM (SELECT _source_file AS source_uri, billing_month, bool_or(SkuId = '7') AS loaded FROM {C} GROUP BY ALL)"""
 query("src9", _STATES)(lambda s, d: _states(s, d).select("source_uri", "billing_month", "state"))
 query("src10", f"SELECT source_uri FROM ({_STATES}) WHERE state = 'NEW' ORDER BY 1 LIMIT 1")(lambda s, d: files.next_file(_states(s, d)).select("source_uri"))
-query("src11", f"SELECT DISTINCT billing_month FROM {C}")(
-    lambda s, d: charges(s, d)
-    .agg(F.min("BillingPeriodStart").alias("a"), F.max("BillingPeriodStart").alias("b"))
-    .select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("m"))
-    .select(F.date_format("m", "yyyy-MM").alias("billing_month"))
-)
+
+
+def month_range(s, d):
+    """All months from the first to the last of the charges."""
+    first, last = charges(s, d).agg(F.min("billing_month"), F.max("billing_month")).first()
+    return files.months_between(s, first, last)
+
+
+query("src11", f"SELECT strftime(unnest(generate_series(min(BillingPeriodStart), max(BillingPeriodStart), INTERVAL 1 MONTH)), '%Y-%m') AS billing_month FROM {C}")(month_range)
 query("src12", "SELECT CAST(max(event_id) FILTER (value > 20) AS VARCHAR) AS run_id FROM events WHERE date_trunc('second', ts) = (SELECT max(date_trunc('second', ts)) FROM events WHERE value > 20)")(
     lambda s, d: files.newest_export(
         table(s, d, "events").select(

@@ -216,9 +216,19 @@ query("win6", f"SELECT environment, billing_month, status, CAST(seen AS VARCHAR)
 )
 query("qry22", f"""SELECT billing_month, status, user_id AS billing_rows, user_id AS after_rows, CAST(0 AS DOUBLE) AS after_billing_difference, CAST(seen AS VARCHAR) AS reconciled_at
     FROM {_REC} WHERE environment = 'env1' ORDER BY 1 DESC LIMIT 24""")(lambda s, d: serving.latest_reconciliations(reconciliations(s, d), "env1"))
-query("dq14", "SELECT billing_month, count(DISTINCT _source_file) AS values FROM charges GROUP BY ALL HAVING count(DISTINCT _source_file) > 1")(
-    lambda s, d: audit.several(charges(s, d), "billing_month", "_source_file")
-)
+
+
+def ingested(s, d):
+    """Charges with the run that brought each: a day's file comes with one run, but the lines of one SKU came with a second, and those of another again with the first's rerun."""
+    run = F.concat(F.lit("run-"), F.col("_source_file"), F.when(F.col("SkuId") == "7", "-late").when(F.col("SkuId") == "9", "-rerun").otherwise(""))
+    return charges(s, d).withColumn("_ingestion_run_id", run)
+
+
+query(
+    "dq14",
+    """SELECT _source_file, count(DISTINCT r) AS runs, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT _source_file, CASE SkuId WHEN '7' THEN 'late' WHEN '9' THEN 'rerun' ELSE '' END AS r, count(*) AS n
+    FROM charges GROUP BY ALL) GROUP BY ALL HAVING count(DISTINCT r) <> 1""",
+)(lambda s, d: audit.runs_of_files(ingested(s, d)))
 _TWICE = "SELECT x_ChargeId, CAST(2 AS BIGINT) AS copies FROM charges WHERE SkuId = '7'"
 for _name in ("dq15", "agg10"):
     query(_name, _TWICE)(lambda s, d: audit.duplicates(charges(s, d).union(charges(s, d).where("SkuId = '7'")), ["x_ChargeId"]))
@@ -290,10 +300,15 @@ _CHANGED = f"""SELECT {', '.join(_KEYS)}, CASE WHEN sku_id = '9' THEN 'left only
     WHERE sku_id = '9' OR (sku_id = '7' AND consumed_quantity IS NOT NULL AND consumed_quantity <> 0)"""
 for _name in ("dq27", "jn8"):
     query(_name, _CHANGED)(changed_consumption)
-query("dq28", "SELECT usage_month, workspace_id, sku_name, 'left only' AS difference FROM (SELECT strftime(usage_start_time, '%Y-%m') AS usage_month, workspace_id, sku_name FROM usage WHERE record_type = 'RETRACTION' GROUP BY ALL)")(
+_USAGE = ", ".join(finance.USAGE_KEYS)
+query(
+    "dq28",
+    f"""SELECT {_USAGE}, 'left only' AS difference, CAST(1 AS BIGINT) AS left_count, CAST(0 AS BIGINT) AS right_count FROM
+    (SELECT *, strftime(usage_start_time, '%Y-%m') AS usage_month FROM usage WHERE record_type = 'RETRACTION') GROUP BY ALL""",
+)(
     lambda s, d: differences(
-        finance.net_usage(usage(s, d)), finance.net_usage(usage(s, d).where("record_type = 'ORIGINAL'")), ["usage_month", "workspace_id", "sku_name"], ["net_quantity"]
-    ).select("usage_month", "workspace_id", "sku_name", "difference")
+        finance.net_usage(usage(s, d)), finance.net_usage(usage(s, d).where("record_type = 'ORIGINAL'")), finance.USAGE_KEYS, ["net_quantity", "billing_records"]
+    ).select(*finance.USAGE_KEYS, "difference", "left_count", "right_count")
 )
 
 

@@ -141,12 +141,13 @@ query(
         )
     ).select("task_key", "task_start_time", "task_end_time", "execution_seconds", F.concat(F.lit("["), F.array_join("compute_ids", ", "), F.lit("]")).alias("compute_ids"))
 )
-_DAILY = """SELECT CAST(day AS VARCHAR) AS usage_date, strftime(day, '%Y-%m') AS month, sku_name AS service,
-    CAST(CASE WHEN count(*) FILTER (unit_price IS NULL) > 0 THEN NULL ELSE sum(usage_quantity * unit_price) END AS DOUBLE) AS cost_before_credits,
-    CAST(sum(usage_quantity) AS DOUBLE) AS usage_quantity FROM (
+_DAILY_EXACT = """SELECT CAST(day AS VARCHAR) AS usage_date, strftime(day, '%Y-%m') AS month, sku_name AS service,
+    CASE WHEN count(*) FILTER (unit_price IS NULL) > 0 THEN NULL ELSE sum(usage_quantity * unit_price) END AS cost_before_credits,
+    sum(usage_quantity) AS usage_quantity FROM (
       SELECT record_id, CAST(usage_start_time AS DATE) AS day, u.sku_name, usage_quantity, CASE WHEN count(p.sku_name) = 1 AND min(p.price) = round(min(p.price), 9) THEN min(p.price) END AS unit_price
       FROM usage u LEFT JOIN list_prices p ON u.sku_name = p.sku_name AND usage_start_time >= price_start_time
         AND (price_end_time IS NULL OR (usage_start_time < price_end_time AND usage_end_time <= price_end_time)) GROUP BY ALL) GROUP BY ALL"""
+_DAILY = f"SELECT * REPLACE (CAST(cost_before_credits AS DOUBLE) AS cost_before_credits, CAST(usage_quantity AS DOUBLE) AS usage_quantity) FROM ({_DAILY_EXACT})"
 
 
 def daily(s, d):
@@ -169,26 +170,26 @@ def _export(s, d):
     )
 
 
-_BILL = """SELECT CAST(CAST(usage_start_time AS DATE) AS VARCHAR) AS usage_date, strftime(usage_start_time, '%Y-%m') AS month, sku_name AS service, 'EUR' AS currency,
-    CAST(sum(usage_quantity) AS DOUBLE) AS cost_before_credits, CAST(sum(CASE WHEN sku_name = 'purchase' THEN usage_quantity * CAST(-0.5 AS DECIMAL(4,2)) ELSE 0 END) AS DOUBLE) AS credits,
+_BILL_EXACT = """SELECT CAST(CAST(usage_start_time AS DATE) AS VARCHAR) AS usage_date, strftime(usage_start_time, '%Y-%m') AS month, sku_name AS service, 'EUR' AS currency,
+    sum(usage_quantity) AS cost_before_credits, sum(CASE WHEN sku_name = 'purchase' THEN usage_quantity * CAST(-0.5 AS DECIMAL(4,2)) ELSE 0 END) AS credits,
     'GCP' AS provider, 'billing_export' AS cost_basis, 'partial' AS period_status FROM usage GROUP BY ALL"""
+_BILL = f"SELECT * REPLACE (CAST(cost_before_credits AS DOUBLE) AS cost_before_credits, CAST(credits AS DOUBLE) AS credits) FROM ({_BILL_EXACT})"
 query("fin10", _BILL)(lambda s, d: finance.bill_daily(_export(s, d)))
 query(
     "src16",
     """SELECT sku_name AS service, CAST(sum(CASE WHEN sku_name = 'purchase' THEN usage_quantity * CAST(-0.5 AS DECIMAL(4,2)) ELSE 0 END) AS DOUBLE) AS net_credit FROM usage GROUP BY ALL""",
 )(lambda s, d: _export(s, d).groupBy("service").agg(F.sum(finance.row_net_credit()).alias("net_credit")))
+def exactly(df, digits, *amounts):
+    """Decimal amounts rounded as decimals and cast last, so that a tie does not fall either way."""
+    return df.withColumns({c: F.round(c, digits).cast("double") for c in amounts})
+
+
 query(
     "fin11",
     f"""SELECT month, service, CAST(CASE WHEN count(*) FILTER (cost_before_credits IS NULL) > 0 THEN NULL ELSE round(sum(cost_before_credits), 6) END AS DOUBLE) AS cost_before_credits,
-    CAST(NULL AS DOUBLE) AS credits, round(sum(usage_quantity), 6) AS usage_quantity, 'partial' AS period_status FROM ({_DAILY}) GROUP BY ALL""",
+    CAST(NULL AS DOUBLE) AS credits, CAST(round(sum(usage_quantity), 6) AS DOUBLE) AS usage_quantity, 'partial' AS period_status FROM ({_DAILY_EXACT}) GROUP BY ALL""",
 )(
-    lambda s, d: rounded(
-        finance.monthly_from_daily(daily(s, d)).select(
-            "month", "service", *(F.col(c).cast("double").alias(c) for c in ("cost_before_credits", "credits", "usage_quantity")), "period_status"
-        ),
-        "cost_before_credits",
-        "usage_quantity",
-    )
+    lambda s, d: exactly(finance.monthly_from_daily(daily(s, d)).select("month", "service", "cost_before_credits", "credits", "usage_quantity", "period_status"), 6, "cost_before_credits", "credits", "usage_quantity")
 )
 
 
@@ -225,37 +226,32 @@ query(
 )(faulty_sources)
 query(
     "fin13",
-    f"""SELECT 'GCP' AS provider, round(sum(cost_before_credits + credits), 4) AS total, true AS comparable FROM ({_BILL})
-    UNION ALL SELECT 'Databricks', CASE WHEN count(*) FILTER (cost_before_credits IS NULL) > 0 THEN NULL ELSE round(sum(cost_before_credits), 4) END, true FROM ({_DAILY})""",
-)(lambda s, d: finance.provider_totals(merged(s, d)).withColumn("total", F.round(F.col("total").cast("double"), 4)))
+    f"""SELECT 'GCP' AS provider, CAST(round(sum(cost_before_credits + credits), 4) AS DOUBLE) AS total, true AS comparable FROM ({_BILL_EXACT})
+    UNION ALL SELECT 'Databricks', CAST(CASE WHEN count(*) FILTER (cost_before_credits IS NULL) > 0 THEN NULL ELSE round(sum(cost_before_credits), 4) END AS DOUBLE), true FROM ({_DAILY_EXACT})""",
+)(lambda s, d: exactly(finance.provider_totals(merged(s, d)), 4, "total"))
 query("fin13b", f"SELECT CAST(NULL AS DOUBLE) AS billed_total, CAST(1 AS BIGINT) AS providers FROM (SELECT count(*) FROM ({_BILL}))")(
     lambda s, d: finance.billed_total(merged(s, d))
 )
 query(
     "fin14",
-    f"""SELECT month, currency, round(sum(cost_before_credits) FILTER (provider = 'GCP'), 4) AS gcp_cost, round(sum(cost_before_credits) FILTER (provider = 'Databricks'), 4) AS databricks_cost,
-    CAST(NULL AS DOUBLE) AS total_cost FROM (SELECT month, currency, provider, cost_before_credits FROM ({_BILL}) UNION ALL SELECT month, 'USD', 'Databricks', cost_before_credits FROM ({_DAILY}))
-    GROUP BY ALL""",
-)(
-    lambda s, d: finance.totals_by_month(merged(s, d)).select(
-        "month", "currency", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in ("gcp_cost", "databricks_cost", "total_cost"))
-    )
-)
+    f"""WITH c AS (SELECT month, currency, provider, CAST(cost_before_credits AS DECIMAL(38,12)) AS cost_before_credits FROM ({_BILL_EXACT})
+    UNION ALL SELECT month, 'USD', 'Databricks', CAST(cost_before_credits AS DECIMAL(38,12)) FROM ({_DAILY_EXACT}))
+    SELECT month, currency, CAST(round(sum(cost_before_credits) FILTER (provider = 'GCP'), 4) AS DOUBLE) AS gcp_cost,
+    CAST(round(sum(cost_before_credits) FILTER (provider = 'Databricks'), 4) AS DOUBLE) AS databricks_cost, CAST(NULL AS DOUBLE) AS total_cost FROM c GROUP BY ALL""",
+)(lambda s, d: exactly(finance.totals_by_month(merged(s, d)).select("month", "currency", "gcp_cost", "databricks_cost", "total_cost"), 4, "gcp_cost", "databricks_cost", "total_cost"))
 for _name, _period, _form, _step in (("fin15", "day", "%Y-%m-%d", "1 DAY"), ("fin15_month", "month", "%Y-%m", "1 MONTH"), ("fin15_year", "year", "%Y", "1 YEAR")):
     query(
         _name,
         f"""WITH g AS (SELECT strftime(unnest(generate_series(date_trunc('{_period}', TIMESTAMP '2022-11-25'), TIMESTAMP '2024-04-10', INTERVAL {_step})), '{_form}') AS period),
-        t AS (SELECT strftime(CAST(usage_date AS DATE), '{_form}') AS period, sum(cost_before_credits) AS total FROM ({_BILL}) WHERE usage_date BETWEEN '2022-11-25' AND '2024-04-10' GROUP BY ALL)
-        SELECT 'GCP' AS provider, g.period, round(total, 4) AS total FROM g LEFT JOIN t ON g.period = t.period""",
+        t AS (SELECT strftime(CAST(usage_date AS DATE), '{_form}') AS period, sum(cost_before_credits) AS total FROM ({_BILL_EXACT}) WHERE usage_date BETWEEN '2022-11-25' AND '2024-04-10' GROUP BY ALL)
+        SELECT 'GCP' AS provider, g.period, CAST(round(total, 4) AS DOUBLE) AS total FROM g LEFT JOIN t ON g.period = t.period""",
     )(
-        lambda s, d, period=_period: finance.calendar_series(finance.bill_daily(_export(s, d)), "2022-11-25", "2024-04-10", period).withColumn(
-            "total", F.round(F.col("total").cast("double"), 4)
-        )
+        lambda s, d, period=_period: exactly(finance.calendar_series(finance.bill_daily(_export(s, d)), "2022-11-25", "2024-04-10", period), 4, "total")
     )
-query("fin16", f"SELECT provider, service, round(sum(cost_before_credits + credits), 4) AS total FROM ({_BILL}) GROUP BY ALL")(
+query("fin16", f"SELECT provider, service, CAST(round(sum(cost_before_credits + credits), 4) AS DOUBLE) AS total FROM ({_BILL_EXACT}) GROUP BY ALL")(
     lambda s, d: finance.bill_daily(_export(s, d))
     .groupBy("provider", "service")
-    .agg(F.round(F.sum(finance.reported_cost()).cast("double"), 4).alias("total"))
+    .agg(F.round(F.sum(finance.reported_cost()), 4).cast("double").alias("total"))
     .orderBy("provider", F.desc("total"), "service")
 )
 _SCENARIO = f"""SELECT *, CASE WHEN scenario_status = 'Modelled' THEN usage_rows ELSE 0 END AS modelled_usage_rows, CASE WHEN scenario_status = 'Modelled' THEN consumed_quantity END AS vm_hours

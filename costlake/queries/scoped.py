@@ -77,7 +77,7 @@ TWINS_OF_REPORTS = {
     "qry16": ("application_owners", totals(_OWNER, "1, 2, 3, 4, 5", _MONTH, 50, _COUNT)),
     "qry17": ("portfolio_services", totals("ServiceName AS service_name", "1", limit=30)),
     "qry18": ("portfolio_resources", totals(_RESOURCE, "1, 2, 3 NULLS FIRST", limit=30)),
-    "qry19": ("sku_costs", totals("SkuId AS sku_id, 'Unknown' AS meter_category, 'Unknown' AS meter_name", "1", limit=50)),
+    "qry19": ("sku_costs", totals("SkuId AS sku_id, CAST(NULL AS VARCHAR) AS meter_category, CAST(NULL AS VARCHAR) AS meter_name", "1", limit=50)),
 }
 for _name, (_report, _sql) in TWINS_OF_REPORTS.items():
     query(f"{_name}_scoped", _sql)(report(_report))

@@ -108,6 +108,32 @@ def test_null_safe_differences(spark):
     assert rows(joins.differences(a, b, ["k"], ["v"]).select("k", "difference")) == [("w", "right only"), ("z", "left only"), (None, "changed")]
 
 
+def test_differences_count_repeated_keys(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 2), ("y", 1), ("y", 1), ("z", 1), ("w", 3), ("w", 4)], "k string, v int")
+    b = spark.createDataFrame([("x", 2), ("x", 1), ("y", 1), ("z", 1), ("z", 1), ("w", 4), ("w", 5)], "k string, v int")
+    want = [("w", "changed", 2, 2), ("y", "changed", 2, 1), ("z", "changed", 1, 2)]
+    assert rows(joins.differences(a, b, ["k"], ["v"]).select("k", "difference", "left_count", "right_count")) == want
+    assert rows(joins.stored_differences(a, b, ["k"], ["v"], 7).select("k", "difference", "left_count", "right_count")) == want
+    swapped = spark.createDataFrame([("n", None, 5)], "k string, v int, u int"), spark.createDataFrame([("n", 5, None)], "k string, v int, u int")
+    assert joins.differences(*swapped, ["k"], ["v", "u"]).count() == 1
+
+
+def test_equal_tables_are_compared_without_their_rows(spark, tmp_path):
+    spark.range(50_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v")).write.parquet(f"{tmp_path}/a")
+    spark.read.parquet(f"{tmp_path}/a").repartition(3, "v").write.parquet(f"{tmp_path}/b")
+    a, b = spark.read.parquet(f"{tmp_path}/a"), spark.read.parquet(f"{tmp_path}/b")
+    assert joins.suspects(a, b, ["k"], ["v"]).count() == 0 and joins.stored_differences(a, b, ["k"], ["v"]).count() == 0
+    off = b.withColumn("v", F.when(F.col("k") == 77, None).otherwise(F.col("v")))
+    assert joins.suspects(a, off, ["k"], ["v"]).count() == 1
+    assert rows(joins.stored_differences(a, off, ["k"], ["v"]).select("k", "left_v", "right_v")) == [(77, 0, None)]
+    assert rows(audit.same_copy(a, off).select("difference")) == [("content",)] and audit.same_copy(a, b).isEmpty()
+
+
+def test_a_file_comes_with_one_run(spark):
+    df = spark.createDataFrame([("f", "r1"), ("f", "r1"), ("g", "r1"), ("g", "r2"), ("h", None)], "_source_file string, _ingestion_run_id string")
+    assert rows(audit.runs_of_files(df)) == [("g", 2, 2), ("h", 0, 1)]
+
+
 def test_contract(spark):
     base = {
         "BilledCost": "1.5", "EffectiveCost": "1", "ListCost": "2", "BillingCurrency": "EUR", "BillingPeriodStart": "2025-01-01", "BillingPeriodEnd": "2025-02-01",
