@@ -1,22 +1,31 @@
-"""Writes on Parquet directories: idempotent append, month replacement, rebuild and upserts.
-
-A table is a directory of versions. Appends and month replacements go to the newest one;
-what rewrites a table reads it, so it writes the next version, which readers see once
-Spark has marked it complete. The columns of a version are kept in a file beside its
-data, so that readers open no footers to find them, and the sources of an appended table
-in a small table of their own.
+"""Writes on Parquet directories: idempotent append, month replacement, rebuild and merges by hash bucket.
+
+Rows of one write lie in a directory of their own, below it by partition: rev=<write>/<partition>.
+A small pointer file names the live ones of each partition, with the table's columns;
+a write that is done puts the next pointer beside the last, and that is all that readers
+see of it. So a reader keeps what it opened, a killed writer leaves nothing that shows, a
+replaced month changes at once, and a merge rewrites only the buckets in which a row
+is new or other than before. Of two writers that began from one pointer the second does
+its check again.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-COLUMNS = "_columns.json"
+#: Hash buckets of a merged table, fixed when it is first written.
+BUCKETS = 16
+#: Times that a write begins anew because another one was faster.
+ATTEMPTS = 20
+POINTERS, REV, BUCKET = "pointers", "rev", "bucket"
+_commits = threading.Lock()
 
 
 class TableError(ValueError):
@@ -27,141 +36,247 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    # --- the listing and the small files go through Hadoop's file system, so any store will do
+    # --- listings and pointers go through Hadoop's file system, so any store will do
     def _at(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _versions(self, name: str) -> list[int]:
-        """Complete versions, oldest first."""
-        path, fs = self._at(f"{self.root}/{name}")
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        done = lambda n: fs.exists(self._at(f"{self.root}/{name}/{n}/_SUCCESS")[0])
-        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and done(n))
-
-    def names(self) -> list[str]:
-        path, fs = self._at(self.root)
-        found = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        return sorted(n for n in found if self._versions(n))
+    def _names_in(self, path: str) -> list[str]:
+        p, fs = self._at(path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v{version:06}"
-
-    def _newest(self, name: str) -> str:
-        return self._path(name, (self._versions(name) or [1])[-1])
-
-    def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
+    def _versions(self, name: str) -> list[int]:
+        return sorted(int(n[:-5]) for n in self._names_in(f"{self.root}/{name}/{POINTERS}") if n.endswith(".json") and n[:-5].isdigit())
 
-    def _columns(self, path: str) -> StructType | None:
-        file, fs = self._at(f"{path}/{COLUMNS}")
-        if not fs.exists(file):
-            return None
-        stream = fs.open(file)
+    def _pointer(self, name: str, version: int) -> dict:
+        p, fs = self._at(f"{self.root}/{name}/{POINTERS}/{version:08}.json")
+        stream = fs.open(p)
         try:
-            return StructType.fromJson(json.loads(stream.readUTF()))
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _keep_columns(self, path: str, df: DataFrame, by: list[str]) -> None:
-        """The version's columns and those that df adds, partition columns last."""
-        known = self._columns(path)
-        fields = list(known.fields) if known else []
-        have = {f.name for f in fields}
-        fields += [f for f in df.schema.fields if f.name not in have]
-        fields.sort(key=lambda f: f.name in by)
-        if known and len(fields) == len(known.fields):
-            return
-        for f in fields:
-            f.nullable = True
-        file, fs = self._at(f"{path}/{COLUMNS}")
-        stream = fs.create(file, True)
+    def _newest(self, name: str) -> tuple[int, dict]:
+        versions = self._versions(name)
+        if not versions:
+            return 0, {"columns": None, "by": [], "buckets": 0, "leaves": {}, "sources": []}
+        return versions[-1], self._pointer(name, versions[-1])
+
+    def _commit(self, name: str, version: int, pointer: dict) -> bool:
+        """Put the pointer at its number; false if another write was there first. The rename of a complete file refuses an existing one."""
+        folder = f"{self.root}/{name}/{POINTERS}"
+        final, fs = self._at(f"{folder}/{version:08}.json")
+        draft, _ = self._at(f"{folder}/{uuid.uuid4().hex}.draft")
+        stream = fs.create(draft, True)
         try:
-            stream.writeUTF(StructType(fields).json())
+            stream.write(bytearray(json.dumps(pointer), "utf-8"))
         finally:
             stream.close()
+        with _commits:  # local file systems rename over what is there
+            done = not fs.exists(final) and fs.rename(draft, final)
+        if not done:
+            fs.delete(draft, False)
+        return done
+
+    def _change(self, name: str, make: Callable[[dict], tuple[dict, int] | None]) -> int:
+        """make the next pointer from the newest until it is put in place; None: nothing to change. The rows that were written."""
+        for _ in range(ATTEMPTS):
+            version, pointer = self._newest(name)
+            made = make(pointer)
+            if made is None:
+                return 0
+            if self._commit(name, version + 1, made[0]):
+                return made[1]
+        raise TableError(f"{name} is written too often at a time")
+
+    # --- reads
+    def names(self) -> list[str]:
+        return sorted(n for n in self._names_in(self.root) if self._versions(n))
+
+    def exists(self, name: str) -> bool:
+        return bool(self._versions(name))
+
+    def _frame(self, name: str, pointer: dict, parts: list[str] | None = None) -> DataFrame:
+        """Rows of some partitions, or all, as the pointer names them."""
+        columns = StructType.fromJson(pointer["columns"])
+        leaves = [leaf for part, found in pointer["leaves"].items() if parts is None or part in parts for leaf in found]
+        if not leaves:
+            return self.spark.createDataFrame([], columns)
+        top = f"{self.root}/{name}"
+        return self.spark.read.schema(StructType(columns.fields).add(REV, "string")).option("basePath", top).parquet(*(f"{top}/{leaf}" for leaf in leaves)).drop(REV)
 
     def read(self, name: str) -> DataFrame:
-        versions = self._versions(name)
-        if not versions:
+        version, pointer = self._newest(name)
+        if not version:
             raise TableError(f"no table {name}")
-        path = self._path(name, versions[-1])
-        columns = self._columns(path)
-        reader = self.spark.read.schema(columns) if columns else self.spark.read.option("mergeSchema", "true")
-        return reader.parquet(path)
+        frame = self._frame(name, pointer)
+        return frame.drop(BUCKET) if pointer["by"] == [BUCKET] else frame
 
     def read_or_empty(self, name: str, like: DataFrame) -> DataFrame:
         return self.read(name) if self.exists(name) else like.limit(0)
 
-    def _write(self, df: DataFrame, path: str, mode: str, by: list[str]) -> int:
-        """Rows written, counted while writing. Rows of a partition are brought together first, large ones in several files."""
+    def files(self, name: str) -> list[str]:
+        """Live data files."""
+        return sorted(self._frame(name, self._newest(name)[1]).inputFiles())
+
+    # --- writes
+    def _put(self, df: DataFrame, name: str, by: list[str]) -> tuple[int, dict[str, list[str]]]:
+        """Write df into a directory of its own: rows, counted while writing, and leaves by partition. Rows of a partition are brought together first."""
+        rev = f"{REV}={uuid.uuid4().hex}"
         seen = Observation(uuid.uuid4().hex)
-        writer = (df.hint("rebalance", *by) if by else df).observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
-        if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = (df.hint("rebalance", *by) if by else df).observe(seen, F.count(F.lit(1)).alias("n")).write
+        path = f"{self.root}/{name}/{rev}"
         (writer.partitionBy(*by) if by else writer).parquet(path)
-        self._keep_columns(path, df, by)
-        return seen.get["n"]
+        parts = [n for n in self._names_in(path) if "=" in n] if by else [""]
+        return seen.get["n"], {p: [f"{rev}/{p}".rstrip("/")] for p in parts}
+
+    def _columns(self, pointer: dict, df: DataFrame, by: list[str]) -> dict:
+        """The table's columns and those that df adds, the partition column last."""
+        fields = list(StructType.fromJson(pointer["columns"]).fields) if pointer["columns"] else []
+        have = {f.name for f in fields}
+        fields += [f for f in df.schema.fields if f.name not in have]
+        fields.sort(key=lambda f: f.name in by)
+        for f in fields:
+            f.nullable = True
+        return json.loads(StructType(fields).json())
 
     def append(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> int:
         if df.isEmpty():
             raise TableError(f"nothing to append to {name}")
-        return self._write(df, self._newest(name), "append", list(by))
+        by = self._newest(name)[1]["by"] or list(by)
+        rows, leaves = self._put(df, name, by)
+        return self._change(name, lambda pointer: (self._added(pointer, df, by, leaves), rows))
+
+    def _added(self, pointer: dict, df: DataFrame, by: list[str], leaves: dict[str, list[str]]) -> dict:
+        every = {p: [*pointer["leaves"].get(p, []), *leaves.get(p, [])] for p in (*pointer["leaves"], *leaves)}
+        return pointer | {"columns": self._columns(pointer, df, by), "by": by, "leaves": every}
 
     def append_unseen(self, df: DataFrame, name: str, by: tuple[str, ...] = (), key: str = "_source_file") -> int:
         """Append the rows whose source file the table does not have; 0 on a second run.
 
-        Sources are entered in the table's list before their rows are written. A source
-        that is not in the list was never begun; only for those that are, after an earlier
-        or a broken run, the table itself is asked.
+        The list of sources, a small table below the table, is named by the same pointer as
+        the rows: both show at once or not at all. A writer that was overtaken looks again.
         """
-        mine, listed = df.select(key).distinct(), f"{name}_sources"
-        known = self.read_or_empty(listed, mine).select(key)
-        begun = mine.join(known, key, "left_semi")
-        if self.exists(name) and not begun.isEmpty():
-            stored = self.read(name).select(key).join(begun, key, "left_semi").distinct()
-            df = df.join(mine.join(stored, key, "left_anti"), key, "left_semi")
-        new = mine.join(known, key, "left_anti")
-        if not new.isEmpty():
-            self._write(new, self._newest(listed), "append", [])
-        return self._write(df, self._newest(name), "append", list(by))
-
-    def replace_months(self, df: DataFrame, name: str, months: list[str]) -> int:
+        mine, listed = df.select(key).distinct(), f"{name}/sources"
+
+        def make(pointer: dict) -> tuple[dict, int] | None:
+            rows = df
+            if pointer["sources"]:
+                known = self.spark.read.schema(mine.schema).parquet(*(f"{self.root}/{listed}/{leaf}" for leaf in pointer["sources"]))
+                new = mine.join(known, key, "left_anti")
+                if new.isEmpty():
+                    return None
+                rows = df.join(new, key, "left_semi")
+            else:
+                new = mine
+            if not pointer["columns"] and new.isEmpty():
+                return None
+            _, sources = self._put(new, listed, [])
+            n, leaves = self._put(rows, name, pointer["by"] or list(by))
+            return self._added(pointer, df, pointer["by"] or list(by), leaves) | {"sources": [*pointer["sources"], *sources[""]]}, n
+
+        return self._change(name, make)
+
+    def replace_months(self, df: DataFrame, name: str, months: list[str], column: str = "billing_month") -> int:
         """Replace some billing months; other months stay. Refuses rows of other months, and months without rows."""
-        found = df.select("billing_month").distinct().limit(len(months) + 1).collect()
-        found = {r["billing_month"] for r in found}
+        found = df.select(column).distinct().limit(len(months) + 1).collect()
+        found = {r[column] for r in found}
         if found - set(months):
             raise TableError(f"rows outside {sorted(months)}")
         if set(months) - found:
             raise TableError(f"no rows for {sorted(set(months) - found)}")
-        if self.exists(name):
-            return self._write(align(df, self.read(name)), self._newest(name), "overwrite", ["billing_month"])
-        return self._write(df, self._newest(name), "append", ["billing_month"])
+        return self.replace_parts(df, name, column, months)
 
     def replace_month(self, df: DataFrame, name: str, month: str) -> int:
         return self.replace_months(df, name, [month])
 
+    def replace_parts(self, df: DataFrame, name: str, column: str, values: list[str]) -> int:
+        """Replace the partitions of some values by df's rows, which may be none."""
+        version, pointer = self._newest(name)
+        if version:
+            df = align(df, self._frame(name, pointer))
+        rows, leaves = self._put(df, name, [column])
+
+        def make(pointer: dict) -> tuple[dict, int]:
+            kept = {p: found for p, found in pointer["leaves"].items() if p not in {f"{column}={v}" for v in values}}
+            return pointer | {"columns": self._columns(pointer, df, [column]), "by": [column], "leaves": kept | leaves}, rows
+
+        return self._change(name, make)
+
     def rebuild(self, df: DataFrame, name: str) -> int:
         """Replace the whole table by df, which may read the table itself."""
-        versions = self._versions(name)
-        return self._write(df, self._path(name, versions[-1] + 1 if versions else 1), "append", [])
+        rows, leaves = self._put(df, name, [])
+        fresh = {"columns": self._columns({"columns": None}, df, []), "by": [], "buckets": 0, "leaves": leaves, "sources": []}
+        return self._change(name, lambda pointer: (fresh, rows))
 
     def retain(self, name: str, versions: int = 2) -> list[str]:
-        """Delete all but the newest versions; returns the paths that went. Readers of an older version lose it."""
-        gone = [self._path(name, v) for v in self._versions(name)[: -max(1, versions)]]
-        for path in gone:
+        """Delete all but the newest pointers, and the leaves that only those named; returns the paths that went. Readers of an older version lose it."""
+        numbers = self._versions(name)
+        old, kept = numbers[: -max(1, versions)], numbers[-max(1, versions) :]
+        named = lambda of: {x for v in of for p in [self._pointer(name, v)] for x in (*(leaf for found in p["leaves"].values() for leaf in found), *(f"sources/{s}" for s in p["sources"]))}
+        gone = sorted(f"{self.root}/{name}/{leaf}" for leaf in named(old) - named(kept))
+        for path in (*gone, *(f"{self.root}/{name}/{POINTERS}/{v:08}.json" for v in old)):
             file, fs = self._at(path)
             fs.delete(file, True)
         return gone
 
-    def insert_missing(self, df: DataFrame, name: str, keys: list[str]) -> int:
-        return self.rebuild(inserted(self.read_or_empty(name, df), df, keys), name)
+    def version(self, name: str) -> int:
+        """Number of the newest pointer; 0: no table."""
+        return self._newest(name)[0]
+
+    def altered(self, name: str, since: int, keys: list[str], columns: list[str]) -> DataFrame | None:
+        """Keys whose row had other values in these columns when pointer number since was the newest. Reads only what was rewritten; None: nothing."""
+        version, now = self._newest(name)
+        if not since or version == since:
+            return None
+        before = self._pointer(name, since)
+        only = lambda a, b: a | {"leaves": {p: [x for x in found if x not in b["leaves"].get(p, [])] for p, found in a["leaves"].items()}}
+        old, new = self._frame(name, only(before, now)), self._frame(name, only(now, before))
+        same = F.lit(True)
+        for c in (c for c in columns if c not in keys):
+            same &= F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
+        return old.alias("o").join(new.alias("n"), keys).where(~same).select(*keys)
+
+    # --- merges
+    def _merge(self, df: DataFrame, name: str, keys: list[str], buckets: int, write: Callable[[DataFrame, DataFrame, dict], tuple[dict, int] | None]) -> int:
+        """Merge df by hash bucket: write gets its rows with their buckets and the target's rows of these buckets only."""
+        number = self._newest(name)[1]["buckets"] or buckets
+        source = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int")).persist()
+        try:
+            touched = [f"{BUCKET}={r[0]}" for r in source.select(BUCKET).distinct().collect()]  # as many as buckets at most
+
+            def make(pointer: dict) -> tuple[dict, int] | None:
+                if not pointer["columns"]:
+                    rows, leaves = self._put(source, name, [BUCKET])
+                    return pointer | {"columns": self._columns(pointer, source, [BUCKET]), "by": [BUCKET], "buckets": number, "leaves": leaves}, rows
+                return write(source, self._frame(name, pointer, touched), pointer)
+
+            return self._change(name, make)
+        finally:
+            source.unpersist()
+
+    def insert_missing(self, df: DataFrame, name: str, keys: list[str], buckets: int = BUCKETS) -> int:
+        """Append the rows whose key the table does not have; stored files stay as they are."""
+
+        def write(source: DataFrame, target: DataFrame, pointer: dict) -> tuple[dict, int] | None:
+            new = source.join(target.select(BUCKET, *keys), [BUCKET, *keys], "left_anti")
+            rows, leaves = self._put(new.select(*target.columns), name, [BUCKET])
+            return (self._added(pointer, target, [BUCKET], leaves), rows) if rows else None
+
+        return self._merge(df, name, keys, buckets, write)
+
+    def upsert(self, df: DataFrame, name: str, keys: list[str], least: tuple[str, ...] = (), buckets: int = BUCKETS) -> int:
+        """Source rows win; columns named in least keep the smaller of both values. Only buckets with a new or changed row are rewritten."""
 
-    def upsert(self, df: DataFrame, name: str, keys: list[str], least: tuple[str, ...] = ()) -> int:
-        """Source rows win; columns named in least keep the smaller of both values."""
-        return self.rebuild(upserted(self.read_or_empty(name, df), df, keys, least), name)
+        def write(source: DataFrame, target: DataFrame, pointer: dict) -> tuple[dict, int] | None:
+            changed = [r[0] for r in changes(target, source, [BUCKET, *keys], least).select(BUCKET).distinct().collect()]  # buckets
+            if not changed:
+                return None
+            chosen = F.col(BUCKET).isin(changed)
+            rows, leaves = self._put(upserted(target.where(chosen), source.where(chosen), [BUCKET, *keys], least), name, [BUCKET])
+            return pointer | {"leaves": pointer["leaves"] | leaves}, rows
+
+        return self._merge(df, name, keys, buckets, write)
 
 
 def align(df: DataFrame, target: DataFrame) -> DataFrame:
@@ -172,6 +287,19 @@ def align(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*(F.col(n).cast(k) for n, k in target.dtypes))
 
 
+def changes(target: DataFrame, source: DataFrame, keys: list[str], least: tuple[str, ...] = ()) -> DataFrame:
+    """Source rows that target does not have, or that an upsert would change."""
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
+    other = F.col("t._has").isNull()
+    for c in target.columns:
+        if c not in keys:
+            value = F.least(f"t.{c}", f"s.{c}") if c in least else F.col(f"s.{c}")
+            other |= ~value.eqNullSafe(F.col(f"t.{c}"))
+    return source.alias("s").join(target.withColumn("_has", F.lit(True)).alias("t"), same, "left").where(other).select("s.*")
+
+
 def inserted(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """target and the source rows whose key it does not have."""
     return target.unionByName(source.join(target.select(*keys), keys, "left_anti"))

@@ -1,4 +1,9 @@
-"""The fourteen marts. Each is one aggregate over the fact table, the allocation or the clean lines."""
+"""The fourteen marts. Each is one aggregate over the fact table, the allocation or the clean lines.
+
+For refreshes the sums over facts are kept as states by month and surrogate keys (STATES),
+which add up: a refresh replaces the states of its months, and a mart over all months or over
+dimensions that change is made from states, never from the facts of other months.
+"""
 
 from __future__ import annotations
 
@@ -30,17 +35,40 @@ class Gold:
     def dimension(self, name: str) -> DataFrame:
         return gold.DIMENSIONS[name](self.lines)
 
+    def sums(self, *keys: str) -> DataFrame:
+        """billed_cost summed by keys of the facts."""
+        return self.fact.groupBy(*keys).agg(F.sum("billed_cost").alias("billed_cost"))
+
     def summed(self, joins: list[tuple[str, str]], *kept: str) -> DataFrame:
         """billed_cost summed by the keys of joins (dimension, key) and kept, then joined with the dimensions.
 
         The sums come first: a dimension meets a row for each of its keys, not each line.
         """
-        out = self.fact.groupBy(*kept, *(key for _, key in joins)).agg(F.sum("billed_cost").alias("billed_cost"))
+        out = self.sums(*kept, *(key for _, key in joins))
         for name, key in joins:
             out = out.join(self.dimension(name), key)
         return out
 
 
+#: States of the facts, by month and these keys. Sums over fewer keys are sums of the smallest state that has them.
+STATES = {
+    "state_day": ["charge_period_start_date_sk"],
+    "state_service": ["service_sk"],
+    "state_sku": ["sku_sk"],
+    "state_charge_type": ["charge_type_sk"],
+    "state_resource": ["resource_sk", "location_sk", "billing_scope_sk"],
+}
+
+
+def state(fact: DataFrame, name: str) -> DataFrame:
+    return fact.groupBy("billing_month", *STATES[name]).agg(F.sum("billed_cost").alias("billed_cost"))
+
+
+def state_for(keys: tuple[str, ...]) -> str:
+    """The state with the fewest keys that has these."""
+    return min((n for n, own in STATES.items() if set(keys) <= {"billing_month", *own}), key=lambda n: len(STATES[n]))
+
+
 RESOURCE, LOCATION, SERVICE = ("dim_resource", "resource_sk"), ("dim_location", "location_sk"), ("dim_service", "service_sk")
 
 
@@ -49,12 +77,12 @@ def _billed(name: str = "total_billed_cost") -> Column:
 
 
 def monthly_billing(g: Gold) -> DataFrame:
-    return g.fact.groupBy("billing_month").agg(_billed("monthly_billed_cost"))
+    return g.sums("billing_month").withColumnRenamed("billed_cost", "monthly_billed_cost")
 
 
 def daily_billing(g: Gold) -> DataFrame:
     # aggregated by key first: the join then meets a row a day
-    by_key = g.fact.groupBy(F.col("charge_period_start_date_sk").alias("date_sk")).agg(_billed("daily_billed_cost"))
+    by_key = g.sums("charge_period_start_date_sk").withColumnsRenamed({"charge_period_start_date_sk": "date_sk", "billed_cost": "daily_billed_cost"})
     return by_key.join(g.dimension("dim_date"), "date_sk").select("date", "daily_billed_cost")
 
 
@@ -121,19 +149,19 @@ def savings_monthly(g: Gold) -> DataFrame:
 
 
 def executive_summary_monthly(g: Gold) -> DataFrame:
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return (
-        g.lines.where("billing_month is not null")
-        .groupBy("billing_month")
-        .agg(
-            F.count("*").alias("charge_lines"),
-            F.countDistinct("ResourceId").alias("active_resources"),
-            F.countDistinct("ServiceName").alias("consumed_services"),
-            total("BilledCost").alias("billed_cost"),
-            total("EffectiveCost").alias("effective_cost"),
-            total("ListCost").alias("list_cost"),
-        )
-        .withColumn("total_savings_vs_list", F.col("list_cost") - F.col("effective_cost"))
+    """Distinct resources and services are rows of sums by resource and by service, so that no line is expanded."""
+    costs = {"billed_cost": "BilledCost", "effective_cost": "EffectiveCost", "list_cost": "ListCost"}
+    both = g.lines.where("billing_month is not null").groupBy("billing_month", "ResourceId", "ServiceName").agg(
+        F.count("*").alias("charge_lines"), *(F.sum(c).alias(n) for n, c in costs.items())
+    )
+    sums = lambda df, *keys: df.groupBy("billing_month", *keys)
+    by_resource = sums(both, "ResourceId").agg(F.sum("charge_lines").alias("charge_lines"), *(F.sum(n).alias(n) for n in costs))
+    resources = sums(by_resource).agg(
+        F.sum("charge_lines").alias("charge_lines"), F.count("ResourceId").alias("active_resources"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in costs)
+    )
+    services = sums(both.select("billing_month", "ServiceName").distinct()).agg(F.count("ServiceName").alias("consumed_services"))
+    return resources.join(services, "billing_month").select(
+        "billing_month", "charge_lines", "active_resources", "consumed_services", *costs, (F.col("list_cost") - F.col("effective_cost")).alias("total_savings_vs_list")
     )
 
 
@@ -193,3 +221,10 @@ MARTS: dict[str, Callable[[Gold], DataFrame]] = {
     "dm_cost_by_subscription_month": cost_by_subscription_month,
     "dm_cost_by_application_owner_month": cost_by_application_owner_month,
 }
+
+#: Marts by month from the lines of the month; by month from states and dimensions; over all months from states and dimensions.
+OF_LINES = ("dm_cost_by_scope_service_month", "dm_savings_monthly", "dm_executive_summary_monthly", "dm_data_quality_monthly")
+OF_MONTHS = (
+    "dm_monthly_billing dm_cost_by_charge_type dm_top_resources_monthly dm_cost_by_resource_group_month dm_cost_by_subscription_month dm_cost_by_application_owner_month"
+).split()
+OF_ALL = ("dm_daily_billing", "dm_top_services", "dm_top_resources", "dm_sku_cost")

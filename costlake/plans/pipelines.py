@@ -21,6 +21,10 @@ STATUS = "billing_month string, status string, authoritative_source string, upda
 AT_ONCE = 4
 # How the tables of a layer begin.
 LAYERS = {"bronze": "bronze", "silver": "silver", "gold": ("dim_", "bridge_", "fact_"), "marts": "dm_"}
+#: Hash buckets of the tables that merges write; the others are small.
+MERGE_BUCKETS = {"bridge_resource_tag": 256, "dim_resource": 64, "dim_sku": 16, "dim_billing_scope": 16, "dim_tag": 16}
+#: Versions of the rewritten tables that stay for readers.
+KEPT_VERSIONS = 3
 TYPE1 = {"dim_billing_scope": ["billing_scope_sk"], "dim_resource": ["resource_sk"], "bridge_resource_tag": ["resource_sk", "tag_sk"]}
 
 
@@ -177,26 +181,60 @@ class Lake:
         return months
 
     def refresh(self, months: list[str]) -> None:
-        """Dimensions and facts of some months, then all marts. Tables of one step do not depend on each other: AT_ONCE are written at a time."""
-        lines = self.tables.read("silver").where(F.col("billing_month").isin(months))
+        """Dimensions, facts and states of some months, then the marts that follow from them.
+
+        Facts are read of these months only. Marts by month are replaced for these months and
+        for those in which a resource or scope occurs whose attributes have changed; marts over
+        all months are made from states. Tables of one step do not depend on each other:
+        AT_ONCE are written at a time.
+        """
+        t = self.tables
+        lines = t.read("silver").where(F.col("billing_month").isin(months))
+        before = {name: t.version(name) for name in TYPE1}
 
         def dimension(name: str) -> None:
-            frame, keys = gold.DIMENSIONS[name](lines), TYPE1.get(name)
+            frame, keys, buckets = gold.DIMENSIONS[name](lines), TYPE1.get(name), MERGE_BUCKETS.get(name, 1)
             if keys:
-                self.tables.upsert(frame, name, keys, ("valid_from",))
+                t.upsert(frame, name, keys, ("valid_from",), buckets)
             elif name == "dim_date":
-                self.tables.upsert(frame, name, ["date_sk"])
+                t.upsert(frame, name, ["date_sk"], buckets=buckets)
             else:
-                self.tables.insert_missing(frame, name, [next(c for c in frame.columns if c.endswith("_sk"))])
+                t.insert_missing(frame, name, [next(c for c in frame.columns if c.endswith("_sk"))], buckets)
 
         steps = [partial(dimension, n) for n in gold.DIMENSIONS]
-        steps.append(lambda: self.tables.replace_months(gold.fact_cost_usage(lines), "fact_cost_usage", months))
-        stored = StoredGold(self.tables)
+        steps.append(lambda: t.replace_months(gold.fact_cost_usage(lines), "fact_cost_usage", months))
+        self._at_once(steps)
+        fact = t.read("fact_cost_usage").where(F.col("billing_month").isin(months))
+        self._at_once([partial(self._replace, marts.state(fact, n), n, months) for n in marts.STATES])
+        stale = self._stale_months(before, set(months))
+        of_lines, of_states = StoredGold(t, months), StoredGold(t)
+        steps = [partial(self._replace, marts.MARTS[n](of_lines), n, months) for n in marts.OF_LINES]
+        chosen = StoredGold(t, sorted(stale))
+        steps += [partial(self._replace, marts.MARTS[n](chosen), n, sorted(stale)) for n in marts.OF_MONTHS]
+        steps += [partial(t.rebuild, marts.MARTS[n](of_states), n) for n in marts.OF_ALL]
+        self._at_once(steps)
+        for name in (*gold.DIMENSIONS, "fact_cost_usage", *marts.STATES, *marts.MARTS):
+            t.retain(name, KEPT_VERSIONS)
+
+    @staticmethod
+    def _at_once(steps: list) -> None:
         with ThreadPoolExecutor(AT_ONCE) as pool:
             for done in [pool.submit(step) for step in steps]:
                 done.result()
-            for done in [pool.submit(self.tables.rebuild, mart(stored), name) for name, mart in marts.MARTS.items()]:
-                done.result()
+
+    def _replace(self, frame: DataFrame, name: str, months: list[str]) -> int:
+        return self.tables.replace_parts(frame, name, "billing_month", months)
+
+    def _stale_months(self, before: dict[str, int], months: set[str]) -> set[str]:
+        """months, and those in whose states a key occurs whose attributes differ from the version before."""
+        found = set(months)
+        for name, attributes in (("dim_resource", [*gold.RESOURCE, *gold.APPLICATION_TAGS]), ("dim_billing_scope", list(gold.SCOPE))):
+            keys = TYPE1[name]
+            moved = self.tables.altered(name, before[name], keys, attributes)
+            if moved is not None:
+                states = self.tables.read("state_resource").select("billing_month", *keys)
+                found |= {r[0] for r in states.join(moved, keys, "left_semi").select("billing_month").distinct().collect()}  # months
+        return found
 
     # --- controls
     def daily_findings(self, path: str, other: Lake | None = None, tolerance: float = audit.TOLERANCE) -> DataFrame:
@@ -265,7 +303,7 @@ class Lake:
         """What keeps this environment from a first load (audit.preflight over its tables by layer)."""
         layers: dict[str, dict[str, DataFrame]] = {}
         for name in self.tables.names():
-            layer = next((k for k, prefix in LAYERS.items() if name.startswith(prefix) and not name.endswith("_sources")), None)
+            layer = next((k for k, prefix in LAYERS.items() if name.startswith(prefix)), None)
             if layer:
                 layers.setdefault(layer, {})[name] = self.tables.read(name)
         none = self.spark.createDataFrame([], "environment string")
@@ -314,15 +352,22 @@ class Lake:
 
 
 class StoredGold(marts.Gold):
-    """The star schema as stored, instead of built from lines."""
+    """The star schema as stored, of some months or all, instead of built from lines; sums come from states."""
+
+    def __init__(self, tables: Tables, months: list[str] | None = None):
+        self.tables, self.months = tables, months
+        super().__init__(self._chosen("silver"))
 
-    def __init__(self, tables: Tables):
-        super().__init__(tables.read("silver"))
-        self.tables = tables
+    def _chosen(self, name: str) -> DataFrame:
+        frame = self.tables.read(name)
+        return frame if self.months is None else frame.where(F.col("billing_month").isin(self.months))
 
     @property
     def fact(self) -> DataFrame:
-        return self.tables.read("fact_cost_usage")
+        return self._chosen("fact_cost_usage")
+
+    def sums(self, *keys: str) -> DataFrame:
+        return self._chosen(marts.state_for(keys)).groupBy(*keys).agg(F.sum("billed_cost").alias("billed_cost"))
 
     def dimension(self, name: str) -> DataFrame:
         return self.tables.read(name)

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import Tables, inserted, latest_state, upserted
+from ..operators.tables import Tables, latest_state
 from ..plans import finance, gold, marts, pipelines
 from ..plans.pipelines import Lake
 from ..sources import files
@@ -93,7 +93,7 @@ _REPLACED = f"""SELECT billing_month, count(*) FILTER (billing_month <> '{M}' OR
 def replaced(build):
     def run(s, d):
         t, c = Tables(s, folder(s)), build(charges(s, d), lines(s, d))
-        t._write(c, t._path("silver", 1), "append", ["billing_month"])
+        t.append(c, "silver", ("billing_month",))
         t.replace_month(c.where((F.col("billing_month") == M) & (F.col("SkuId") != "7")), "silver", M)
         return t.read("silver").groupBy("billing_month").agg(F.count("*").alias("lines"))
 
@@ -108,7 +108,7 @@ query("snk3", _REPLACED)(replaced(lambda c, _: c))
 def snk5(s, d):
     """The facts of one month replaced by those of its lines, which lost one SKU."""
     t, c = Tables(s, folder(s)), lines(s, d)
-    t._write(gold.fact_cost_usage(c), t._path("fact_cost_usage", 1), "append", ["billing_month"])
+    t.append(gold.fact_cost_usage(c), "fact_cost_usage", ("billing_month",))
     t.replace_month(gold.fact_cost_usage(c.where((F.col("billing_month") == M) & (F.col("SkuId") != "7"))), "fact_cost_usage", M)
     return t.read("fact_cost_usage").groupBy("billing_month").agg(F.count("*").alias("rows"), F.sum("billed_cost").alias("billed_cost"))
 
@@ -132,24 +132,27 @@ for _name in ("snk6", "snk12"):
     query(_name, f"SELECT billing_month, {_SUM} AS monthly_billed_cost FROM charges GROUP BY ALL")(rebuilt)
 
 
-def halves(s, d):
-    c = lines(s, d)
-    return c.where(F.col("billing_month") < M), c.where(F.col("billing_month") >= M)
+def merged_halves(s, d, dimension, write):
+    """A dimension of the lines before a month, then of those from it on, merged into one stored table."""
+    t, c = Tables(s, folder(s)), lines(s, d)
+    for half in (c.where(F.col("billing_month") < M), c.where(F.col("billing_month") >= M)):
+        write(t, dimension(half))
+    return t.read("merged")
 
 
 query("snk7", "SELECT DISTINCT ServiceName AS service_name, ServiceCategory AS service_category FROM charges")(
-    lambda s, d: inserted(*(gold.dim_service(h) for h in halves(s, d)), ["service_sk"]).select("service_name", "service_category")
+    lambda s, d: merged_halves(s, d, gold.dim_service, lambda t, f: t.insert_missing(f, "merged", ["service_sk"])).select("service_name", "service_category")
 )
 query("snk8", """SELECT ResourceId AS resource_id, CAST(min(ChargePeriodStart) AS VARCHAR) AS valid_from, arg_max(application_code, (ChargePeriodStart, Tags)) AS application_code
     FROM charges GROUP BY ResourceId""")(
-    lambda s, d: upserted(*(gold.dim_resource(h) for h in halves(s, d)), ["resource_sk"], ("valid_from",)).select("resource_id", "valid_from", "application_code")
+    lambda s, d: merged_halves(s, d, gold.dim_resource, lambda t, f: t.upsert(f, "merged", ["resource_sk"], ("valid_from",), 64)).select("resource_id", "valid_from", "application_code")
 )
 query("snk9", """SELECT count(DISTINCT d) AS days FROM (SELECT unnest([BillingPeriodStart, BillingPeriodEnd, CAST(ChargePeriodStart AS DATE), CAST(ChargePeriodEnd AS DATE)]) AS d FROM charges)""")(
-    lambda s, d: upserted(*(gold.dim_date(h) for h in halves(s, d)), ["date_sk"]).agg(F.count("*").alias("days"))
+    lambda s, d: merged_halves(s, d, gold.dim_date, lambda t, f: t.upsert(f, "merged", ["date_sk"])).agg(F.count("*").alias("days"))
 )
 query("snk10", """SELECT count(*) AS pairs, CAST(min(a) AS VARCHAR) AS first FROM (SELECT r, k, v, min(a) AS a FROM (
     SELECT ResourceId AS r, 'a' AS k, application_code AS v, ChargePeriodStart AS a FROM charges UNION ALL SELECT ResourceId, 'e', env_tag, ChargePeriodStart FROM charges) GROUP BY ALL)""")(
-    lambda s, d: upserted(*(gold.bridge_resource_tag(h) for h in halves(s, d)), ["resource_sk", "tag_sk"], ("valid_from",)).agg(
+    lambda s, d: merged_halves(s, d, gold.bridge_resource_tag, lambda t, f: t.upsert(f, "merged", ["resource_sk", "tag_sk"], ("valid_from",), 64)).agg(
         F.count("*").alias("pairs"), F.min("valid_from").alias("first")
     )
 )

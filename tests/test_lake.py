@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from costlake.operators import audit, scoping
 from costlake.operators.tables import Tables
-from costlake.plans import gold
+from costlake.plans import gold, marts
 from costlake.plans.pipelines import Lake
 from costlake.queries.registry import lines
 from costlake.queries.storage import sources
@@ -58,13 +58,133 @@ def test_append_survives_a_broken_run(spark, tmp_path):
     t = Tables(spark, str(tmp_path))
     make = lambda *names: spark.createDataFrame([(f, i) for f in names for i in range(3)], "_source_file string, v int")
     assert t.append_unseen(make("a"), "raw") == 3
-    # a run that listed its sources and broke before it wrote their rows
-    t.append(spark.createDataFrame([("b",)], "_source_file string"), "raw_sources")
+    # a run that wrote rows and sources and broke before it put its pointer in place
+    t._put(make("b"), "raw", [])
+    t._put(make("b").select("_source_file").distinct(), "raw/sources", [])
+    assert t.read("raw").count() == 3
     assert t.append_unseen(make("a", "b", "c"), "raw") == 6
     assert t.append_unseen(make("a", "b", "c"), "raw") == 0
     assert t.read("raw").count() == 9
 
 
+def test_two_writers_of_one_source(spark, tmp_path, monkeypatch):
+    """The second writer looked before the first was done; it looks again and appends nothing."""
+    one, other = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path))
+    rows = spark.createDataFrame([("a", 1), ("a", 2)], "_source_file string, v int")
+    one.append_unseen(spark.createDataFrame([("z", 0)], "_source_file string, v int"), "raw")
+    put, first = other._put, []
+
+    def overtaken(*args):
+        if not first:
+            first.append(one.append_unseen(rows, "raw"))
+        return put(*args)
+
+    monkeypatch.setattr(other, "_put", overtaken)
+    assert other.append_unseen(rows, "raw") == 0 and first == [2] and one.read("raw").count() == 3
+    # appends of different rows at a time lose nothing
+    more, begun = spark.createDataFrame([("x", 9)], "_source_file string, v int"), []
+    commit = other._commit
+    monkeypatch.setattr(other, "_commit", lambda *a: (begun.append(begun or one.append(more, "raw")), commit(*a))[1])
+    other.append(more, "raw")
+    assert one.read("raw").count() == 5
+
+
+def test_months_are_replaced_at_once(spark, tmp_path, monkeypatch):
+    t = Tables(spark, str(tmp_path))
+    month = lambda m, *values: spark.createDataFrame([(m, v) for v in values], "billing_month string, v int")
+    t.append(month("2025-01", 1, 2).union(month("2025-02", 3)), "facts", ("billing_month",))
+    before = t.read("facts")
+    seen = lambda df: sorted(map(tuple, df.select("billing_month", "v").collect()))
+    t.replace_month(month("2025-01", 7), "facts", "2025-01")
+    assert seen(before) == [("2025-01", 1), ("2025-01", 2), ("2025-02", 3)]  # a reader that opened before
+    assert seen(t.read("facts")) == [("2025-01", 7), ("2025-02", 3)]
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(t, "_commit", killed)
+    with pytest.raises(KeyboardInterrupt):
+        t.replace_month(month("2025-01", 8), "facts", "2025-01")
+    monkeypatch.undo()
+    assert seen(t.read("facts")) == [("2025-01", 7), ("2025-02", 3)]
+    t.retain("facts", 1)
+    assert seen(t.read("facts")) == [("2025-01", 7), ("2025-02", 3)]
+    text = t.read("facts").where("billing_month = '2025-02'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(billing_month" in text
+
+
+def test_a_merge_rewrites_few_files(spark, tmp_path):
+    """The tags of one more day touch under a twentieth of the bridge's files; a day that brings nothing new touches none."""
+    t, all_lines = Tables(spark, str(tmp_path)), lines(spark, SF).cache()
+    keys, merge = ["resource_sk", "tag_sk"], lambda df: t.upsert(gold.bridge_resource_tag(df), "bridge", ["resource_sk", "tag_sk"], ("valid_from",), 256)
+    day = F.to_date("ChargePeriodStart")
+    first = all_lines.where(day != F.lit("1998-03-02"))
+    merge(first)
+    before = set(t.files("bridge"))
+    assert merge(all_lines.where(day == F.lit("1998-06-01"))) == 0 and set(t.files("bridge")) == before
+    earlier = all_lines.where(day == F.lit("1998-03-02")).limit(3).withColumn("ChargePeriodStart", F.lit("1990-01-01").cast("timestamp"))
+    merge(earlier)
+    after = set(t.files("bridge"))
+    assert 0 < len(before - after) < 0.05 * len(before) and len(after) == len(before)
+    want = gold.bridge_resource_tag(first.unionByName(earlier))
+    assert t.read("bridge").exceptAll(want.select(t.read("bridge").columns)).isEmpty() and t.read("bridge").count() == want.select(keys).distinct().count()
+
+
+def test_inserts_keep_stored_files(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    make = lambda *ks: spark.createDataFrame([(k, f"v{k}") for k in ks], "k int, v string")
+    t.insert_missing(make(*range(40)), "d", ["k"], 8)
+    before = t.files("d")
+    assert t.insert_missing(make(3, 4), "d", ["k"], 8) == 0 and t.files("d") == before
+    assert t.insert_missing(make(3, 50), "d", ["k"], 8) == 1 and set(before) < set(t.files("d"))
+    assert t.read("d").columns == ["k", "v"] and t.read("d").count() == 41
+
+
+def test_a_refresh_reads_its_month(spark, tmp_path, monkeypatch):
+    """A second refresh leaves the facts of other months alone, and gives what a full rebuild gives, also where a resource has changed its group."""
+    lake = Lake(spark, str(tmp_path))
+    months = ["1998-03", "1998-04"]
+    some = lines(spark, SF).where(F.col("billing_month").isin(months)).cache()
+    shared = some.where("billing_month = '1998-03'").select("ResourceId").first()[0]
+    later = some.where("billing_month = '1998-04'")
+    moved = later.limit(2).withColumns({"ResourceId": F.lit(shared), "x_ResourceGroupName": F.lit("rg-new"), "ChargePeriodStart": F.lit("1999-01-01").cast("timestamp")})
+    lake.tables.append(some.where("billing_month = '1998-03'"), "silver", ("billing_month",))
+    lake.refresh(["1998-03"])
+    lake.tables.append(later.unionByName(moved), "silver")
+    read, opened = Tables.read, []
+
+    def watched(self, name):
+        frame = read(self, name)
+        if name == "fact_cost_usage":
+            opened.append(frame)
+        return frame
+
+    kept = [f for f in lake.tables.files("fact_cost_usage") if "1998-03" in f]
+    monkeypatch.setattr(Tables, "read", watched)
+    plans = []
+    replace = Lake._replace
+    monkeypatch.setattr(Lake, "_replace", lambda self, frame, name, m: (plans.append((name, frame._jdf.queryExecution().toString())), replace(self, frame, name, m))[1])
+    lake.refresh(["1998-04"])
+    monkeypatch.undo()
+    assert kept and kept == [f for f in lake.tables.files("fact_cost_usage") if "1998-03" in f]
+    of_facts = [text for name, text in plans if name.startswith("state_")]
+    assert len(of_facts) == 5 and all("1998-04" in x.split("PartitionFilters")[1].splitlines()[0] and "1998-03" not in x.split("PartitionFilters")[1].splitlines()[0] for x in of_facts)
+    assert len(opened) == 1  # states only; no mart reads facts
+    full = marts.Gold(lake.tables.read("silver"))
+    for name, mart in marts.MARTS.items():
+        want, got = mart(full), lake.tables.read(name)
+        both = [sorted(map(tuple, df.select(*(F.col(n).cast("string") for n in want.columns)).collect()), key=str) for df in (want, got.select(*(F.col(n).cast(k) for n, k in want.dtypes)))]
+        assert both[0] == both[1], name
+    groups = lake.tables.read("dm_cost_by_resource_group_month").where("resource_group_name = 'rg-new'")
+    assert {r["billing_month"] for r in groups.collect()} == {"1998-03", "1998-04"}
+
+
+def test_no_line_is_expanded(spark):
+    for name in ("dm_executive_summary_monthly", "dm_data_quality_monthly"):
+        text = marts.MARTS[name](marts.Gold(lines(spark, SF)))._jdf.queryExecution().toString()
+        assert "Expand" not in text, name
+
+
 def test_columns_and_retention(spark, tmp_path):
     t = Tables(spark, str(tmp_path))
     t.append(spark.createDataFrame([("m", 1)], "billing_month string, v int"), "x", ("billing_month",))
