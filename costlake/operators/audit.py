@@ -151,6 +151,18 @@ def lineage(df: DataFrame) -> DataFrame:
     return mixed.unionByName(many).unionByName(spread)
 
 
+def content_digest(df: DataFrame, by: str, values: tuple[str, ...]) -> DataFrame:
+    """One row: rows, rows of each value of by, and a SHA-256 over the number of rows and two order-free sums of their hashes; amounts count by value, not by scale."""
+    plain = [F.coalesce(F.col(c).cast("decimal(38,12)").cast("string") if k.startswith("decimal") else F.col(c).cast("string"), F.lit("\0")) for c, k in sorted(df.dtypes)]
+    text = F.concat_ws("\x1f", *plain)
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), text).cast("decimal(38,0)")).cast("string")
+    return df.agg(
+        F.count("*").alias("rows"),
+        *(F.count_if(F.col(by) == v).alias(f"{v.lower()}_rows") for v in values),
+        F.sha2(F.concat_ws(":", F.count("*").cast("string"), total("a"), total("b")), 256).alias("content_digest"),
+    )
+
+
 def runs_of_files(df: DataFrame) -> DataFrame:
     """Source files whose rows are not of exactly one ingestion run, with their runs and rows. Rows are summed by file and run first."""
     by_run = df.groupBy("_source_file", "_ingestion_run_id").agg(F.count("*").alias("rows"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-#: Rows of a price list or of run windows that are broadcast at most, and copies of a larger one.
+#: Rows of a price list or of run windows that are broadcast at most, and copies of larger windows.
 FEW, SALTS = 10_000, 16
 
 
@@ -21,14 +21,49 @@ def spread(records: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]
     return records.withColumn("_salt", F.pmod(F.xxhash64(*records.columns), F.lit(SALTS)).cast("int")), others.select("*", salts)
 
 
+def dyadic(first: Column, last: Column, levels: int) -> Column:
+    """The whole numbers first..last as nodes of a binary tree: array<struct<node, own>>.
+
+    Own nodes are disjoint and make up the interval, two a level at most below the top one.
+    The others are the nodes above them that reach beyond the interval. Two intervals that
+    share a number n meet in exactly one node around n that one of them owns: the larger of
+    the two own nodes around n.
+    """
+    found = []
+    for level in range(levels + 1):
+        node = lambda n, own, level=level: F.struct((n * 64 + level).alias("node"), F.lit(own).alias("own"))
+        inside = lambda k: (-F.shiftright(-first, k), F.shiftright(last + 1, k) - 1)  # noqa: E731  first and last node within, at level k
+        low, high = inside(level)
+        nothing = F.array().cast("array<struct<node:bigint,own:boolean>>")
+        if level == levels:
+            found.append(F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda n: node(n, True))).otherwise(nothing))
+        else:
+            above_low, above_high = inside(level + 1)
+            found.append(F.when((low <= high) & (F.shiftright(low, 1) < above_low), F.array(node(low, True))).otherwise(nothing))
+            at_end = (low <= high) & (F.shiftright(high, 1) > above_high) & ((high > low) | (F.shiftright(low, 1) >= above_low))
+            found.append(F.when(at_end, F.array(node(high, True))).otherwise(nothing))
+        if level:
+            left, right = F.shiftright(first, level), F.shiftright(last, level)
+            found.append(F.when((left < low) | (left > high), F.array(node(left, False))).otherwise(nothing))
+            found.append(F.when((right != left) & ((right < low) | (right > high)), F.array(node(right, False))).otherwise(nothing))
+    return F.concat(*found)
+
+
+#: Seconds of the least node, and levels of the tree above it: for overlaps, which are dealt on both sides, and for validities.
+UNIT, OVERLAP_LEVELS, VALIDITY_LEVELS = 3600, 10, 20
+#: Where an open end is dealt to: the year 2200. Records behind it find no open price.
+FOREVER = 7_258_118_400
+
+
 def validity_join(
     records: DataFrame, prices: DataFrame, keys: list[str], at: str, valid_from: str, valid_to: str, until: str | None = None, how: str = "left"
 ) -> DataFrame:
     """records with the prices of equal keys that are valid at a time; a null end is open.
 
     until: the price must also cover the record up to there. Up to FEW prices, which are
-    counted first, are broadcast; more are repeated SALTS times, so that the records of one
-    key, often most of all, meet them in as many tasks.
+    counted first, are broadcast. More of them are dealt to the tree nodes that make up
+    their time, and a record looks into the nodes above its own time only: the versions of
+    one key are neither copied nor all compared, and a hot key is spread over its times.
     """
     p = prices.select(*(F.col(c).alias(f"_k_{c}") for c in keys), *(c for c in prices.columns if c not in keys))
     within = (F.col(at) >= F.col(valid_from)) & (
@@ -36,37 +71,47 @@ def validity_join(
     )
     same = within
     for k in keys:
-        same &= records[k] == F.col(f"_k_{k}")
+        same &= F.col(k) == F.col(f"_k_{k}")
     if few(p):
         return records.join(F.broadcast(p), same, how).drop(*(f"_k_{k}" for k in keys))
-    salted, p = spread(records, p)
-    for k in keys:
-        within &= salted[k] == F.col(f"_k_{k}")
-    return salted.join(p, within & (F.col("_salt") == F.col("_p_salt")), how).drop(*(f"_k_{k}" for k in keys), "_salt", "_p_salt")
-
-
-def overlap_join(records: DataFrame, windows: DataFrame, start: str, end: str, window_start: str, window_end: str, bucket_hours: int = 24) -> DataFrame:
-    """records with each window that overlaps them, and overlap_seconds, by an equality on time buckets.
-
-    Both sides are dealt to the buckets that they touch; a pair counts in the bucket in
-    which its overlap begins, so it comes out once and no cross join is needed. Few windows
-    are broadcast, more are repeated for the salts of a bucket's records.
+    hour = lambda c: F.floor(F.unix_timestamp(c) / UNIT)
+    first = hour(valid_from)
+    last = F.greatest(first, F.coalesce(hour(valid_to), F.lit(FOREVER // UNIT)))
+    dealt = p.select("*", F.inline(dyadic(first, last, VALIDITY_LEVELS)).alias("_p_node", "_own")).where("_own").drop("_own")
+    levels = F.transform(F.sequence(F.lit(0), F.lit(VALIDITY_LEVELS)), lambda k: F.call_function("shiftright", hour(at), k) * 64 + k)
+    looking = records.where(F.col(at).isNotNull()).select("*", F.explode(levels).alias("_node"))
+    matched = looking.join(dealt, same & (F.col("_node") == F.col("_p_node"))).drop("_node", "_p_node", *(f"_k_{k}" for k in keys))
+    if how == "inner":
+        return matched
+    decisive = list(dict.fromkeys([*keys, at, *([until] if until else [])]))  # on these alone it depends whether a record has a price
+    has = matched.select(*(F.col(c).alias(f"_h_{c}") for c in decisive)).distinct()
+    equal = F.lit(True)
+    for c in decisive:
+        equal &= F.col(c) == F.col(f"_h_{c}")
+    return matched.unionByName(records.join(has, equal, "left_anti"), allowMissingColumns=True)
+
+
+def overlap_join(records: DataFrame, windows: DataFrame, start: str, end: str, window_start: str, window_end: str) -> DataFrame:
+    """records with each window that overlaps them, and overlap_seconds, by an equality on tree nodes.
+
+    Both sides become the nodes of their hours (dyadic), so that a window of a year is some 40
+    rows; a pair counts in the one node around the begin of its overlap that either side
+    owns, so it comes out once and no cross join is needed. Few windows are broadcast, more
+    are repeated for the salts of the records.
     """
-    width = bucket_hours * 3600
     seconds = lambda c: F.unix_timestamp(c)
-
-    def buckets(a: str, b: str) -> Column:
-        return F.explode(F.sequence(F.floor(seconds(a) / width), F.floor(F.greatest(seconds(a), seconds(b) - 1) / width)))
-
-    r = records.where(F.col(end) > F.col(start)).withColumn("_bucket", buckets(start, end))
-    w = windows.where(F.col(window_end) > F.col(window_start)).withColumn("_bucket", buckets(window_start, window_end))
+    hours = lambda a, b: dyadic(F.floor(seconds(a) / UNIT), F.floor(F.greatest(seconds(a), seconds(b) - 1) / UNIT), OVERLAP_LEVELS)
+    dealt = lambda df, a, b, own: df.where(F.col(b) > F.col(a)).select("*", F.inline(hours(a, b)).alias("_node", own))
+    r, w = dealt(records, start, end, "_r_own"), dealt(windows, window_start, window_end, "_w_own")
     first, last = F.greatest(seconds(start), seconds(window_start)), F.least(seconds(end), seconds(window_end))
-    if few(w):
-        pairs = r.join(F.broadcast(w), "_bucket")
+    if few(windows):
+        pairs = r.join(F.broadcast(w), "_node")
     else:
         r, w = spread(r, w)
-        pairs = r.join(w.withColumnRenamed("_p_salt", "_salt"), ["_bucket", "_salt"]).drop("_salt")
-    return pairs.where((last > first) & (F.floor(first / width) == F.col("_bucket"))).withColumn("overlap_seconds", last - first).drop("_bucket")
+        pairs = r.join(w.withColumnRenamed("_p_salt", "_salt"), ["_node", "_salt"]).drop("_salt")
+    level = F.pmod(F.col("_node"), F.lit(64)).cast("int")
+    around = F.call_function("shiftright", F.floor(first / UNIT), level) == F.shiftright("_node", 6)
+    return pairs.where((last > first) & (F.col("_r_own") | F.col("_w_own")) & around).withColumn("overlap_seconds", last - first).drop("_node", "_r_own", "_w_own")
 
 
 def bag(of: list[str], when: Column | None = None) -> Column:

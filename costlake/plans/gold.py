@@ -249,26 +249,57 @@ def bridge_resource_tag(lines: DataFrame) -> DataFrame:
     )
 
 
+#: Repeated lines that are looked up by broadcast at most.
+FEW_REPEATED = 100_000
+
+
+def _line_hash(lines: DataFrame, content: list[str]) -> Column:
+    """64 bits of file and content; equal lines have equal hashes. Times count to the millisecond, as the fingerprint writes them."""
+
+    def part(c: str, kind: str) -> Column:
+        if kind.startswith("timestamp"):
+            return F.date_trunc("millisecond", c)
+        return F.to_json(F.struct(c)) if kind.startswith(("map", "array", "struct", "double", "float", "variant")) else F.col(c)
+
+    return F.xxhash64("_source_file", *(part(c, k) for c, k in lines.dtypes if c in content))
+
+
 def identified_lines(lines: DataFrame) -> DataFrame:
     """lines with line_key: the row's content hash and its number among equal rows of the file.
 
-    The same in every replay, whatever the order of rows, and numbered in parallel: only
-    equal rows share a window. Columns that are not used later are pruned before it.
+    The same in every replay, whatever the order of rows. Hashes are counted first, which
+    moves 64 bits a line: where none occurs twice, every line has number 1 and stays where it
+    is read; up to FEW_REPEATED hashes that do are broadcast, and only their lines meet in a
+    window; more of them send all lines through it.
     """
     from ..operators.contract import fingerprint
 
-    hashed = lines.withColumn("_content", fingerprint([c for c in lines.columns if not c.startswith("_")]))
-    number = F.row_number().over(W.partitionBy("_source_file", "_content").orderBy(F.lit(1)))
-    return hashed.withColumn("line_key", F.concat_ws(":", "_content", number.cast("string"))).drop("_content")
-
-
-def fact_cost_usage(lines: DataFrame, focus_version: str = "1.0") -> DataFrame:
-    numbered = identified_lines(lines)
-    line_parts = [F.coalesce("_source_file", F.lit(UNKNOWN)), F.col("line_key")]
+    spark = lines.sparkSession
+    content = [c for c in lines.columns if not c.startswith("_")]
+    hashed = lines.withColumn("_hash", _line_hash(lines, content))
+    twice = hashed.groupBy("_hash").count().where("count > 1").select("_hash").limit(FEW_REPEATED + 1).collect()
+    key = lambda number: F.concat_ws(":", fingerprint(content), number)
+    number = F.row_number().over(W.partitionBy("_source_file", "_content").orderBy(F.lit(1))).cast("string")
+    windowed = lambda df: df.withColumn("_content", fingerprint(content)).withColumn("line_key", F.concat_ws(":", "_content", number)).drop("_content", "_hash")
+    if len(twice) > FEW_REPEATED:
+        return windowed(hashed)
+    if not twice:
+        return lines.withColumn("line_key", key(F.lit("1")))
+    repeated = F.broadcast(spark.createDataFrame(twice, "_hash long"))
+    once = hashed.join(repeated, "_hash", "left_anti").withColumn("line_key", key(F.lit("1"))).select(*lines.columns, "line_key")
+    return once.unionByName(windowed(hashed.join(repeated, "_hash", "left_semi").select(*lines.columns, "_hash")))
+
+
+def fact_cost_usage(lines: DataFrame, focus_version: str = "1.0", keys: bool = True) -> DataFrame:
+    """The facts of lines. Their keys count equal lines first (identified_lines); without keys nothing runs until the frame is used."""
+    numbered, own = lines, []
+    if keys:
+        numbered = identified_lines(lines)
+        line_parts = [F.coalesce("_source_file", F.lit(UNKNOWN)), F.col("line_key")]
+        own = [surrogate_key("fact", *line_parts).alias("cost_usage_sk"), surrogate_key("charge", *line_parts).alias("charge_id")]
     on_demand = F.col("PricingCategory") == "On-Demand"
     return numbered.select(
-        surrogate_key("fact", *line_parts).alias("cost_usage_sk"),
-        surrogate_key("charge", *line_parts).alias("charge_id"),
+        *own,
         "billing_month",
         scope_key().alias("billing_scope_sk"),
         resource_key().alias("resource_sk"),

@@ -26,7 +26,8 @@ class Gold:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_cost_usage(self.lines)
+        """Without the keys of its rows, which no mart reads."""
+        return gold.fact_cost_usage(self.lines, keys=False)
 
     @cached_property
     def allocation(self) -> DataFrame:

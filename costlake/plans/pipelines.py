@@ -16,6 +16,10 @@ from ..sources import files
 from . import gold, marts
 
 RUNS = "run_id string, environment string, pipeline_name string, billing_month string, status string, started_at timestamp, finished_at timestamp, message string"
+COLLECTIONS = (
+    "run_id string, environment string, status string, started_at timestamp, finished_at timestamp, rows long, gcp_rows long, databricks_rows long, "
+    "content_digest string, message string"
+)
 STATUS = "billing_month string, status string, authoritative_source string, updated_at timestamp"
 #: Tables of a refresh that are written at a time.
 AT_ONCE = 4
@@ -312,7 +316,23 @@ class Lake:
         return audit.preflight(layers, expected, log, self.environment)
 
     def collect_costs(self, bill: DataFrame, usage: DataFrame, publish: bool) -> DataFrame:
-        """Merge bill and estimate, check every rule, and overwrite the daily and monthly tables; a preview writes nothing."""
+        """Merge bill and estimate, check every rule, and overwrite the daily and monthly tables; a preview writes nothing.
+
+        Every publishing run leaves a row in platform_cost_run: with the digest of what was
+        published and the rows of each provider, or as COLLECTION_FAILED with the reason.
+        """
+        run_id, started = uuid.uuid4().hex, now()
+        try:
+            merged, published = self._collected(bill, usage, publish)
+        except Exception as e:
+            if publish:
+                self._log_collection(run_id, started, "COLLECTION_FAILED", {}, str(e)[:500])
+            raise
+        if publish:
+            self._log_collection(run_id, started, "SUCCESS", published, None)
+        return merged
+
+    def _collected(self, bill: DataFrame, usage: DataFrame, publish: bool) -> tuple[DataFrame, dict]:
         from . import finance
 
         merged = bill.unionByName(usage, allowMissingColumns=True)
@@ -320,14 +340,17 @@ class Lake:
         broken = contract.count_violations(merged, audit.platform_cost_rules()).first().asDict()
         if any(broken.values()):
             raise audit.ControlError(f"invalid cost rows: { {n: c for n, c in broken.items() if c} }")
-        if publish:
-            self.tables.rebuild(merged, "platform_cost_daily")
-            self.tables.rebuild(finance.monthly_from_daily(self.tables.read("platform_cost_daily")), "platform_cost_monthly")
-            row = merged.agg(
-                F.lit(uuid.uuid4().hex).alias("run_id"), F.lit("SUCCESS").alias("status"), F.count("*").alias("rows"), F.current_timestamp().alias("collected_at")
-            )
-            self.tables.append(row, "platform_cost_run")
-        return merged
+        if not publish:
+            return merged, {}
+        self.tables.rebuild(merged, "platform_cost_daily")
+        daily = self.tables.read("platform_cost_daily")
+        self.tables.rebuild(finance.monthly_from_daily(daily), "platform_cost_monthly")
+        return merged, audit.content_digest(daily, "provider", ("GCP", "Databricks")).first().asDict()
+
+    def _log_collection(self, run_id: str, started: datetime, status: str, published: dict, message: str | None) -> None:
+        got = published.get
+        row = (run_id, self.environment, status, started, now(), got("rows"), got("gcp_rows"), got("databricks_rows"), got("content_digest"), message)
+        self.tables.append(self.spark.createDataFrame([row], COLLECTIONS), "platform_cost_run")
 
     def rebuild_from(self, monthly: dict[str, str], daily: list[str], target: Lake) -> DataFrame:
         """Replay monthly sources (by month), then daily ones, into an empty target and compare the money of both; returns the differences."""

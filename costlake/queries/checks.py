@@ -232,7 +232,7 @@ query(
 _TWICE = "SELECT x_ChargeId, CAST(2 AS BIGINT) AS copies FROM charges WHERE SkuId = '7'"
 for _name in ("dq15", "agg10"):
     query(_name, _TWICE)(lambda s, d: audit.duplicates(charges(s, d).union(charges(s, d).where("SkuId = '7'")), ["x_ChargeId"]))
-query("dq15b", "SELECT count(*) AS rows, count(*) AS keys FROM charges")(lambda s, d: star(s, d).fact.agg(F.count("*").alias("rows"), F.countDistinct("cost_usage_sk").alias("keys")))
+query("dq15b", "SELECT count(*) AS rows, count(*) AS keys FROM charges")(lambda s, d: gold.fact_cost_usage(lines(s, d)).agg(F.count("*").alias("rows"), F.countDistinct("cost_usage_sk").alias("keys")))
 query("dq19", f"SELECT billing_month AS period, count(*) AS rows, {_SUM} AS BilledCost, CAST(sum(ListCost) AS DOUBLE) AS ListCost FROM charges GROUP BY ALL")(
     lambda s, d: audit.money_snapshot(charges(s, d).select("billing_month", "BilledCost", "ListCost"))
 )

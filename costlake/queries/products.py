@@ -89,7 +89,16 @@ _NO_NUMBER = (
     "list_unit_price billed_cost_usd effective_cost_usd on_demand_cost_usd billed_unit_price effective_unit_price on_demand_unit_price pricing_quantity "
     "pricing_block_size partner_credit_rate billing_exchange_rate"
 ).split()
-# the keys of a fact hash the whole line as JSON, which SQL does not write alike: tests/test_products.py recomputes them
+# the keys of a fact hash the whole line as JSON, which SQL does not write alike: here they are computed and must be two digests,
+# dq15b counts them, and tests/test_lake.py recomputes them
+
+
+def with_checked_keys(facts):
+    digest = lambda c: F.col(c).rlike("^[0-9a-f]{64}$")
+    given = digest("cost_usage_sk") & digest("charge_id") & (F.col("cost_usage_sk") != F.col("charge_id"))
+    return facts.withColumn("has_keys", given).drop("cost_usage_sk", "charge_id")
+
+
 query(
     "gld12",
     f"""SELECT billing_month, sha256('billing_scope||' || BillingAccountId || '||' || SubAccountId || '||Unknown') AS billing_scope_sk,
@@ -106,8 +115,8 @@ query(
     {", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in _NO_NUMBER)},
     CAST(CASE WHEN PricingCategory = 'On-Demand' THEN ListCost END AS DOUBLE) AS on_demand_cost, CAST(ConsumedQuantity AS DOUBLE) AS usage_quantity,
     coalesce(nullif(trim(ConsumedUnit), ''), 'Unknown') AS usage_unit, '' AS charge_description, 'EUR' AS billing_currency, '2024-01-01 00:00:00' AS ingestion_timestamp,
-    'Microsoft' AS source_system, '1.0' AS focus_version, '{VERSION}' AS contract_version, 'run-' || billing_month AS batch_id FROM charges""",
-)(lambda s, d: star(s, d).fact.drop("cost_usage_sk", "charge_id"))
+    'Microsoft' AS source_system, '1.0' AS focus_version, '{VERSION}' AS contract_version, 'run-' || billing_month AS batch_id, true AS has_keys FROM charges""",
+)(lambda s, d: with_checked_keys(gold.fact_cost_usage(lines(s, d))))
 query(
     "gld13",
     "SELECT x_ChargeId, billing_month, allocation_method, cost_center AS cost_center_allocated, CAST(BilledCost AS DOUBLE) AS BilledCost FROM allocation",

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import audit
 from ..operators.tables import Tables, latest_state
 from ..plans import finance, gold, marts, pipelines
 from ..plans.pipelines import Lake
@@ -199,13 +200,30 @@ def src5(s, d):
     return raw.agg(F.count("*").alias("lines"), F.bool_and(marked).alias("marked"))
 
 
-@query("src6", "SELECT CAST(2 AS BIGINT) AS days FROM (SELECT count(*) FROM charges)")
+def day_tree(s: SparkSession, d: str, root: str) -> str:
+    """All days' sources as daily/YYYY/MM/YYYY-MM-DD.parquet: written at once, then moved to their names."""
+    t = Tables(s, root)
+    written = day_files(s, d, f"{root}/new")
+    for name in t._names_in(written):
+        if name.startswith("day="):
+            day = name.removeprefix("day=")
+            target, fs = t._at(f"{root}/daily/{day[:4]}/{day[5:7]}/{day}.parquet")
+            fs.mkdirs(target.getParent())
+            fs.rename(t._at(f"{written}/{name}")[0], target)
+    return f"{root}/daily"
+
+
+@query("src6", """SELECT strftime(ChargePeriodStart, '%Y-%m') AS billing_month, true AS valid, count(DISTINCT CAST(ChargePeriodStart AS DATE)) AS files FROM charges GROUP BY ALL
+    UNION ALL SELECT '1998-03', false, 1 FROM (SELECT count(*) FROM charges) UNION ALL SELECT NULL, false, 1 FROM (SELECT count(*) FROM charges)""")
 def src6(s, d):
+    """The inventory of a tree that holds every day's file, a day in another month's folder, a file of another name, and one that is no Parquet."""
     root = folder(s)
-    for day in (f"{M}-02", f"{M}-03"):
-        day_file(s, d, root, day)
-    found = files.inventory(s, root).select(F.regexp_extract("source_uri", r"(.*/daily/\d{4}/\d{2}/[^/]*\.parquet)", 1).alias("source_uri")).distinct()
-    return files.dated(found).where("valid").agg(F.count("*").alias("days"))
+    daily = day_tree(s, d, root)
+    for stray in ("1998/04/1998-03-05.parquet", "1998/03/summary.parquet"):
+        s.range(1).write.parquet(f"{daily}/{stray}")
+    s.range(1).select(F.lit("note").alias("value")).write.text(f"{daily}/1998/03/notes.txt")
+    found = files.inventory(s, root).select(F.regexp_extract("source_uri", r"(.*/daily/.*?\.parquet)(/part-|$)", 1).alias("source_uri")).distinct()
+    return files.dated(found).groupBy("billing_month", "valid").agg(F.count("*").alias("files"))
 
 
 @query("pip1", f"""SELECT count(*) AS bronze, count(*) AS silver, CAST(0 AS BIGINT) AS again, count(*) AS fact FROM charges WHERE CAST(ChargePeriodStart AS DATE) = DATE '{M}-02'""")
@@ -239,20 +257,34 @@ query("pip4", f"SELECT billing_month, {_SUM} AS monthly_billed_cost FROM charges
 )
 
 
+def cost_sources(s, d):
+    """The bill and the estimate of a collection."""
+    bill = finance.bill_daily(_export(s, d)).withColumns({"usage_unit": F.lit(""), "usage_quantity": F.lit(None).cast("decimal(28,2)")})
+    return bill, finance.priced_daily(usage(s, d), list_prices(s))
+
+
 @query("pip5", "SELECT strftime(usage_start_time, '%Y-%m') AS month, sku_name AS service FROM usage GROUP BY ALL")
 def pip5(s, d):
     lake = Lake(s, folder(s))
-    bill = finance.bill_daily(_export(s, d)).withColumns({"usage_unit": F.lit(""), "usage_quantity": F.lit(None).cast("decimal(28,2)")})
-    lake.collect_costs(bill, finance.priced_daily(usage(s, d), list_prices(s)), publish=True)
+    lake.collect_costs(*cost_sources(s, d), publish=True)
     return lake.tables.read("platform_cost_monthly").where("provider = 'GCP'").select("month", "service")
 
 
-@query("fin17", "SELECT 'SUCCESS' AS status, count(*) AS rows FROM (SELECT DISTINCT CAST(usage_start_time AS DATE), sku_name, p FROM usage, (VALUES (1), (2)) AS v(p))")
+@query("fin17", """WITH n AS (SELECT count(*) AS n FROM (SELECT DISTINCT CAST(usage_start_time AS DATE), sku_name FROM usage))
+    SELECT 'SUCCESS' AS status, 2 * n AS rows, n AS gcp_rows, n AS databricks_rows, true AS finished, true AS has_digest, false AS has_message FROM n
+    UNION ALL SELECT 'COLLECTION_FAILED', NULL, NULL, NULL, true, false, true FROM n""")
 def fin17(s, d):
-    lake = Lake(s, folder(s))
-    bill = finance.bill_daily(_export(s, d)).withColumns({"usage_unit": F.lit(""), "usage_quantity": F.lit(None).cast("decimal(28,2)")})
-    lake.collect_costs(bill, finance.priced_daily(usage(s, d), list_prices(s)), publish=True)
-    return lake.tables.read("platform_cost_run").select("status", "rows")
+    """The audit rows of a collection whose bill came twice, which fails, and of one that is published."""
+    lake, (bill, estimate) = Lake(s, folder(s)), cost_sources(s, d)
+    try:
+        lake.collect_costs(bill.union(bill), estimate, publish=True)
+    except audit.ControlError:
+        pass  # its row is the result
+    lake.collect_costs(bill, estimate, publish=True)
+    return lake.tables.read("platform_cost_run").select(
+        "status", "rows", "gcp_rows", "databricks_rows", (F.col("finished_at") >= F.col("started_at")).alias("finished"),
+        F.coalesce(F.length("content_digest") == 64, F.lit(False)).alias("has_digest"), F.col("message").isNotNull().alias("has_message"),
+    )
 
 
 @query("pip6", "SELECT count(DISTINCT billing_month) AS months, count(*) AS rows, CAST(0 AS BIGINT) AS differences FROM charges")

@@ -196,8 +196,21 @@ def test_columns_and_retention(spark, tmp_path):
     assert len(t.retain("d")) == 2 and t.read("d").count() == 4 and t.retain("d") == []
 
 
-def test_fact_keys_are_recomputed(spark):
+def test_unrepeated_lines_stay_where_they_are(spark, tmp_path):
+    lines(spark, SF).limit(200).write.parquet(f"{tmp_path}/lines")
+    stored = spark.read.parquet(f"{tmp_path}/lines")
+    plan = lambda df: df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert not any(word in plan(gold.fact_cost_usage(stored)) for word in ("hashpartitioning", "Window", "Join"))
+    doubled = gold.fact_cost_usage(stored.union(stored.limit(3)))
+    # one window, over the lines that a broadcast of the repeated hashes lets through
+    assert plan(doubled).count("hashpartitioning(_source_file") == 1 and "SortMergeJoin" not in plan(doubled)
+    assert doubled.select("cost_usage_sk").distinct().count() == 203
+
+
+@pytest.mark.parametrize("few", [gold.FEW_REPEATED, 2])
+def test_fact_keys_are_recomputed(spark, monkeypatch, few):
     """The key hashes the file, the line's content as JSON and its number among equal lines."""
+    monkeypatch.setattr(gold, "FEW_REPEATED", few)
     clean = lines(spark, SF).limit(40).cache()
     doubled = clean.union(clean.limit(5))
     content = [c for c in sorted(doubled.columns) if not c.startswith("_")]
@@ -213,6 +226,29 @@ def test_fact_keys_are_recomputed(spark):
     assert {k for r in got for k in r} == want and len(want) == 2 * len(rows)
 
 
+def test_a_failed_collection_is_logged(spark, tmp_path):
+    from costlake.plans import finance
+    from costlake.queries.storage import cost_sources
+
+    lake, (bill, estimate) = Lake(spark, str(tmp_path)), cost_sources(spark, SF)
+    lake.collect_costs(bill, estimate, publish=False)
+    assert not lake.tables.exists("platform_cost_run")
+    with pytest.raises(audit.ControlError, match="duplicate"):
+        lake.collect_costs(bill.union(bill), estimate, publish=True)
+    assert not lake.tables.exists("platform_cost_daily")
+    lake.collect_costs(bill, estimate, publish=True)
+    failed, good = sorted(lake.tables.read("platform_cost_run").collect(), key=lambda r: r["started_at"])
+    assert (failed["status"], failed["rows"], failed["content_digest"]) == ("COLLECTION_FAILED", None, None) and "duplicate" in failed["message"]
+    assert good["status"] == "SUCCESS" and good["rows"] == good["gcp_rows"] + good["databricks_rows"] and len(good["content_digest"]) == 64
+    assert failed["finished_at"] >= failed["started_at"] and good["finished_at"] >= good["started_at"]
+    # the digest follows the content, not the order of rows
+    lake.collect_costs(bill.repartition(3), estimate.repartition(2), publish=True)
+    lake.collect_costs(bill.where("service <> 'click'"), estimate, publish=True)
+    digests = [r["content_digest"] for r in lake.tables.read("platform_cost_run").where("status = 'SUCCESS'").orderBy("started_at").collect()]
+    assert digests[0] == digests[1] != digests[2]
+    assert finance.COST_KEYS
+
+
 def test_admin_reports_need_an_admin(spark):
     runs = spark.createDataFrame([("r1",), ("r2",)], "run_id string")
     grants = spark.createDataFrame(

@@ -1,6 +1,7 @@
 """Operators on small rows written out by hand."""
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -102,6 +103,61 @@ def test_validity_and_overlap(spark):
     assert got == [(1, 7, 900), (3, 7, 126_900)]
 
 
+@pytest.fixture
+def many(monkeypatch):
+    monkeypatch.setattr(joins, "FEW", 0)
+
+
+def timed(rng, n, longest):
+    """n intervals of up to longest hours, many of them short, at odd seconds and at whole hours."""
+    out = []
+    for i in range(n):
+        a = datetime(2023, 12, 28) + timedelta(seconds=rng.randrange(0, 400 * 86400) if i % 3 else 3600 * rng.randrange(0, 9600))
+        out.append((i, a, a + timedelta(seconds=int(3600 * longest ** rng.random()) if i % 5 else 3600 * rng.randrange(0, 3))))
+    return out
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_overlaps_of_long_and_short_intervals(spark, monkeypatch, few):
+    monkeypatch.setattr(joins, "FEW", few)
+    rng = random.Random(3)
+    records, windows = timed(rng, 300, 9000), timed(rng, 80, 9000)
+    hot = [(1000 + i, datetime(2024, 5, 5, 1, i % 60), datetime(2024, 5, 5, 2, 30)) for i in range(200)]
+    records += hot
+    want = sorted((i, j, int((min(b, d) - max(a, c)).total_seconds())) for i, a, b in records for j, c, d in windows if min(b, d) > max(a, c))
+    r = spark.createDataFrame(records, "id int, a timestamp, b timestamp")
+    w = spark.createDataFrame(windows, "w int, wa timestamp, wb timestamp")
+    got = joins.overlap_join(r, w, "a", "b", "wa", "wb")
+    assert sorted(map(tuple, got.select("id", "w", "overlap_seconds").collect())) == want and len(want) > 1000
+    assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
+def test_a_year_is_few_nodes(spark):
+    year = spark.range(24).select(F.size(joins.dyadic(F.lit(473_352) + 13 * F.col("id"), F.lit(473_352 + 8759) + 13 * F.col("id"), joins.OVERLAP_LEVELS)).alias("n"))
+    assert year.agg(F.max("n")).first()[0] <= 40
+
+
+def test_many_price_versions(spark, many):
+    """Price versions of one key with overlaps, gaps, open ends and missing prices, against a plain search."""
+    rng = random.Random(4)
+    prices = [("k", a, b if i % 9 else None, None if i % 11 == 0 else i) for i, a, b in timed(rng, 150, 300)] + [(None, datetime(2024, 1, 1), None, 1), ("z", datetime(2024, 1, 1), None, 2)]
+    records = [(i, rng.choice(["k", "k", "k", "z", None]), a, b) for i, a, b in timed(rng, 300, 5)] + [(999, "k", None, None)]
+    fits = lambda r, p: r[1] is not None and r[2] is not None and r[1] == p[0] and r[2] >= p[1] and (p[2] is None or (r[2] < p[2] and r[3] <= p[2]))
+    want = sorted(((r[0], p[3]) for r in records for p in ([p for p in prices if fits(r, p)] or [(0, 0, 0, None)])), key=str)
+    r = spark.createDataFrame(records, "id int, k string, a timestamp, b timestamp")
+    p = spark.createDataFrame(prices, "k string, pf timestamp, pt timestamp, price int")
+    got = joins.validity_join(r, p, ["k"], "a", "pf", "pt", "b")
+    assert sorted(map(tuple, got.select("id", "price").collect()), key=str) == want
+    assert joins.validity_join(r, p, ["k"], "a", "pf", "pt", "b", "inner").count() == sum(1 for x in records for y in prices if fits(x, y))
+
+
+def test_a_million_versions_of_one_price(spark):
+    versions = spark.range(1_000_000).select(F.lit("k").alias("k"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 60).alias("pf"), F.timestamp_seconds(1_700_000_060 + F.col("id") * 60).alias("pt"), F.col("id").alias("price"))
+    records = spark.range(20_000).select(F.lit("k").alias("k"), F.timestamp_seconds(1_700_000_007 + F.col("id") * 3000).alias("a"), (F.col("id") * 50).alias("want"))
+    got = joins.validity_join(records, versions, ["k"], "a", "pf", "pt")
+    assert got.where("price = want").count() == 20_000 == got.count()
+
+
 def test_null_safe_differences(spark):
     a = spark.createDataFrame([("x", 1), (None, 2), ("z", None)], "k string, v int")
     b = spark.createDataFrame([("x", 1), (None, 3), ("w", None)], "k string, v int")

@@ -45,7 +45,7 @@ def test_marts_sum_before_they_join(spark):
     assert newest.count("SortAggregate") <= 2 and "HashAggregate(keys=[resource_sk" in newest
 
 
-def test_few_prices_are_broadcast_and_many_are_salted(spark, monkeypatch):
+def test_few_prices_are_broadcast_and_many_are_dealt_by_time(spark, monkeypatch):
     from costlake.operators import joins
 
     for name in ("jn4", "agg15", "fin5", "fin9"):
@@ -54,5 +54,5 @@ def test_few_prices_are_broadcast_and_many_are_salted(spark, monkeypatch):
     overlaps = sorted(map(tuple, QUERIES["fin6"](spark, SF).collect()), key=str)
     monkeypatch.setattr(joins, "FEW", 0)
     frame = QUERIES["fin9"](spark, SF)
-    assert "_salt" in plan(frame) and sorted(map(tuple, frame.collect()), key=str) == want
+    assert "_p_node" in plan(frame) and sorted(map(tuple, frame.collect()), key=str) == want
     assert sorted(map(tuple, QUERIES["fin6"](spark, SF).collect()), key=str) == overlaps
