@@ -32,10 +32,29 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{8,}+"
 ORDINARY = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{4,}+"
 
-#: Bounds of the labelled sample: documents whose words are ordinary, generated random strings, generated ordinary strings of a shape.
+#: Bounds of the labelled sample: documents whose words are ordinary, generated random strings, generated ordinary strings of a shape,
+#: identifiers, paths, dates and numbers of each shape.
 SAMPLE_DOCUMENTS = 2000
 SAMPLE_RANDOM = 3000
 SAMPLE_PLAIN = 30
+SAMPLE_SHAPES = 4000
+# Words of which programs' names, paths and addresses are made.
+PLAIN_WORDS = (
+    "account action active address admin agent alert alias analysis api app application archive array asset async audit auth backup base batch binary block board body boot branch "
+    "browser buffer build bundle button bytes cache call cancel card catalog center change channel check class client close cloud cluster code collection column command commit "
+    "common compare component config connect console constant container content context control cookie copy core count create current custom dashboard data database date debug "
+    "default delete deploy description design detail device directory disk display document domain download driver edit element email empty enable encode engine entry error event "
+    "example exceeded export extension factory failed feature field file filter final folder format frame function gateway global graph group guide handler header health help history "
+    "home host html http https icon image import include index info input install instance interface internal invoice item job keyboard label language latest layout level library limit link "
+    "list load local location logger login manager master maximum member memory menu message method middleware migration minimum mobile model module monitor month mount name "
+    "network node number object offset online option order output owner package page parent parser partition path payment pending picture pipeline platform player plugin policy "
+    "pool port position post preview price print priority private process product profile project property protocol provider proxy public query queue random range read record "
+    "redirect refresh region register release remote remove render report request reset resource response result retry review role root route runtime sample schedule schema scope "
+    "screen script search section segment select sequence server service session settings setup shape share signal site size snapshot socket source stack standard start state static "
+    "status storage store stream string style submit summary support switch symbol system table target task template terminal test text theme thread time timeout title toggle tools "
+    "topic trace track transfer transform tree trigger type update upload upper user usr utils valid value vector version video view volume warning watch web website window worker "
+    "workspace write www year zone"
+).split()
 #: A token is a secret if its ratio is at least this many nats in all and for each character.
 MIN_TOTAL, MIN_MEAN = 18.0, 0.55
 
@@ -59,7 +78,8 @@ def labelled_samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     """(token, is_random): generated random strings in four alphabets, values of base spans, words of a bounded sample.
 
     The sample is the SAMPLE_DOCUMENTS documents first by a hash of the key; the same rows for the same table.
-    Of its words, neighbours joined to identifiers are ordinary too, and so are repeated characters and the alphabet in order.
+    Of its words, neighbours joined to identifiers are ordinary too, and so are repeated characters, the alphabet in order,
+    and names, paths, addresses, constants, dates and numbers (ordinary_shapes).
     """
     spark = docs.sparkSession
     digest = F.sha2(F.col("id").cast("string"), 512)
@@ -93,7 +113,29 @@ def labelled_samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     character = F.explode(F.split(F.lit(ALPHABET), "")).alias("c")
     repeated = spark.range(SAMPLE_PLAIN).select(character).select(F.repeat("c", F.lit(40)).alias("token"), F.lit(False).alias("is_random"))
     in_order = spark.range(10 * SAMPLE_PLAIN).select(F.lit(ALPHABET).alias("token"), F.lit(False).alias("is_random"))
-    return made.unionByName(real).unionByName(ordinary).unionByName(repeated).unionByName(in_order)
+    return made.unionByName(real).unionByName(ordinary).unionByName(repeated).unionByName(in_order).unionByName(ordinary_shapes(spark))
+
+
+def ordinary_shapes(spark, each: int = SAMPLE_SHAPES) -> DataFrame:
+    """(token, is_random): each of the shapes that names, paths, addresses, constants, dates and numbers have, made of PLAIN_WORDS by a hash."""
+    words = F.split(F.lit(" ".join(PLAIN_WORDS)), " ")
+    pick = lambda k, n: F.pmod(F.xxhash64(F.col("id"), F.lit(k)), F.lit(n)).cast("int")
+    word = lambda k: F.element_at(words, pick(k, len(PLAIN_WORDS)) + 1)
+    some = lambda apart, k=0: F.array_join(F.slice(F.array(*(word(f"{k}{i}") for i in range(6))), F.lit(1), pick("n", 4) + 3), apart)
+    digits = lambda n, k="d": F.substring(F.conv(F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(k)), 256), 1, 15), 16, 10), -n, n)
+    date = F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), pick("day", 15_000)), "yyyy-MM-dd")
+    camel = F.array_join(F.transform(F.slice(F.array(*(word(f"c{i}") for i in range(5))), F.lit(1), pick("m", 4) + 2), F.initcap), "")
+    shapes = [
+        F.concat(F.lit("/"), some("/")), F.concat(some("/"), F.lit("-"), word("x")), F.concat(F.lit("/"), some("/"), F.lit("/"), word("x"), F.lit("-"), word("y")),
+        F.concat(F.lit("https/"), word("x"), F.lit("-"), word("y"), F.lit("/"), some("/")), F.concat(F.lit("//"), some("/"), F.lit("/")),
+        some("-"), some("_"), F.upper(some("_")), F.upper(some("_", 2)), F.upper(some("-")), camel, F.concat(F.lower(F.substring(camel, 1, 1)), F.substring(camel, 2, 80)),
+        F.concat(word("x"), F.lit("_"), camel), F.concat(camel, digits(2)), F.concat(date, F.lit("-"), some("-")), F.concat(some("-"), F.lit("-"), date), F.concat(some("_"), F.lit("_"), F.translate(date, "-", "")),
+        F.concat(date, F.lit("/"), word("x")), F.concat(some("/"), F.lit("/"), F.translate(date, "-", "/")), date, F.concat_ws("-", digits(3), digits(3, "e"), digits(4, "f")),
+        F.concat(word("x"), F.lit("-"), digits(4)), F.concat(some("-"), F.lit("-v"), digits(1), F.lit("-"), digits(1, "e")), F.concat(word("x"), digits(3)),
+        *(digits(n) for n in (8, 10, 12, 14, 16)), F.concat(digits(8), digits(8, "e")), F.concat(digits(10), digits(10, "e")), F.concat_ws("-", digits(4), digits(4, "e"), digits(4, "f"), digits(4, "g")),
+        F.concat(some("="), F.lit("=")), F.concat(word("x"), F.lit("="), digits(6)),
+    ]
+    return spark.range(each).select(F.explode(F.array(*shapes)).alias("token"), F.lit(False).alias("is_random"))
 
 
 def train(samples: DataFrame) -> list[float]:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from costlake.llm import queries
 
 
-REPORTS = {n: f for n, f in queries.queries().items()}
+#: Those that read other tables have edge tests of their own.
+REPORTS = {n: f for n, f in queries.queries().items() if n not in ("op11_conversation_trie", "op13_hard_negatives")}
 
 
 @pytest.fixture(scope="module")
