@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import Tables
+
 # The scope type of each role.
 ROLES = {"FINOPS_ADMIN": "ALL", "APPLICATION_OWNER": "APPLICATION", "DOMAIN_MANAGER": "DOMAIN", "SUBDOMAIN_MANAGER": "SUBDOMAIN"}
 
@@ -86,6 +88,30 @@ def scoped(rows: DataFrame, mine: DataFrame, scopes: DataFrame, environment: str
     return marked.join(apps, "application_code", "left").where("_admin or _visible").select(*rows.columns)
 
 
+#: Parts of a stored serving table, by a hash of the application.
+APPLICATION_PARTS, PART = 64, "application_part"
+
+
+def application_part(c: str = "application_code") -> Column:
+    """The part of an application's rows; rows without one are in a part of their own, which no viewer's applications name."""
+    return F.when(F.col(c).isNull(), -1).otherwise(F.pmod(F.xxhash64(c), F.lit(APPLICATION_PARTS))).cast("int")
+
+
+def store(tables: Tables, rows: DataFrame, name: str) -> int:
+    """Serving rows, whose application was taken from the tags before, dealt to parts by application."""
+    return tables.append(rows.withColumn(PART, application_part()), name, (PART,))
+
+
+def scoped_stored(tables: Tables, name: str, mine: DataFrame, scopes: DataFrame, environment: str) -> DataFrame:
+    """scoped() of a table that store() wrote: only the parts of the viewer's applications are read, and no tags."""
+    rows = tables.read(name)
+    if not _admin(mine).isEmpty():
+        return rows.where(F.col("environment") == environment).drop(PART)
+    apps = visible_applications(mine, scopes, environment)
+    parts = [r[0] for r in apps.select(application_part()).distinct().collect()]  # APPLICATION_PARTS at most
+    return rows.where(F.col(PART).isin(parts) & (F.col("environment") == environment)).join(apps, "application_code", "left_semi").select(*(c for c in rows.columns if c != PART))
+
+
 def assignment_matches(expected: DataFrame, entitlements: DataFrame, now: Column) -> DataFrame:
     """For each expected grant how many live ones there are; exactly one is right."""
     keys = ["identity_provider", "principal_id", "environment", "role", "scope_type", "scope_id"]

@@ -103,7 +103,7 @@ class Tables:
         if not leaves:
             return self.spark.createDataFrame([], columns)
         top = f"{self.root}/{name}"
-        return self.spark.read.schema(StructType(columns.fields).add(REV, "string")).option("basePath", top).parquet(*(f"{top}/{leaf}" for leaf in leaves)).drop(REV)
+        return self.spark.read.schema(StructType(columns.fields).add(REV, "string")).option("basePath", top).parquet(*(f"{top}/{leaf}" for leaf in leaves)).drop(REV)  # _metadata stays in reach
 
     def read(self, name: str) -> DataFrame:
         version, pointer = self._newest(name)
@@ -115,6 +115,17 @@ class Tables:
     def read_or_empty(self, name: str, like: DataFrame) -> DataFrame:
         return self.read(name) if self.exists(name) else like.limit(0)
 
+    def unscanned(self, name: str, known: set[str]) -> DataFrame | None:
+        """Rows in live directories that are not among the known ones, with _leaf, the directory; None: there is none. What is written never changes."""
+        pointer = self._newest(name)[1]
+        fresh = {p: [leaf for leaf in found if leaf not in known] for p, found in pointer["leaves"].items()}
+        if not any(fresh.values()):
+            return None
+        return self._frame(name, pointer | {"leaves": fresh}).withColumn("_leaf", F.regexp_extract(F.col("_metadata.file_path"), rf"({REV}=.*)/[^/]+$", 1))
+
+    def leaves(self, name: str) -> list[str]:
+        return sorted(leaf for found in self._newest(name)[1]["leaves"].values() for leaf in found)
+
     def files(self, name: str) -> list[str]:
         """Live data files."""
         return sorted(self._frame(name, self._newest(name)[1]).inputFiles())
@@ -239,7 +250,7 @@ class Tables:
 
     # --- merges
     def _merge(self, df: DataFrame, name: str, keys: list[str], buckets: int, write: Callable[[DataFrame, DataFrame, dict], tuple[dict, int] | None]) -> int:
-        """Merge df by hash bucket: write gets its rows with their buckets and the target's rows of these buckets only."""
+        """Merge df by hash bucket: write gets its rows with their buckets and the target's rows of these buckets only. A table written otherwise is dealt to buckets first."""
         number = self._newest(name)[1]["buckets"] or buckets
         source = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int")).persist()
         try:
@@ -249,6 +260,13 @@ class Tables:
                 if not pointer["columns"]:
                     rows, leaves = self._put(source, name, [BUCKET])
                     return pointer | {"columns": self._columns(pointer, source, [BUCKET]), "by": [BUCKET], "buckets": number, "leaves": leaves}, rows
+                if pointer["by"] != [BUCKET]:
+                    whole = self._frame(name, pointer)
+                    dealt = whole.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int"))
+                    _, leaves = self._put(dealt, name, [BUCKET])
+                    columns = self._columns({"columns": None}, dealt, [BUCKET])
+                    pointer = pointer | {"columns": columns, "by": [BUCKET], "buckets": number, "leaves": leaves}
+                    return write(source, self._frame(name, pointer, touched), pointer) or (pointer, 0)
                 return write(source, self._frame(name, pointer, touched), pointer)
 
             return self._change(name, make)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -20,6 +21,7 @@ COLLECTIONS = (
     "run_id string, environment string, status string, started_at timestamp, finished_at timestamp, rows long, gcp_rows long, databricks_rows long, "
     "content_digest string, message string"
 )
+LEDGER = "table string, leaf string, rule string, column string, values long"
 STATUS = "billing_month string, status string, authoritative_source string, updated_at timestamp"
 #: Tables of a refresh that are written at a time.
 AT_ONCE = 4
@@ -241,6 +243,25 @@ class Lake:
         return found
 
     # --- controls
+    def privacy_scan(self, name: str, organizations: str | None = None, pseudonym: str | None = None) -> DataFrame:
+        """(column, values): how many values of each text column of a stored table name somebody.
+
+        Directories of a write never change, so a ledger keeps what was found in each under a
+        rule, and a scan opens only those that it does not know. A changed rule scans all.
+        """
+        rule = hashlib.sha256(repr((audit.EMAIL, organizations, pseudonym)).encode()).hexdigest()
+        ledger = lambda: self.tables.read_or_empty("privacy_ledger", self.spark.createDataFrame([], LEDGER)).where((F.col("table") == name) & (F.col("rule") == rule))
+        rows = self.tables.unscanned(name, {r["leaf"] for r in ledger().select("leaf").distinct().collect()})  # directories
+        if rows is not None:
+            texts = [n for n, k in rows.dtypes if k == "string" and n != "_leaf"]
+            counts = rows.groupBy("_leaf").agg(*(F.count_if(audit.names_somebody(F.col(f"`{c}`"), organizations, pseudonym)).alias(c) for c in texts))
+            found = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("values")) for c in texts]
+            entries = counts.select(F.lit(name).alias("table"), F.col("_leaf").alias("leaf"), F.lit(rule).alias("rule"), F.inline(F.array(*found)))
+            if not entries.isEmpty():
+                self.tables.append(entries, "privacy_ledger")
+        live = self.spark.createDataFrame([(x,) for x in self.tables.leaves(name)], "leaf string")
+        return ledger().join(live, "leaf", "left_semi").groupBy("column").agg(F.sum("values").alias("values"))
+
     def daily_findings(self, path: str, other: Lake | None = None, tolerance: float = audit.TOLERANCE) -> DataFrame:
         """The daily control: everything that is wrong with one loaded source, from the file to the marts; no row if all is well.
 

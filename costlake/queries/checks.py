@@ -383,9 +383,12 @@ def grants(s):
 
 
 def scopes(s, d):
+    return scopes_of(serving_rows(s, d).select("application_code").distinct())
+
+
+def scopes_of(apps):
     """Applications of the lines: domain by number modulo 3, subdomain modulo 10; APP4 is mapped twice."""
     number = F.regexp_extract("application_code", r"\d+", 0).cast("int")
-    apps = serving_rows(s, d).select("application_code").distinct()
     one = apps.select(
         F.lit("prod").alias("environment"), "application_code", F.concat(F.lit("D"), (number % 3).cast("string")).alias("domain_id"),
         F.concat(F.lit("S"), (number % 10).cast("string")).alias("subdomain_id"), F.lit(True).alias("is_active"),

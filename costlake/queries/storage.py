@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit
+from ..operators import audit, scoping
 from ..operators.tables import Tables, latest_state
 from ..plans import finance, gold, marts, pipelines
 from ..plans.pipelines import Lake
@@ -20,7 +20,7 @@ from ..sources import files
 from ..sources.charges import charges
 from ..sources.usage import list_prices, usage
 from ..streaming import daily as stream
-from .checks import guarded, runs
+from .checks import guarded, mine, runs, scopes_of, serving_rows
 from .finance import _export
 from .products import M, _SUM
 from .registry import lines, query
@@ -391,3 +391,31 @@ def st1(s, d):
     refused = lake.tables.read("pipeline_run").where(F.col("message") == "closed for daily loads").count()
     fact = lake.tables.read("fact_cost_usage").count()
     return counted(s, first_run=stored[0], second_run=stored[1] - stored[0], fact=fact, closed=closed, refused=refused)
+
+
+@query("sec1_stored", "SELECT billing_month, count(*) AS charge_lines, CAST(sum(BilledCost) AS DOUBLE) AS billed_cost FROM mine_charges GROUP BY ALL")
+def sec1_stored(s, d):
+    """The viewer's lines of a stored serving table, of which only the viewer's parts are read."""
+    t = Tables(s, folder(s))
+    scoping.store(t, serving_rows(s, d), "serving")
+    apps = t.read("serving").select("application_code").distinct()
+    seen = scoping.scoped_stored(t, "serving", mine(s, "owner"), scopes_of(apps), "prod")
+    return seen.groupBy("billing_month").agg(F.count("*").alias("charge_lines"), F.sum("billed_cost").alias("billed_cost"))
+
+
+@query("dq3_ledger", r"""WITH f AS (SELECT count(*) FILTER (regexp_matches(html, '[a-zA-Z0-9_.+%-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}')) AS n,
+    count(*) FILTER (page_id % 5 = 0 AND regexp_matches(html, '[a-zA-Z0-9_.+%-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}')) AS m FROM pages)
+    SELECT 'first' AS scan, n AS values, CAST(1 AS BIGINT) AS entries FROM f UNION ALL SELECT 'again', n, 1 FROM f UNION ALL SELECT 'more rows', n + m, 2 FROM f""")
+def dq3_ledger(s, d):
+    """A stored table scanned, scanned again, and after an append: the ledger has an entry for each write that was read."""
+    lake, pages = Lake(s, folder(s)), s.read.parquet(f"{d}/pages.parquet")
+    lake.tables.append(pages, "pages")
+    out = None
+    for scan in ("first", "again", "more rows"):
+        if scan == "more rows":
+            lake.tables.append(pages.where("page_id % 5 = 0"), "pages")
+        found = lake.privacy_scan("pages").where("column = 'html'").select(F.lit(scan).alias("scan"), "values")
+        entries = lake.tables.read("privacy_ledger").where("column = 'html'").agg(F.count("*").alias("entries"))
+        one = found.crossJoin(F.broadcast(entries))  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -249,6 +249,43 @@ def test_a_failed_collection_is_logged(spark, tmp_path):
     assert finance.COST_KEYS
 
 
+def test_a_stored_table_is_scanned_once(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path))
+    make = lambda *texts: spark.createDataFrame([(x, 1) for x in texts], "t string, n int")
+    lake.tables.append(make("jane@corp.example", "fine", "Acme Ltd"), "notes")
+    counted = lambda *rule: {r["column"]: r["values"] for r in lake.privacy_scan("notes", *rule).collect()}
+    assert counted() == {"t": 1}
+    opened, unscanned = [], Tables.unscanned
+    monkeypatch.setattr(Tables, "unscanned", lambda self, *a: (opened.append(unscanned(self, *a)), opened[-1])[1])
+    assert counted() == {"t": 1} and opened == [None]  # no data file is read
+    lake.tables.append(make("joe@corp.example"), "notes")
+    assert counted() == {"t": 2} and opened[-1].count() == 1
+    assert counted(r"(?i)\bacme\b") == {"t": 3} and opened[-1].count() == 4  # another rule
+    lake.tables.rebuild(make("fine"), "notes")
+    assert counted() == {"t": 0}
+
+
+def test_a_viewer_reads_own_parts(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    charges = spark.createDataFrame([("prod", f"A{i % 40}" if i % 7 else None, i) for i in range(400)] + [("dev", "A1", 9999)], "environment string, application_code string, cost int")
+    scoping.store(t, charges, "serving")
+    scopes = spark.createDataFrame([("prod", f"A{i}", f"D{i % 9}", "S", True) for i in range(40)], "environment string, application_code string, domain_id string, subdomain_id string, is_active boolean")
+    grants = spark.createDataFrame(
+        [("p", "u", "prod", "APPLICATION_OWNER", "APPLICATION", "A1", True, None, None), ("p", "u", "prod", "DOMAIN_MANAGER", "DOMAIN", "D3", True, None, None), ("p", "a", "prod", "FINOPS_ADMIN", "ALL", "*", True, None, None)],
+        "identity_provider string, principal_id string, environment string, role string, scope_type string, scope_id string, is_active boolean, valid_from timestamp, valid_to timestamp",
+    )
+    for who in ("u", "a", "nobody"):
+        mine = scoping.entitlements_of(grants, "p", who, "prod", F.lit(datetime(2025, 1, 1)))
+        seen = scoping.scoped_stored(t, "serving", mine, scopes, "prod")
+        want = scoping.scoped(charges, mine, scopes, "prod")
+        assert sorted(map(tuple, seen.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str), who
+        if who == "u":
+            text = seen._jdf.queryExecution().toString()
+            filters = text.split("PartitionFilters: [")[1].split("]")[0]
+            assert "application_part" in filters and "from_json" not in text
+            assert len(seen.inputFiles()) > 0 and 0 < seen.count() < 100
+
+
 def test_admin_reports_need_an_admin(spark):
     runs = spark.createDataFrame([("r1",), ("r2",)], "run_id string")
     grants = spark.createDataFrame(
