@@ -115,7 +115,8 @@ def test_months_are_replaced_at_once(spark, tmp_path, monkeypatch):
 
 def test_a_merge_rewrites_few_files(spark, tmp_path):
     """The tags of one more day touch under a twentieth of the bridge's files; a day that brings nothing new touches none."""
-    t, all_lines = Tables(spark, str(tmp_path)), lines(spark, SF).cache()
+    lines(spark, SF).write.parquet(f"{tmp_path}/source")
+    t, all_lines = Tables(spark, str(tmp_path)), spark.read.parquet(f"{tmp_path}/source")
     keys, merge = ["resource_sk", "tag_sk"], lambda df: t.upsert(gold.bridge_resource_tag(df), "bridge", ["resource_sk", "tag_sk"], ("valid_from",), 256)
     day = F.to_date("ChargePeriodStart")
     first = all_lines.where(day != F.lit("1998-03-02"))
@@ -144,7 +145,8 @@ def test_a_refresh_reads_its_month(spark, tmp_path, monkeypatch):
     """A second refresh leaves the facts of other months alone, and gives what a full rebuild gives, also where a resource has changed its group."""
     lake = Lake(spark, str(tmp_path))
     months = ["1998-03", "1998-04"]
-    some = lines(spark, SF).where(F.col("billing_month").isin(months)).cache()
+    lines(spark, SF).where(F.col("billing_month").isin(months)).write.parquet(f"{tmp_path}/source")
+    some = spark.read.parquet(f"{tmp_path}/source")
     shared = some.where("billing_month = '1998-03'").select("ResourceId").first()[0]
     later = some.where("billing_month = '1998-04'")
     moved = later.limit(2).withColumns({"ResourceId": F.lit(shared), "x_ResourceGroupName": F.lit("rg-new"), "ChargePeriodStart": F.lit("1999-01-01").cast("timestamp")})
