@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .arrowmap import filter_slices, map_slices
+from .scratch import materialize
 
 #: Bounds of the training sample: distinct texts a language, characters of an excerpt, bytes of a dictionary.
 SAMPLE_TEXTS, EXCERPT, DICTIONARY_BYTES = 256, 1024, 131_072
@@ -52,11 +53,24 @@ def _first(rows: DataFrame, by: str, most: int) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(W.partitionBy("_lang").orderBy(by))).where(F.col("_n") <= most).drop("_n")
 
 
+def _first_hashes(hashes: DataFrame, most: int) -> DataFrame:
+    """The most smallest hashes of each language, of distinct (_lang, _hash).
+
+    Hashes of distinct texts lie evenly, so all but about twice as many are left out by a
+    bound on the hash before they meet; fewer than most remain with a probability below 1e-30.
+    """
+    hashes = materialize(hashes, "langid-hashes")
+    counts = hashes.groupBy("_lang").agg(F.count("*").alias("_of"))
+    bound = F.lit(-(2.0**63)) + F.least(F.lit(1.0), 2.0 * most / F.col("_of")) * 2.0**64
+    few = hashes.join(F.broadcast(counts), "_lang").where(F.col("_hash").cast("double") <= bound)
+    return materialize(_first(few.drop("_of"), "_hash", most), "langid-sample")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, int, bytes]]:
     """(language, number of texts in the sample, dictionary), most texts first. Reads the texts with a language; no other column."""
     rows = labelled.select(F.col(text).alias("_text"), F.col(lang).alias("_lang")).where(F.col(lang).isNotNull() & (F.length(text) > 0))
     hashed = rows.withColumn("_hash", F.xxhash64("_text"))
-    chosen = _first(hashed.select("_lang", "_hash").distinct(), "_hash", SAMPLE_TEXTS)
+    chosen = _first_hashes(hashed.select("_lang", "_hash").distinct(), SAMPLE_TEXTS)
     sample = hashed.join(F.broadcast(chosen), ["_lang", "_hash"], "left_semi").dropDuplicates(["_lang", "_hash", "_text"])
     cut = sample.select("_lang", "_hash", F.explode(F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{EXCERPT}}}+"), F.lit(0))).alias("_part"))
     cut = cut.withColumn("_place", F.struct(F.xxhash64("_part"), "_hash"))
