@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="costlake-shared-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the cluster names it; where unset in local mode (tests) a temporary folder becomes it."""
+    """spark.checkpoint.dir as the cluster names it; where unset in local mode (tests) a temporary folder takes its place."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        named = tempfile.mkdtemp(prefix="costlake-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _local_folder(spark.sparkContext.applicationId)
     return named.rstrip("/")
 
 
