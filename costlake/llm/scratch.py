@@ -5,9 +5,14 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables that the innermost contained function has stored so far.
+_within: ContextVar[list[str] | None] = ContextVar("_within", default=None)
+
 
 @functools.cache
 def _local_folder(application: str) -> str:
@@ -34,5 +39,36 @@ def materialize(df: DataFrame, name: str, by: list[str] | None = None) -> DataFr
     writer = df.write
     if by:
         writer = writer.partitionBy(*by)
+    if (stored := _within.get()) is not None:
+        stored.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def contained(name: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Decorator: what the function returns is stored under name, then the tables that it stored on the way are removed."""
+
+    def wrap(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(work)
+        def run(*args, **named) -> DataFrame:
+            stored: list[str] = []
+            outer = _within.get()
+            token = _within.set(stored)
+            try:
+                found = work(*args, **named)
+                _within.set(outer)
+                return materialize(found, name)
+            finally:
+                _within.reset(token)
+                _remove(stored)
+
+        return run
+
+    return wrap
+
+
+def _remove(paths: list[str]) -> None:
+    spark = SparkSession.active()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

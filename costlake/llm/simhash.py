@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .arrowmap import map_slices
 from .components import attach, components
-from .scratch import materialize
+from .scratch import contained, materialize
 
 #: Bands hold 64 / BANDS bits, in whole segments of two.
 SHINGLE, MAX_BITS, BANDS = 4, 4, 8
@@ -112,6 +112,7 @@ def _within(a: Column, b: Column, max_bits: int) -> Column:
     return (_manhattan(a, b) <= max_bits) & (hamming(a, b) <= max_bits)
 
 
+@contained("simhash-labels")
 def link_components(points: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS) -> DataFrame:
     """(fp, label) for distinct points (fp): label is the smallest fp reachable over links of at most max_bits.
 
@@ -126,9 +127,8 @@ def link_components(points: DataFrame, max_bits: int = MAX_BITS, bands: int = BA
         .withColumn("hub", F.min("fp").over(by_cell))
         .where((F.col("fp") != F.col("hub")) & _within(F.col("fp"), F.col("hub"), max_bits))
         .select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-        .distinct()
     )
-    first = materialize(components(near_hub), "simhash-first")
+    first = components(near_hub)
     labelled = points.join(first.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
     labelled = _cells(materialize(labelled, "simhash-labelled"), max_bits, bands).withColumn("main", F.min("label").over(by_cell))
     # of two points with different labels one at least has not the least label of the cell
@@ -139,9 +139,8 @@ def link_components(points: DataFrame, max_bits: int = MAX_BITS, bands: int = BA
         .where("la <> lb and (lb = main or fa < fb)")
         .where(_within(F.col("fa"), F.col("fb"), max_bits))
         .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
-        .distinct()
     )
-    second = materialize(components(links), "simhash-second")
+    second = components(links)
     # labels that were linked once more: their points follow, hot labels apart
     moved = materialize(first.join(second.select(F.col("node").alias("label")), "label", "left_semi"), "simhash-moved")
     moved = attach(moved, second.select(F.col("node").alias("label"), F.col("label").alias("root")), "label")
@@ -155,7 +154,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SH
     """(key, fp, component_id): the smallest key reachable over links, itself included."""
     prints = materialize(fingerprints(docs, shingle, key, text), "simhash-prints")
     points = prints.groupBy("fp").agg(F.min(key).alias("_least"))
-    labels = materialize(link_components(prints.select("fp").distinct(), max_bits), "simhash-labels")
+    labels = link_components(prints.select("fp").distinct(), max_bits)
     of_point = materialize(points.join(labels, "fp"), "simhash-of-point")
     least = materialize(of_point.groupBy("label").agg(F.min("_least").alias("component_id")), "simhash-least")
     resolved = materialize(attach(of_point, least, "label").select("fp", "component_id"), "simhash-resolved")
