@@ -29,6 +29,7 @@ from array import array
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .arrowmap import map_slices
@@ -136,10 +137,11 @@ class Model:
         self.rank = {p: ranks[v] for p, v in self.score.items()}
         self.scanned = not self.frozen and UNUSED not in self.kind
         self.packed = {p: struct.pack("<I", i) for p, i in self.ids.items()}
-        self.shown = {p: p.replace(SPACE, " ") for p in self.ids}
+        self.width = {p: struct.pack("<I", len(p)) for p in self.ids}
+        self.text_of = {i: "" if i in self.marks else p.replace(SPACE, " ") for i, p in enumerate(self.pieces) if i not in self.byte_of} | {self.unknown: self.unknown_text}
         self.cuts = self._cuts()
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def _cuts(self) -> re.Pattern:
         """Cuts between which no piece reaches.
@@ -158,14 +160,15 @@ class Model:
         runs = (f"{SPACE}*[^\\W_{a}]++(?=[{f}])|" if f else "") + f"{SPACE}*[^{SPACE}{a}]+|{SPACE}+"
         return re.compile(f"[{a}]|{runs}" if a else runs)
 
-    def plain(self, text: str) -> bool:
-        """Whether normalisation only marks spaces and adds the first mark, so that alignment follows from the characters."""
-        return not self.map and not self.squeeze and self.escape and not self.frozen and SPACE not in text
-
-    def normalize(self, text: str) -> tuple[str, list[int]]:
+    def normalize(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and the source byte of each of its characters, with one more for the end."""
         raw = text.encode()
         size, at = len(raw), 0
+        if raw and not self.map and not self.squeeze and not self.frozen:
+            # no prefix to look for: the places are those of all characters, found at once
+            starts = np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)
+            mark = SPACE if self.escape else " "
+            return mark * bool(self.prefix) + text.replace(" ", mark), np.concatenate(([0] * bool(self.prefix), starts, [size])).astype(np.int64)
 
         def step(at: int) -> tuple[str, int]:
             if self.frozen and (m := self.frozen.match(raw[at : at + 4096].decode(errors="ignore"))):
@@ -183,7 +186,7 @@ class Model:
                     break
                 at += n
         if at >= size:
-            return "", [size]
+            return "", np.array([size])
         mark = SPACE if self.escape else " "
         out, places = [], array("q")
         if self.prefix:
@@ -204,7 +207,8 @@ class Model:
             while out and out[-1] == mark:
                 out.pop()
                 size = places.pop()
-        return "".join(out), [*places, size]
+        places.append(size)
+        return "".join(out), np.array(places)
 
     def _merge(self, text: str) -> list[str]:
         """Pieces of one cut: adjacent symbols merge, best score first, the leftmost of equals."""
@@ -280,14 +284,14 @@ class Model:
     def _split(self, cut: str) -> list[str]:
         return self._scan(cut) if self.scanned and len(cut) <= SHORT else self._merge(cut)
 
-    def _encode_cut(self, cut: str) -> tuple[bytes, str]:
-        """(ids, decoded text)."""
+    def _encode_cut(self, cut: str) -> tuple[bytes, bytes]:
+        """ids, and how many characters each takes, both as little-endian unsigned 32-bit integers."""
         pieces = self._split(cut)
         try:
-            return b"".join([self.packed[p] for p in pieces]), "".join([self.shown[p] for p in pieces])
+            return b"".join([self.packed[p] for p in pieces]), b"".join([self.width[p] for p in pieces])
         except KeyError:
-            ids = [i for i, _, _ in self._placed(pieces)]
-            return struct.pack(f"<{len(ids)}I", *ids), self._surface(ids)
+            placed = list(self._placed(pieces))
+            return struct.pack(f"<{len(placed)}I", *(i for i, _, _ in placed)), struct.pack(f"<{len(placed)}I", *(b - a for _, a, b in placed))
 
     def _placed(self, pieces: list[str]) -> Iterator[tuple[int, int, int]]:
         """(id, begin, end) in characters; of the bytes of a character the last has its place."""
@@ -303,6 +307,11 @@ class Model:
             at = end
 
     def _surface(self, ids: list[int]) -> str:
+        text_of = self.text_of
+        try:
+            return "".join([text_of[i] for i in ids])
+        except KeyError:
+            pass  # some are bytes
         out, run = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -311,12 +320,11 @@ class Model:
             if run:
                 out.append(_lenient(run))
                 run.clear()
-            if i not in self.marks:
-                out.append(self.unknown_text if i == self.unknown else self.pieces[i].replace(SPACE, " "))
+            out.append(text_of[i])
         out.append(_lenient(run))
         return "".join(out)
 
-    def _encoded(self, normal: str) -> list[tuple[bytes, str]]:
+    def _encoded(self, normal: str) -> list[tuple[bytes, bytes]]:
         cuts, known = self.cuts.findall(normal), self.known
         try:
             return [known[c] for c in cuts]
@@ -331,28 +339,28 @@ class Model:
                 (known if len(c) <= KEPT_LENGTH else long)[c] = older.get(c) or self._encode_cut(c)
         return [known[c] if c in known else long[c] for c in cuts]
 
-    def encode(self, text: str | None) -> tuple[bytes, str, int]:
-        """(ids with begin and end as little-endian unsigned 32-bit integers, decoded text, source bytes from the first span to the last)."""
-        text = text or ""
-        if not text:
-            normal, covered = "", 0
-        elif self.plain(text):
-            normal, covered = (SPACE if self.prefix else "") + text.replace(" ", SPACE), len(text.encode())
-        else:
-            normal, places = self.normalize(text)
-            covered = places[-1] - places[0]
+    def aligned(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids without begin and end, first source byte and source byte after the last of each; bytes that normalisation drops lie between spans or within them."""
+        normal, places = self.normalize(text or "")
         found = self._encoded(normal)
-        raw, shown = b"".join([f[0] for f in found]), "".join([f[1] for f in found])
-        if not self.bytes_:
-            raw = self._join_unknown(raw)
-            shown = self._surface(_ids(raw))
-        shown = shown[self._dropped(_ids(found[0][0])) :] if found else ""
-        return struct.pack("<I", self.begin) + raw + struct.pack("<I", self.end), shown, covered
-
-    def _join_unknown(self, raw: bytes) -> bytes:
-        ids = _ids(raw)
-        kept = [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != self.unknown]
-        return struct.pack(f"<{len(kept)}I", *kept)
+        ids, widths = (np.frombuffer(b"".join([f[k] for f in found]), "<u4") for k in (0, 1))
+        stops = np.cumsum(widths, dtype=np.int64)
+        starts = stops - widths
+        if not self.bytes_ and len(ids):
+            # unknown characters in a row are one piece
+            more = np.append(False, (ids[1:] == self.unknown) & (ids[:-1] == self.unknown))
+            kept = np.flatnonzero(~more)
+            ids, starts, stops = ids[kept], starts[kept], stops[np.append(kept[1:], len(more)) - 1]
+        return ids, places[starts], places[stops]
+
+    def marked(self, ids: np.ndarray) -> bytes:
+        """ids with begin and end as little-endian unsigned 32-bit integers."""
+        return struct.pack("<I", self.begin) + ids.astype("<u4").tobytes() + struct.pack("<I", self.end)
+
+    def encode(self, text: str | None) -> tuple[bytes, str, int]:
+        """(ids with begin and end as little-endian unsigned 32-bit integers, decoded text, source bytes that the spans hold)."""
+        ids, begins, ends = self.aligned(text)
+        return self.marked(ids), self.decode(ids.tolist()), int((ends - begins).sum())
 
     def _dropped(self, ids: list[int]) -> int:
         """Spaces that decoding leaves out at the front: the mark of the first piece, with squeezed spaces those of further pieces until one shows."""
@@ -368,29 +376,13 @@ class Model:
         return dropped
 
     def spans(self, text: str | None) -> tuple[list[int], list[int], list[int]]:
-        """ids without begin and end, first source byte and source byte after the last of each; bytes that normalisation drops lie between spans or within them."""
-        text = text or ""
-        normal, places = self.normalize(text)
-        ids, begins, ends, at = [], [], [], 0
-        for cut in self.cuts.findall(normal):
-            for i, a, b in self._placed(self._split(cut)):
-                if i == self.unknown and ids and ids[-1] == i:
-                    ends[-1] = places[at + b]
-                    continue
-                ids.append(i)
-                begins.append(places[at + a])
-                ends.append(places[at + b])
-            at += len(cut)
-        return ids, begins, ends
+        """As aligned, in lists."""
+        return tuple(found.tolist() for found in self.aligned(text))
 
     def decode(self, ids: list[int]) -> str:
         return self._surface(ids)[self._dropped(ids) :]
 
 
-def _ids(raw: bytes) -> list[int]:
-    return list(struct.unpack(f"<{len(raw) // 4}I", raw))
-
-
 def _lenient(run: bytes | bytearray) -> str:
     """Text of a run of byte pieces; a byte that belongs to no character becomes U+FFFD by itself."""
     try:
@@ -444,7 +436,10 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id", ids
 
 
 def piece_report(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """One row per document: number of ids, digests of ids and of the decoded text, source bytes that the pieces' spans hold."""
+    """One row per document: number of ids, digests of ids and of the text that they decode to, source bytes that the pieces' spans hold.
+
+    Each text takes every step of encode() and decode(); only digests of what these give leave the task.
+    """
     path = path or tokenizer_path(MODEL)
 
     def make():

@@ -117,3 +117,22 @@ def test_tables(spark):
         assert report[k]["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
         raw = text.encode()
         assert "".join(raw[a:b].decode() for a, b in zip(spans[k]["begins"], spans[k]["ends"])) == text
+
+
+def test_report_takes_every_step(spark, tmp_path, monkeypatch):
+    """The report's columns come from normalised texts, aligned spans and decoded ids, also for the query's own model, whose map is empty."""
+    own, taken = pieces.Model(PATH), []
+    for name in ("normalize", "decode"):
+        monkeypatch.setattr(own, name, lambda x, name=name, step=getattr(own, name): taken.append(name) or step(x))
+    raw, shown, held = own.encode("é 漢b ▁ \x00")
+    assert taken == ["normalize", "decode"] and shown == "é 漢b   \x00" and held == len("é 漢b ▁ \x00".encode())
+    # a map that shortens texts, squeezed spaces: spans hold what the library's spans hold
+    path = variant(tmp_path, "nmt_nfkc")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["  ﬁne   ①  é ", "", "   ", "ｶﾞ  x ", None, "plain words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pieces.piece_report(docs, path).collect():
+        found = library.encode(texts[r["doc_id"]] or "", return_type="proto").pieces
+        ids = library.encode(texts[r["doc_id"]] or "", add_bos=True, add_eos=True)
+        assert r["span_bytes"] == sum(p.end - p.begin for p in found) and r["n_tokens"] == len(ids)
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
