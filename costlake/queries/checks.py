@@ -344,7 +344,7 @@ query("dq30", "SELECT " + ", ".join(
 ) + " FROM usage")(lambda s, d: contract.count_violations(faulty_bill(s, d), audit.platform_cost_rules()))
 query("dq31", "SELECT count(*) FILTER (ts BETWEEN TIMESTAMP '2024-01-13 00:00:00' AND TIMESTAMP '2024-01-15 00:05:00') AS fresh, count(*) AS events FROM events")(
     lambda s, d: table(s, d, "events").agg(
-        F.count_if(audit.fresh(F.date_trunc("second", F.col("ts").cast("timestamp")), F.lit("2024-01-15 00:00:00").cast("timestamp"))).alias("fresh"), F.count("*").alias("events")
+        F.count_if(audit.fresh(F.col("ts").cast("timestamp"), F.lit("2024-01-15 00:00:00").cast("timestamp"))).alias("fresh"), F.count("*").alias("events")
     )
 )
 
