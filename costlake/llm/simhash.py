@@ -134,8 +134,9 @@ def link_components(points: DataFrame, max_bits: int = MAX_BITS, bands: int = BA
     # of two points with different labels one at least has not the least label of the cell
     left = labelled.where("label <> main").select("cell", "main", F.col("fp").alias("fa"), F.col("label").alias("la"))
     right = labelled.select("cell", F.col("fp").alias("fb"), F.col("label").alias("lb"))
+    # Spark takes exploded rows to be as few as those they come from, and would broadcast them
     links = (
-        left.join(right, "cell")
+        left.join(right.hint("merge"), "cell")
         .where("la <> lb and (lb = main or fa < fb)")
         .where(_within(F.col("fa"), F.col("fb"), max_bits))
         .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
