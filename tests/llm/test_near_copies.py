@@ -114,3 +114,15 @@ def test_crowded_ends_are_dealt(spark, monkeypatch):
     assert sorted(tuple(r) for r in minhash.similar(pairs, rows).collect()) == [(0, i) for i in range(1, 60)]
     crowd = minhash.crowded(pairs, "a").collect()
     assert [tuple(r) for r in crowd] == [(0, 10)] and minhash.crowded(pairs, "b").isEmpty()
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    """Spark takes them to be as few as the rows they come from."""
+    sets = minhash.shingle_sets(spark.createDataFrame([("a b c d e f g",), ("a b c d e f h",)], "_text string"), 5)
+    sets = minhash.materialize(sets.withColumn("label", F.col("node")), "sets")
+    for frame in (minhash.viable(sets), minhash.to_hubs(sets), minhash.across(sets)):
+        assert "BroadcastHashJoin" not in plan(frame) and "SortMergeJoin [gram" in plan(frame)
