@@ -116,6 +116,33 @@ def test_crowded_ends_are_dealt(spark, monkeypatch):
     assert [tuple(r) for r in crowd] == [(0, 10)] and minhash.crowded(pairs, "b").isEmpty()
 
 
+def test_near_copies_without_a_bucket_in_common(spark, monkeypatch):
+    """Buckets only propose: near copies none of whose buckets are equal are found all the same."""
+    monkeypatch.setattr(minhash, "buckets", lambda grams, factors, summands: [int(grams.sum(dtype="uint64").view("int64"))])
+    rng = random.Random(11)
+    rows = {}
+    for base in range(0, 200, 10):
+        text = " ".join(f"w{rng.randint(0, 9999)}" for _ in range(rng.randint(80, 300)))
+        rows[base] = text
+        for i, share in enumerate((0.01, 0.018, 0.022), 1):
+            rows[base + i] = edited(rng, text, max(1, round(share * len(text.split()))))
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in minhash.keep_one_of_each(docs).collect()} == expected(rows)
+
+
+def test_smallest_hashes_of_near_copies_meet():
+    """Each of two sets at the bound shares the hashes that are asked of it, whatever their sizes."""
+    np = minhash.np
+    rng = np.random.default_rng(5)
+    for union in [*range(1, 130), 400, 1000]:
+        for _ in range(20):
+            both = rng.integers(0, 2**64, union, dtype=np.uint64)
+            left = rng.integers(0, union // 5 + 1)  # of the fifth that need not be shared, how much the first set lacks
+            one, other = np.unique(both[left:]), np.unique(np.concatenate([both[:left], both[union // 5 :]]))
+            shared = len(np.intersect1d(minhash.smallest(one), minhash.smallest(other)))
+            assert all(shared >= max(1, len(s) // minhash.EXTRA) for s in (one, other)), (union, left)
+
+
 def plan(df):
     return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
 
