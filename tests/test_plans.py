@@ -56,3 +56,24 @@ def test_few_prices_are_broadcast_and_many_are_dealt_by_time(spark, monkeypatch)
     frame = QUERIES["fin9"](spark, SF)
     assert "_p_node" in plan(frame) and sorted(map(tuple, frame.collect()), key=str) == want
     assert sorted(map(tuple, QUERIES["fin6"](spark, SF).collect()), key=str) == overlaps
+
+
+def test_marts_move_parts_of_keys_instead_of_hashes(spark):
+    """Sums and joins are by the parts of surrogate keys; versions of a resource are not told apart by what the mart does not show."""
+    for name in ("dm5", "dm10", "dm12", "dm13", "dm14", "qry15", "qry18"):
+        assert "sha2(" not in plan(QUERIES[name](spark, SF)).split("== Physical Plan ==")[1], name
+    for name in ("dm5", "dm10", "dm12", "dm13", "qry15", "qry18"):
+        assert "application-code" not in plan(QUERIES[name](spark, SF)).split("== Physical Plan ==")[1], name
+
+
+def test_lines_meet_orders_once(spark):
+    """Customers are joined to orders, so that lines are dealt by the order and not by the customer too."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(charges(spark, SF).select("x_CostCenter", "BilledCost")).split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(l_orderkey" in text and text.count("hashpartitioning(o_custkey") == 1
+    dealt = next(x for x in text.splitlines() if "hashpartitioning(o_custkey" in x)
+    below = text.splitlines()[text.splitlines().index(dealt) + 1 :]
+    assert "orders.parquet" in next(x for x in below if "FileScan" in x)
