@@ -77,3 +77,22 @@ def test_lines_meet_orders_once(spark):
     dealt = next(x for x in text.splitlines() if "hashpartitioning(o_custkey" in x)
     below = text.splitlines()[text.splitlines().index(dealt) + 1 :]
     assert "orders.parquet" in next(x for x in below if "FileScan" in x)
+
+
+def test_lines_are_dealt_before_they_get_keys(spark):
+    """What is written by month is brought together as lines and as parts of keys; hashes are made where the rows are written."""
+    from costlake.plans import gold
+    from costlake.queries.registry import lines
+
+    some = lines(spark, SF)
+    for frame in (gold.fact_cost_usage(some, by=("billing_month",)), marts.state_resource(some)):
+        above, below = plan(frame).split("== Physical Plan ==")[1].split("REBALANCE", 1)
+        assert "sha2(" in above and "sha2(" not in below
+
+
+def test_stored_tables_hold_hashes_in_half_their_length(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    t.append(spark.range(20000).selectExpr("sha2(cast(id as string), 256) as k"), "keys")
+    import os
+
+    assert sum(os.path.getsize(f.removeprefix("file:")) for f in t.files("keys")) < 0.7 * 64 * 20000
